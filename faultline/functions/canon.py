@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions import rules
-from faultline.functions.text import SPACE, as_column, strip, unicode_pattern
+from faultline.functions.text import SPACE, as_column, unicode_pattern
 
 
 def _any_contained(text: Column, needles: tuple[str, ...]) -> Column:
@@ -16,47 +16,43 @@ def _any_contained(text: Column, needles: tuple[str, ...]) -> Column:
 
 
 def compact_key(text: Column, cfg: rules.NameRules) -> Column:
-    """Corrected text without separators, noise words and spaces."""
+    """Corrected text without separators, noise words and spaces.
+
+    One pattern removes all three: separators and spaces are no word characters, so a noise
+    word has the same boundaries whether or not they are still there.
+    """
     for typo, fix in cfg.typos:
         text = F.replace(text, F.lit(typo), F.lit(fix))
-    text = F.regexp_replace(text, cfg.separators, " ")
-    text = F.regexp_replace(text, unicode_pattern(cfg.noise), " ")
-    return F.regexp_replace(text, unicode_pattern(f"{SPACE}+"), "")
-
+    return F.regexp_replace(text, unicode_pattern(f"{cfg.separators}|{SPACE}|{cfg.noise}"), "")
 
-def _family_name(key: Column, family: rules.Family, cfg: rules.NameRules) -> Column:
-    hits = [F.when(_any_contained(key, tokens), name) for name, tokens in family.members]
-    return F.coalesce(*hits, F.lit(cfg.unmapped))
 
+def resolve(text: Column, key: Column, cfg: rules.NameRules) -> Column:
+    """Canonical name from the upper-case text (guard) and its compact key (all other rules).
 
-def _contained_name(key: Column, cfg: rules.NameRules) -> Column:
-    """First name that holds the key or is held by it.
-
-    The names are one constant array. A branch per name would outgrow the 64 KB a generated
-    method may have, and then nothing of the stage is compiled.
+    One flat chain of branches over columns that are never null: the generated code stays
+    small enough to be compiled together with the rest of its stage.
     """
-    pairs = [(name.replace(" ", "").replace("/", ""), name) for name in cfg.names]
-    names = F.array(
-        *[F.struct(F.lit(bare).alias("bare"), F.lit(name).alias("name")) for bare, name in pairs]
-    )
-    long_enough = F.length(key) >= cfg.min_reverse_len
-
-    def matches(entry: Column) -> Column:
-        return key.contains(entry["bare"]) | (long_enough & entry["bare"].contains(key))
-
-    first = F.get(F.filter(names, matches), F.lit(0))
-    return F.coalesce(first["name"], F.lit(cfg.unmapped))
-
-
-def resolve(text: Column, key: Column, cfg: rules.NameRules) -> Column:
-    """Canonical name from the upper-case text (guard) and its compact key (all other rules)."""
-    rejected = text.isNull()
+    branches: list[tuple[Column, str]] = []
     if cfg.guard:
-        rejected = rejected | text.rlike(unicode_pattern(cfg.guard))
-    found = F.when(rejected, cfg.unmapped)
+        branches.append((text.rlike(unicode_pattern(cfg.guard)), cfg.unmapped))
     for family in cfg.families:
-        found = found.when(key.contains(family.marker), _family_name(key, family, cfg))
-    return found.otherwise(_contained_name(key, cfg))
+        in_family = key.contains(family.marker)
+        for name, tokens in family.members:
+            if tokens != (family.marker,):
+                branches.append((in_family & _any_contained(key, tokens), name))
+            else:
+                branches.append((in_family, name))
+        branches.append((in_family, cfg.unmapped))
+    long_enough = F.length(key) >= cfg.min_reverse_len
+    for name in cfg.names:
+        bare = name.replace(" ", "").replace("/", "")
+        held = F.lit(bare).contains(key)
+        held = held & long_enough if cfg.min_reverse_len else held
+        branches.append((key.contains(bare) | held, name))
+    chain = F.when(*branches[0])
+    for condition, name in branches[1:]:
+        chain = chain.when(condition, name)
+    return chain.otherwise(cfg.unmapped)
 
 
 def with_canonical_name(
@@ -67,18 +63,47 @@ def with_canonical_name(
 ) -> DataFrame:
     """Add the canonical name of a raw one.
 
-    The key is a column of its own because the rules read it some forty times; as one nested
-    expression the corrections would be repeated in every branch.
+    The key is a column of its own because several rules read it; inside one nested
+    expression the corrections would be repeated in every branch. Outer spaces need no
+    trimming: no rule depends on them.
     """
     text, key = f"__{out}_text", f"__{out}_key"
     return (
-        df.withColumn(text, strip(F.upper(F.col(raw))))
-        .withColumn(key, compact_key(F.col(text), cfg))
-        .withColumn(out, resolve(F.col(text), F.col(key), cfg))
+        df.withColumn(text, F.coalesce(F.upper(F.col(raw)), F.lit("")))
+        .withColumn(key, F.coalesce(compact_key(F.col(text), cfg), F.lit("")))
+        .withColumn(
+            out,
+            F.when(F.col(raw).isNull(), cfg.unmapped).otherwise(
+                resolve(F.col(text), F.col(key), cfg)
+            ),
+        )
         .drop(text, key)
     )
 
 
+def with_canonical_name_by_spelling(
+    df: DataFrame,
+    raw: str,
+    out: str = "feeder_canonical",
+    cfg: rules.NameRules = rules.FEEDER_RULES,
+    max_spellings: int = 20_000,
+) -> DataFrame:
+    """The same column, with the rules run once per distinct spelling of a stored table.
+
+    Real tables have few spellings (hundreds), and looking a name up is far cheaper than
+    cleaning it. One pass over the raw column counts them; with more than `max_spellings`
+    the rules run per row instead, so what is broadcast stays small.
+    """
+    spellings = with_canonical_name(df.select(raw).distinct(), raw, out, cfg)
+    found = spellings.limit(max_spellings + 1).collect()
+    if len(found) > max_spellings:
+        return with_canonical_name(df, raw, out, cfg)
+    key = f"__{out}_raw"
+    lookup = df.sparkSession.createDataFrame(found, f"{key} string, {out} string")
+    same = F.col(raw).eqNullSafe(F.col(key))
+    return df.join(F.broadcast(lookup), same, "left").drop(key)
+
+
 def canonical_type(
     raw: Column | str,
     types: dict[str, str] = rules.OUTAGE_TYPES,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions import rules
 from faultline.session import shared_dir
+from faultline.sources.tables import union_frames
 
 NUMERIC_FEATURES = (
     "duration_hours_num",
@@ -98,11 +99,12 @@ def split_sizes(class_counts: DataFrame, label: str, test_fraction: float) -> Da
     checked = F.when(problem.isNotNull(), F.raise_error(problem).cast("bigint")).otherwise(
         total - n_test
     )
-    share = n * F.col("__train")
+    # The product of two row counts outgrows 64 bits.
+    share = n.cast("decimal(19,0)") * F.col("__train").cast("decimal(19,0)")
     dealt = (
         sized.withColumn("__train", checked)
-        .withColumn("__floor", F.floor(share / total).cast("bigint"))
-        .withColumn("__rest", share % total)
+        .withColumn("__rest", (share % total).cast("bigint"))
+        .withColumn("__floor", ((share - F.col("__rest")) / total).cast("bigint"))
         .withColumn("__left", F.col("__train") - F.sum("__floor").over(every))
         .withColumn("__turn", F.row_number().over(by_remainder))
     )
@@ -296,25 +298,34 @@ def metrics_document(split: DataFrame, predictions: DataFrame, cfg: ClassifierCo
     )
 
 
+def stored_split(labeled: DataFrame, key: str, cfg: ClassifierConfig) -> DataFrame:
+    """The split table, read from the shared folder: training passes over it many times, and
+    no pass should hash and split the rows again. It is spread evenly over all cores by its
+    unique key, however few or uneven the input files were."""
+    spark = labeled.sparkSession
+    path = shared_dir(spark, "split")
+    split = stratified_split(labeled, cfg.label, key, cfg.test_fraction, cfg.seed)
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(spark.sparkContext.defaultParallelism, shuffles)
+    split.repartition(parts, key).write.parquet(path)
+    return spark.read.schema(split.schema).parquet(path)
+
+
 def train_and_predict(
     labeled: DataFrame, key: str, cfg: ClassifierConfig = ClassifierConfig()
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """(model, predictions on the held-out rows, the split table)."""
-    split = stratified_split(labeled, cfg.label, key, cfg.test_fraction, cfg.seed)
+    split = stored_split(labeled, key, cfg)
     model = train(split.filter(~F.col("is_test")), cfg)
     return model, predict(model, split.filter("is_test"), cfg), split
 
 
-def ablation(
-    labeled: DataFrame, key: str, variants: dict[str, ClassifierConfig], seed: int = 42
-) -> DataFrame:
+def ablation(labeled: DataFrame, key: str, variants: dict[str, ClassifierConfig]) -> DataFrame:
     """Accuracy per feature list, on one split: what a suspect column adds."""
-    any_cfg = next(iter(variants.values()))
-    split = stratified_split(labeled, any_cfg.label, key, any_cfg.test_fraction, seed)
-    rows = None
+    split = stored_split(labeled, key, next(iter(variants.values())))
+    scores = []
     for name, cfg in variants.items():
         model = train(split.filter(~F.col("is_test")), cfg)
         scored = overall_accuracy(predict(model, split.filter("is_test"), cfg))
-        scored = scored.select(F.lit(name).alias("features"), "accuracy", "test_rows")
-        rows = scored if rows is None else rows.unionByName(scored)
-    return rows
+        scores.append(scored.select(F.lit(name).alias("features"), "accuracy", "test_rows"))
+    return union_frames(scores)

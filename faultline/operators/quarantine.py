@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions import rules
-from faultline.functions.canon import canonical_type, with_canonical_name
+from faultline.functions.canon import (
+    canonical_type,
+    with_canonical_name,
+    with_canonical_name_by_spelling,
+)
 from faultline.functions.text import as_column, to_date, to_double, to_int
 from faultline.schemas import SILVER
 
@@ -34,10 +38,17 @@ def split_quarantine(df: DataFrame, flag: str = "quarantined") -> tuple[DataFram
 
 
 def to_silver(
-    bronze: DataFrame, year: int, name_rules: rules.NameRules = rules.FEEDER_RULES
+    bronze: DataFrame,
+    year: int,
+    name_rules: rules.NameRules = rules.FEEDER_RULES,
+    stored: bool = False,
 ) -> DataFrame:
-    """Typed and canonical rows with their `quarantined` flag; no row is dropped."""
-    named = with_canonical_name(bronze, "name_of_affected_feeder", cfg=name_rules)
+    """Typed and canonical rows with their `quarantined` flag; no row is dropped.
+
+    From a stored bronze table, names are looked up by spelling.
+    """
+    canonicalize = with_canonical_name_by_spelling if stored else with_canonical_name
+    named = canonicalize(bronze, "name_of_affected_feeder", cfg=name_rules)
     typed = named.withColumns(
         {
             "event_date": to_date("date_raw"),

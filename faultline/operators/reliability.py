@@ -36,9 +36,9 @@ def reliability(
     window and no sort: each task sends one partial row per entity, and an entity that holds
     a third of all events costs no more than any other.
     """
-    timed = events.filter(F.col(ts).isNotNull()).withColumn("__s", epoch_seconds(ts))
-    span = F.max("__s") - F.min("__s")
-    mean_gap = F.try_divide(span, F.count(F.lit(1)) - 1) / 3600.0
+    timed = events.filter(F.col(ts).isNotNull())
+    span = epoch_seconds(F.max(ts)) - epoch_seconds(F.min(ts))
+    mean_gap = F.try_divide(span, (F.count(F.lit(1)) - 1) * 3600)
     return timed.groupBy(entity).agg(*_metrics(mean_gap, duration, burden))
 
 
@@ -101,5 +101,11 @@ def reliability_from_gaps(
     burden: str,
     gap: str = "hours_since_prior_event",
 ) -> DataFrame:
-    """The metrics of `reliability`, from events that already carry their gaps."""
-    return gaps.groupBy(entity).agg(*_metrics(F.avg(gap), duration, burden))
+    """The metrics of `reliability`, from events that already carry their gaps.
+
+    Gaps are whole seconds, so they are added up as such: the mean does not depend on the
+    order in which partial sums arrive.
+    """
+    seconds = F.round(F.col(gap) * 3600).cast("bigint")
+    mean_gap = F.try_divide(F.sum(seconds), F.count(seconds) * 3600)
+    return gaps.groupBy(entity).agg(*_metrics(mean_gap, duration, burden))

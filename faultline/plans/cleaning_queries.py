@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions import text
-from faultline.functions.canon import canonical_type, with_canonical_name
+from faultline.functions.canon import (
+    canonical_type,
+    with_canonical_name,
+    with_canonical_name_by_spelling,
+)
 from faultline.operators import quarantine, reliability
 from faultline.plans.inputs import NAMES, TYPES, pick, sql_values, table
 from faultline.plans.registry import query
@@ -132,6 +136,12 @@ def canon_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("event_id", "raw_name", "feeder_canonical")
 
 
+@query(f"WITH {NAMED_SQL} SELECT event_id, raw_name, feeder_canonical FROM named")
+def canon_name_by_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = with_canonical_name_by_spelling(named_events(spark, sf_dir), "raw_name")
+    return named.select("event_id", "raw_name", "feeder_canonical")
+
+
 @query(
     f"""WITH {NAMED_SQL}
     SELECT feeder_canonical, feeder_canonical = 'UNMAPPED' AS is_transformer_event,

@@ -120,14 +120,13 @@ def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as outages of entities, with missing times and durations and with entities
     that have a single event."""
     i = F.col("event_id")
-    customers = F.get_json_object("props", "$.k").cast("double")
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.when(i % 1000 == 7, i + 1_000_000_000).otherwise(F.col("user_id")).alias("entity"),
         F.when(i % 97 != 0, F.col("ts")).alias("ts"),
         F.col("event_type").alias("outage_type"),
         F.when(i % 50 != 3, F.col("value") / 7).alias("duration_hours"),
-        (F.col("value") * customers / 7).alias("customer_hours"),
+        (F.col("value") * (i % 100) / 7).alias("customer_hours"),
     )
 
 
@@ -138,7 +137,7 @@ outages AS (
          CASE WHEN event_id % 97 <> 0 THEN ts END AS ts,
          event_type AS outage_type,
          CASE WHEN event_id % 50 <> 3 THEN value / 7 END AS duration_hours,
-         value * CAST(regexp_extract(props, '"k": (\\d+)', 1) AS DOUBLE) / 7 AS customer_hours
+         value * (event_id % 100) / 7 AS customer_hours
   FROM events)
 """
 
@@ -146,13 +145,13 @@ GAPS_SQL = (
     OUTAGES_SQL
     + """,
 gaps AS (
-  SELECT *, (s - lag(s) OVER (PARTITION BY entity ORDER BY ts, event_id)) / 3600.0
-              AS hours_since_prior_event
-  FROM (SELECT *, epoch_us(ts) // 1000000 AS s FROM outages WHERE ts IS NOT NULL)),
+  SELECT *, seconds / CAST(3600 AS DOUBLE) AS hours_since_prior_event
+  FROM (SELECT *, s - lag(s) OVER (PARTITION BY entity ORDER BY ts, event_id) AS seconds
+        FROM (SELECT *, epoch_us(ts) // 1000000 AS s FROM outages WHERE ts IS NOT NULL))),
 metrics AS (
   SELECT entity, count(*) AS total_outages,
          round(avg(duration_hours), 2) AS mttr_hours,
-         round(avg(hours_since_prior_event), 2) AS mtbf_hours,
+         round(sum(seconds) / CAST(count(seconds) * 3600 AS DOUBLE), 2) AS mtbf_hours,
          round(sum(customer_hours), 1) AS total_customer_hours_interruption
   FROM gaps GROUP BY entity)
 """

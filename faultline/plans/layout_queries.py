@@ -212,7 +212,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
              FROM (SELECT *, epoch_us(ts) // 1000000 AS s FROM silver
                    WHERE clean AND feeder_canonical <> 'UNMAPPED' AND ts IS NOT NULL))
     SELECT feeder_canonical, count(*) AS total_outages, round(avg(duration), 2) AS mttr_hours,
-           round(avg(gap / 3600.0), 2) AS mtbf_hours,
+           round(sum(gap) / CAST(count(gap) * 3600 AS DOUBLE), 2) AS mtbf_hours,
            round(sum(burden), 1) AS total_customer_hours_interruption
     FROM gaps GROUP BY feeder_canonical"""
 )

@@ -17,7 +17,7 @@ from faultline.plans.registry import query
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as feature rows: some of transformers, some of type OTHER, some incomplete."""
     i, value = F.col("event_id"), F.col("value")
-    k = F.get_json_object("props", "$.k").cast("double")
+    k = (i % 77).cast("double")
     return table(spark, sf_dir, "events").select(
         i,
         F.concat(F.lit("F"), (F.col("user_id") % 18).cast("string")).alias("feeder_canonical"),
@@ -37,10 +37,9 @@ features AS (
   SELECT event_id, 'F' || (user_id % 18) AS feeder_canonical,
          CASE WHEN event_id % 31 = 4 THEN 'OTHER' ELSE event_type END AS outage_type_canonical,
          CASE WHEN event_id % 23 <> 6 THEN value END AS duration_hours_num,
-         CAST(regexp_extract(props, '"k": (\\d+)', 1) AS DOUBLE) AS load_loss_mw_num,
+         CAST(event_id % 77 AS DOUBLE) AS load_loss_mw_num,
          CAST(event_id % 100 AS DOUBLE) AS no_of_customers_restored_num,
-         value * CAST(regexp_extract(props, '"k": (\\d+)', 1) AS DOUBLE)
-           AS customer_hours_interruption_num,
+         value * CAST(event_id % 77 AS DOUBLE) AS customer_hours_interruption_num,
          CAST(hour(ts) AS INTEGER) AS event_no_num, event_id % 19 = 2 AS is_transformer_event,
          strftime(ts, '%Y-%m') AS source_month
   FROM events)

@@ -55,7 +55,7 @@ def refine_silver(spark: SparkSession, lake: str, cfg: PipelineConfig) -> DataFr
     Returns clean, quarantined and unmapped counts, read from the stored flag column.
     """
     bronze = read_table_or_fail(spark, f"{lake}/bronze/interruptions", schemas.BRONZE)
-    silver = quarantine.to_silver(bronze, cfg.year, cfg.name_rules)
+    silver = quarantine.to_silver(bronze, cfg.year, cfg.name_rules, stored=True)
     path = f"{lake}/silver/interruptions"
     write_table(silver, path, [FLAG, MONTH_COLUMN])
     stored = read_table(spark, path, _SILVER_STORED)
