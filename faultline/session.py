@@ -42,5 +42,4 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_CONF, base)
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
