@@ -10,7 +10,12 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    IndexToString,
+    OneHotEncoder,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -179,10 +184,14 @@ def one_hot(df: DataFrame, column: str, values: list[str], prefix: str) -> DataF
     return df.select("*", *[flag.alias(name) for name, flag in flags.items()])
 
 
+def _indexer(df: DataFrame, column: str, out: str, unknown: str = "error") -> StringIndexerModel:
+    """Numbers the sorted values of a column, after checking how many there are."""
+    return StringIndexerModel.from_labels(levels(df, column), column, out, unknown)
+
+
 def label_encode(df: DataFrame, label: str, out: str) -> DataFrame:
     """Class numbers from 0 in sorted order of the labels."""
-    model = StringIndexer(inputCol=label, outputCol=out, stringOrderType="alphabetAsc").fit(df)
-    return model.transform(df).withColumn(out, F.col(out).cast("bigint"))
+    return _indexer(df, label, out).transform(df).withColumn(out, F.col(out).cast("bigint"))
 
 
 def _estimator(cfg: ClassifierConfig):
@@ -201,20 +210,12 @@ def _estimator(cfg: ClassifierConfig):
 
 def train(training: DataFrame, cfg: ClassifierConfig = ClassifierConfig()) -> PipelineModel:
     """Encode, assemble and fit; the model turns raw feature rows into named predictions."""
-    labels = StringIndexer(
-        inputCol=cfg.label, outputCol="label_index", stringOrderType="alphabetAsc"
-    ).fit(training)
-    indexed = [f"{c}_index" for c in cfg.categorical]
+    labels = _indexer(training, cfg.label, "label_index")
     encoded = [f"{c}_onehot" for c in cfg.categorical]
-    stages = [
-        StringIndexer(
-            inputCols=list(cfg.categorical),
-            outputCols=indexed,
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        ),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=False),
-    ] if cfg.categorical else []
+    stages = []
+    for c, hot in zip(cfg.categorical, encoded):
+        stages.append(_indexer(training, c, f"{c}_index", unknown="keep"))
+        stages.append(OneHotEncoder(inputCol=f"{c}_index", outputCol=hot, dropLast=False))
     stages += [
         VectorAssembler(inputCols=[*cfg.numeric, *encoded], outputCol="features"),
         labels,

@@ -10,8 +10,10 @@ from faultline.functions.geo import haversine_km, point_wkt, sphere_xyz
 # Sizes of grid cells are powers of two km; the largest exceeds half the way round the earth.
 MAX_LEVEL = 15
 MIN_LEVEL = -4
-# Sites of one grid cell that may meet in one join task; denser cells are split.
+# Sites of one grid cell that may meet in one join task; denser cells are split. No more than
+# MAX_DENSE_CELLS can be: beyond that the limit rises with the number of sites.
 CELL_ROWS = 2_000
+MAX_DENSE_CELLS = 100_000
 
 
 def reliability_map(
@@ -79,12 +81,16 @@ def overlapping_sites(locations: DataFrame, key: str) -> DataFrame:
         .withColumn("level", level)
         .withColumn("xyz", sphere_xyz("latitude", "longitude"))
     )
-    levels = placed.agg(F.collect_set("level")).scalar()
+    facts = placed.agg(
+        F.struct(F.collect_set("level").alias("levels"), F.count(F.lit(1)).alias("n"))
+    ).scalar()
+    n_levels = MAX_LEVEL - MIN_LEVEL + 1
+    cell_rows = F.greatest(F.lit(float(CELL_ROWS)), facts["n"] * n_levels / MAX_DENSE_CELLS)
 
     size = F.pow(F.lit(2.0), F.col("at") + 1)
     axes = ("x", "y", "z")
     cell = ["at", *axes]
-    larger = F.array_intersect(levels, F.sequence("level", F.lit(MAX_LEVEL)))
+    larger = F.array_intersect(facts["levels"], F.sequence("level", F.lit(MAX_LEVEL)))
     own_cell = {axis: _cell(F.col("xyz"), axis, size) for axis in axes}
     waiting = placed.withColumn("at", F.explode(larger)).withColumns(own_cell)
     widest = F.lit(2.0 ** (MAX_LEVEL + 1))
@@ -94,11 +100,13 @@ def overlapping_sites(locations: DataFrame, key: str) -> DataFrame:
         cells = _reached_cells(F.col("xyz"), axis, reach, size)
         visiting = visiting.withColumn(axis, F.explode(cells))
 
-    # At most one row per CELL_ROWS waiting sites, hence small enough to go everywhere.
+    # Sent to every task: by the choice of cell_rows, MAX_DENSE_CELLS rows at most.
     dense = (
         waiting.groupBy(*cell)
-        .agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("parts"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("parts", F.ceil(F.col("n") / cell_rows).cast("int"))
         .filter("parts > 1")
+        .drop("n")
     )
     parts = F.coalesce(F.col("parts"), F.lit(1))
     waiting = waiting.join(F.broadcast(dense), cell, "left").withColumn(

@@ -71,24 +71,21 @@ def prior_event_gap(
 ) -> DataFrame:
     """Every timed event with the hours since the same entity's event before it.
 
-    Null for an entity's first event. Events within one second are ordered by time, then id;
-    all but the first of them have gap 0. So only the first event of each active second needs
-    to look back, and it takes its gap back by its own unique key: no task ever holds all
-    events of an entity, not even when they share one timestamp.
+    Null for an entity's first event, and for events of no entity. Events within one second
+    are ordered by time, then id; all but the first of them have gap 0. So only the first
+    event of each active second needs to look back, and it takes its gap back by its unique
+    id: no task ever holds all events of an entity, not even when they share one timestamp.
     """
     timed = events.filter(F.col(ts).isNotNull())
     first = F.min(F.struct(F.col(ts).alias("t"), F.col(event_id).alias("id")))
     seconds = timed.groupBy(entity, epoch_seconds(ts).alias("__s")).agg(first.alias("__first"))
     firsts = _gaps_between_seconds(seconds, entity).select(
-        entity,
-        F.col("__first.t").alias(ts),
-        F.col("__first.id").alias(event_id),
-        "__gap",
-        F.lit(True).alias("__is_first"),
+        F.col("__first.id").alias(event_id), "__gap", F.lit(True).alias("__is_first")
     )
-    gap = F.when(F.col("__is_first"), F.col("__gap")).otherwise(F.lit(0.0))
+    later = F.when(F.col(entity).isNotNull(), F.lit(0.0))
+    gap = F.when(F.col("__is_first"), F.col("__gap")).otherwise(later)
     return (
-        timed.join(firsts, [event_id, entity, ts], "left")
+        timed.join(firsts, event_id, "left")
         .withColumn(out, gap)
         .select(*events.columns, out)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from faultline import schemas
 from faultline.functions.text import month_from_name, null_tokens, to_double
 from faultline.operators import quarantine, rawlayout, summaries
-from faultline.plans import pipeline
+from faultline.plans import medallion
 from faultline.plans.inputs import (
     FILE_NAMES,
     NAMES,
@@ -216,10 +216,10 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(sum(burden), 1) AS total_customer_hours_interruption
     FROM gaps GROUP BY feeder_canonical"""
 )
-def pipeline_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+def workbook_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbooks to bronze to silver to gold, all stages in one plan."""
     clean = quarantine.split_quarantine(_silver(spark, sf_dir))[0]
-    return pipeline.feeder_reliability(clean)
+    return medallion.feeder_reliability(clean)
 
 
 @query(
@@ -231,7 +231,7 @@ def pipeline_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM silver WHERE clean AND feeder_canonical <> 'UNMAPPED'
     GROUP BY outage_type_canonical"""
 )
-def pipeline_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def workbook_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = quarantine.split_quarantine(_silver(spark, sf_dir))[0]
     features = clean.select(*schemas.FEATURES.names)
     return summaries.type_summary(features.filter(~F.col("is_transformer_event")))

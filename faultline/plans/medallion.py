@@ -14,6 +14,7 @@ from faultline.operators import classify, quarantine, rawlayout, reliability
 from faultline.operators.classify import ClassifierConfig
 from faultline.schemas import MONTH_COLUMN
 from faultline.sources.tables import (
+    gathered,
     read_table,
     read_table_or_fail,
     write_checked,
@@ -39,7 +40,8 @@ class PipelineConfig:
 def land_bronze(spark: SparkSession, raw_dir: str, lake: str) -> DataFrame:
     """Workbooks to bronze, checked by reading back. Returns rows and months landed."""
     path = f"{lake}/bronze/interruptions"
-    write_checked(spark, rawlayout.to_bronze(read_workbooks(spark, raw_dir)), path, MONTH_COLUMN)
+    bronze = rawlayout.to_bronze(read_workbooks(spark, raw_dir))
+    write_checked(spark, gathered(bronze, MONTH_COLUMN), path, MONTH_COLUMN)
     return rawlayout.load_summary(read_table(spark, path, schemas.BRONZE))
 
 

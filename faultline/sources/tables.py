@@ -41,9 +41,8 @@ def write_table(
 ) -> None:
     """Overwrite a Parquet table.
 
-    Rows are not gathered by partition value first: one month may hold a third of the data,
-    and each task can write its own file per value. `single_file` is for results that are
-    small by construction, such as one row per asset, and comes after their shuffle.
+    `single_file` is for results that are small by construction, such as one row per asset,
+    and comes after their shuffle.
     """
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite")
@@ -54,6 +53,15 @@ def write_table(
     writer.parquet(path)
 
 
+def gathered(df: DataFrame, column: str) -> DataFrame:
+    """Rows of one partition value in few tasks, for a table that mixes all values.
+
+    Without this every task would write a file per value. Spark cuts what it gathers into
+    pieces of its advisory size, so a value with a third of all rows takes many tasks.
+    """
+    return df.hint("rebalance", column)
+
+
 def write_checked(
     spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None
 ) -> int:

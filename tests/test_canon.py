@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from faultline.functions import canon, rules
+from faultline.functions.sql import register_sql_functions
 from faultline.operators import quarantine
 from faultline.plans.inputs import NAMES, TYPES
 
@@ -100,3 +101,18 @@ def test_audit_counts_every_row(spark):
     }
     rate = quarantine.match_rate(audit).first()
     assert (rate.n_rows, rate.mapped_rows, rate.mapped_spellings, rate.match_pct) == (10, 7, 2, 70.0)
+
+
+def test_sql_functions_follow_the_same_rules(spark, plan_of):
+    register_sql_functions(spark)
+    rows = [(i, raw) for i, (raw, _) in enumerate(CASES + TYPES)]
+    df = spark.createDataFrame(rows, "i int, raw string")
+    named = canon.with_canonical_name(df, "raw", "name")
+    expected = named.withColumn("type", canon.canonical_type("raw"))
+    df.createOrReplaceTempView("raw_values")
+    got = spark.sql(
+        "SELECT i, raw, canonical_feeder(raw) AS name, canonical_outage_type(raw) AS type "
+        "FROM raw_values"
+    )
+    assert got.orderBy("i").collect() == expected.select(*got.columns).orderBy("i").collect()
+    assert "Python" not in plan_of(got) and "Join" not in plan_of(got)

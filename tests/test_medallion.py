@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faultline import schemas
 from faultline.operators.classify import ClassifierConfig
-from faultline.plans import pipeline
+from faultline.plans import medallion
 from faultline.plans.xlsx_fixture import workbook_bytes
 from faultline.schemas import RAW_COLUMNS
 from faultline.sources import catalog, tables
@@ -17,7 +17,7 @@ MONTHS = ("JANUARY FEBRUARY MARCH APRIL MAY JUNE JULY AUGUST SEPTEMBER OCTOBER N
           "DECEMBER").split()
 FEEDERS = ["APETE 33KV", "ROM", "SAMANDA 33KV", "T1 15MVA @ AGODI"]
 TYPES = ["EDC F/O", "EDC/P/0", "TCN/L/S", "EDC /S"]
-CFG = pipeline.PipelineConfig(classifier=ClassifierConfig(trees=10, depth=5))
+CFG = medallion.PipelineConfig(classifier=ClassifierConfig(trees=10, depth=5))
 PER_MONTH = 48
 
 
@@ -52,7 +52,7 @@ def lake(spark, tmp_path_factory):
     for m, name in enumerate(MONTHS):
         book = {"SUMMARY": [["x"]], "RAW MONTHLY": month_rows(m), "REVENUE LOSS": [["y"]]}
         (raw / f"region {name} 2021.xlsx").write_bytes(workbook_bytes(book))
-    runs = pipeline.run_pipeline(spark, str(raw), str(root / "lake"), CFG)
+    runs = medallion.run_pipeline(spark, str(raw), str(root / "lake"), CFG)
     return str(root / "lake"), runs
 
 
@@ -74,7 +74,7 @@ def test_run_metrics(lake):
 def test_halves_are_disjoint_and_whole(spark, lake):
     path, _ = lake
     bronze = tables.read_table(spark, f"{path}/bronze/interruptions", schemas.BRONZE)
-    halves = [pipeline.read_silver(spark, path, q) for q in (False, True)]
+    halves = [medallion.read_silver(spark, path, q) for q in (False, True)]
     both = halves[0].unionByName(halves[1]).select(*bronze.columns)
     assert bronze.exceptAll(both).isEmpty() and both.exceptAll(bronze).isEmpty()
 
@@ -106,7 +106,7 @@ def test_reliability_equals_plain_python(spark, lake):
 
 
 def test_one_half_is_read_by_folder(spark, lake, plan_of):
-    plan = plan_of(pipeline.read_silver(spark, lake[0]))
+    plan = plan_of(medallion.read_silver(spark, lake[0]))
     assert "PartitionFilters: [isnotnull(quarantined" in plan
 
 
@@ -115,14 +115,14 @@ def test_catalog_and_views(spark, lake, tmp_path):
     places = spark.createDataFrame(list(FEEDER_LOCATIONS), schemas.LOCATIONS)
     csv = str(tmp_path / "places")
     places.write.option("header", "true").option("escape", '"').csv(csv)
-    catalog.register_lake(spark, "energy_test", path, csv)
-    assert spark.table("energy_test.interruptions_clean").count() == 12 * (PER_MONTH - 1)
-    assert spark.table("energy_test.interruptions_quarantine").count() == 48
-    months = spark.sql("SHOW PARTITIONS energy_test.classifier_features").count()
+    catalog.register_lake(spark, "lake_test", path, csv)
+    assert spark.table("lake_test.interruptions_clean").count() == 12 * (PER_MONTH - 1)
+    assert spark.table("lake_test.interruptions_quarantine").count() == 48
+    months = spark.sql("SHOW PARTITIONS lake_test.classifier_features").count()
     assert months == 12
-    kinds = {f.dataType.typeName() for f in spark.table("energy_test.feeder_locations").schema}
+    kinds = {f.dataType.typeName() for f in spark.table("lake_test.feeder_locations").schema}
     assert kinds == {"string"}
-    names = catalog.create_views(spark, "energy_test")
+    names = catalog.create_views(spark, "lake_test")
     assert len(names) == 4
     board = spark.sql("SELECT * FROM mttr_mtbf_leaderboard ORDER BY reliability_rank LIMIT 10")
     gaps = [r.mtbf_hours for r in board.collect()]
@@ -151,9 +151,9 @@ def test_new_partition_shows_after_refresh(spark, tmp_path):
 
 def test_a_second_run_replaces_the_lake(spark, lake):
     path, _ = lake
-    assert pipeline.refine_silver(spark, path, CFG).first().clean_rows == 12 * (PER_MONTH - 1)
-    wide = pipeline.PipelineConfig(year=1900, classifier=CFG.classifier)
+    assert medallion.refine_silver(spark, path, CFG).first().clean_rows == 12 * (PER_MONTH - 1)
+    wide = medallion.PipelineConfig(year=1900, classifier=CFG.classifier)
     other = path + "-1900"
     bronze = tables.read_table(spark, f"{path}/bronze/interruptions", schemas.BRONZE)
     tables.write_table(bronze, f"{other}/bronze/interruptions", "source_month")
-    assert pipeline.refine_silver(spark, other, wide).first().clean_rows == 12
+    assert medallion.refine_silver(spark, other, wide).first().clean_rows == 12
