@@ -63,14 +63,16 @@ def with_canonical_name(
 ) -> DataFrame:
     """Add the canonical name of a raw one.
 
-    The key is a column of its own because several rules read it; inside one nested
-    expression the corrections would be repeated in every branch. Outer spaces need no
-    trimming: no rule depends on them.
+    The key is a column of its own because several rules read it. It comes out of a
+    one-element explode, which Spark does not merge with what follows: otherwise a filter on
+    the result would be moved below it, with the corrections copied into each of some forty
+    branches. Outer spaces need no trimming: no rule depends on them.
     """
     text, key = f"__{out}_text", f"__{out}_key"
+    keys = F.array(F.coalesce(compact_key(F.col(text), cfg), F.lit("")))
     return (
         df.withColumn(text, F.coalesce(F.upper(F.col(raw)), F.lit("")))
-        .withColumn(key, F.coalesce(compact_key(F.col(text), cfg), F.lit("")))
+        .select("*", F.explode(keys).alias(key))
         .withColumn(
             out,
             F.when(F.col(raw).isNull(), cfg.unmapped).otherwise(

@@ -127,12 +127,14 @@ def stratified_split(
 ) -> DataFrame:
     """Flag the test rows: per class, exactly the rows with the smallest hash of `key`.
 
-    `key` is unique. The class sizes may be anything, so no class is ever sorted. A
+    `key` is unique; rows without a label are never in the test. The class sizes may be anything, so no class is ever sorted. A
     histogram over hash prefixes shows in which of the 65,536 prefixes a class is cut; only
     the rows of that one prefix are ordered, to find the last test hash. The table itself is
     not shuffled: it meets one hash per class, broadcast.
     """
-    hashed = df.select(label, _row_hash(key, seed).alias("__h"))
+    # The filter stands in every branch below, so that the histogram is computed once.
+    labeled = df.filter(F.col(label).isNotNull())
+    hashed = labeled.select(label, _row_hash(key, seed).alias("__h"))
     hashed = hashed.withColumn("__p", F.substring("__h", 1, HASH_PREFIX))
     histogram = hashed.groupBy(label, "__p").agg(F.count(F.lit(1)).alias("__m"))
     sizes = split_sizes(histogram.groupBy(label).agg(F.sum("__m").alias("n")), label, test_fraction)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.text import epoch_seconds, to_event_time
 
 DAY_SECONDS = 86_400
+# Wider than the 64-bit numbers, so that ids never reach into the next microsecond.
+ID_RANGE = Decimal(10) ** 20
 
 
 def with_event_time(
@@ -42,45 +46,58 @@ def reliability(
     return timed.groupBy(entity).agg(*_metrics(mean_gap, duration, burden))
 
 
-def _gaps_between_seconds(seconds: DataFrame, entity: str) -> DataFrame:
+def _gaps_between_seconds(timed: DataFrame, seconds: DataFrame, entity: str) -> DataFrame:
     """Hours from the entity's previous active second; `seconds` has one row per active second.
 
     The lag runs within one entity and day, which is at most 86,400 rows however many events
     the entity has. Only the first second of a day looks further back, to the last second of
     the entity's previous active day, and that second lag sees one row per day.
     """
-    per_day = seconds.withColumn("__day", F.floor(F.col("__s") / DAY_SECONDS))
-    days = per_day.groupBy(entity, "__day").agg(F.max("__s").alias("__last"))
-    earlier = days.select(
-        entity,
-        "__day",
-        F.lag("__last").over(Window.partitionBy(entity).orderBy("__day")).alias("__before"),
+    day = F.floor(F.col("__s") / DAY_SECONDS).alias("__day")
+    earlier = (
+        timed.groupBy(entity, day)
+        .agg(F.max("__s").alias("__last"))
+        .select(
+            entity,
+            "__day",
+            F.lag("__last").over(Window.partitionBy(entity).orderBy("__day")).alias("__before"),
+        )
     )
     in_day = F.lag("__s").over(Window.partitionBy(entity, "__day").orderBy("__s"))
     previous = F.coalesce(F.col("__in_day"), F.col("__before"))
     return (
-        per_day.withColumn("__in_day", in_day)
+        seconds.select("*", day)
+        .withColumn("__in_day", in_day)
         .join(earlier, [entity, "__day"])
         .withColumn("__gap", (F.col("__s") - previous) / 3600.0)
-        .drop("__day", "__in_day", "__before")
     )
 
 
+def _order_in_second(ts: str, event_id: str) -> Column:
+    """Microsecond, then id, as one number. A struct would say the same, but its minimum can
+    only be taken by sorting; a number's is taken by hash aggregation."""
+    micros = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1_000_000))
+    return micros.cast("decimal(6,0)") * F.lit(ID_RANGE) + F.col(event_id)
+
+
 def prior_event_gap(
     events: DataFrame, entity: str, ts: str, event_id: str, out: str = "hours_since_prior_event"
 ) -> DataFrame:
     """Every timed event with the hours since the same entity's event before it.
 
+    `event_id` is a unique integer.
+
     Null for an entity's first event, and for events of no entity. Events within one second
     are ordered by time, then id; all but the first of them have gap 0. So only the first
     event of each active second needs to look back, and it takes its gap back by its unique
     id: no task ever holds all events of an entity, not even when they share one timestamp.
     """
-    timed = events.filter(F.col(ts).isNotNull())
-    first = F.min(F.struct(F.col(ts).alias("t"), F.col(event_id).alias("id")))
-    seconds = timed.groupBy(entity, epoch_seconds(ts).alias("__s")).agg(first.alias("__first"))
-    firsts = _gaps_between_seconds(seconds, entity).select(
-        F.col("__first.id").alias(event_id), "__gap", F.lit(True).alias("__is_first")
+    timed = events.filter(F.col(ts).isNotNull()).withColumn("__s", epoch_seconds(ts))
+    seconds = timed.groupBy(entity, "__s").agg(
+        F.min_by(event_id, _order_in_second(ts, event_id)).alias("__first")
+    )
+    firsts = _gaps_between_seconds(timed, seconds, entity).select(
+        F.col("__first").alias(event_id), "__gap", F.lit(True).alias("__is_first")
     )
     later = F.when(F.col(entity).isNotNull(), F.lit(0.0))
     gap = F.when(F.col("__is_first"), F.col("__gap")).otherwise(later)

@@ -82,11 +82,13 @@ def test_types(spark):
     assert [r.t for r in got] == [t for _, t in TYPES]
 
 
-def test_no_python_and_compiled_in_one_stage(spark, plan_of):
+@pytest.mark.parametrize("condition", ["true", "out <> 'UNMAPPED'"])
+def test_no_python_and_compiled_in_one_stage(spark, plan_of, condition):
     df = spark.range(10).selectExpr("cast(id as string) AS raw")
-    named = canon.with_canonical_name(df, "raw")
+    named = canon.with_canonical_name(df, "raw", "out").filter(condition)
     plan = plan_of(named)
     assert "Python" not in plan and "Exchange" not in plan
+    assert plan.count("INDUSRIAL") == 1, "the corrections run once per row"
     stages = named._jdf.queryExecution().debug().codegenToSeq()
     assert stages.size() == 1
     # Beyond 8000 bytes the JVM would interpret the method instead of compiling it.
