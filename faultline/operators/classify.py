@@ -16,11 +16,11 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions import rules
-from faultline.session import shared_dir
+from faultline.session import stored
 from faultline.sources.tables import union_frames
 
 NUMERIC_FEATURES = (
@@ -56,20 +56,17 @@ class ClassifierConfig:
 
 def labeled_rows(features: DataFrame, cfg: ClassifierConfig = ClassifierConfig()) -> DataFrame:
     """Rows to learn from: a named asset, a known type and no missing value."""
-    return features.filter(~F.col("is_transformer_event") & (F.col(cfg.label) != rules.OTHER)).dropna(
-        subset=list(dict.fromkeys((*cfg.numeric, cfg.label, *cfg.categorical)))
-    )
+    named = features.filter(~F.col("is_transformer_event") & (F.col(cfg.label) != rules.OTHER))
+    return named.dropna(subset=list(dict.fromkeys((*cfg.numeric, cfg.label, *cfg.categorical))))
 
 
-def with_row_ids(spark: SparkSession, df: DataFrame, out: str = "row_id") -> DataFrame:
+def with_row_ids(df: DataFrame, out: str = "row_id") -> DataFrame:
     """The rows with a unique number each, read from a table in the shared folder.
 
     The numbers depend on how the input was partitioned, so they are written once: a lost
     executor then re-reads them and cannot move a row from training to test.
     """
-    path = shared_dir(spark, "row-ids")
-    df.withColumn(out, F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(df.withColumn(out, F.monotonically_increasing_id()), "row-ids")
 
 
 def _row_hash(key: str, seed: int) -> Column:
@@ -306,12 +303,10 @@ def stored_split(labeled: DataFrame, key: str, cfg: ClassifierConfig) -> DataFra
     no pass should hash and split the rows again. It is spread evenly over all cores by its
     unique key, however few or uneven the input files were."""
     spark = labeled.sparkSession
-    path = shared_dir(spark, "split")
     split = stratified_split(labeled, cfg.label, key, cfg.test_fraction, cfg.seed)
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(spark.sparkContext.defaultParallelism, shuffles)
-    split.repartition(parts, key).write.parquet(path)
-    return spark.read.schema(split.schema).parquet(path)
+    return stored(split.repartition(parts, key), "split")
 
 
 def train_and_predict(

@@ -17,7 +17,8 @@ def global_rank(
     distinct value, and counts are added up in two levels: over buckets of `bucket_width`
     (hours of a mean gap: at most the hours the data spans) and inside each bucket (values
     have two decimals: at most a hundred per hour). Ranks return to the rows by a join whose
-    row side is salted, since a third of the rows may share one value.
+    row side is salted, since a third of the rows may share one value. `df` is read twice, so
+    it should be a stored table.
     """
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
     counts = counts.withColumn("__b", F.floor(F.col(value) / bucket_width))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from faultline.operators import mapping, reliability, summaries
 from faultline.plans.inputs import GAPS_SQL, OUTAGES_SQL, PLACES_SQL, outages, places, table
 from faultline.plans.registry import query
+from faultline.session import stored
 from faultline.sources.tables import union_frames
 
 METRICS = ("entity", "ts", "duration_hours", "customer_hours")
@@ -41,7 +42,8 @@ def reliability_windowless(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM metrics"""
 )
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.leaderboard(reliability_windowless(spark, sf_dir), "entity")
+    metrics = stored(reliability_windowless(spark, sf_dir), "metrics")
+    return summaries.leaderboard(metrics, "entity")
 
 
 @query(

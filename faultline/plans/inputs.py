@@ -125,8 +125,8 @@ def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 1000 == 7, i + 1_000_000_000).otherwise(F.col("user_id")).alias("entity"),
         F.when(i % 97 != 0, F.col("ts")).alias("ts"),
         F.col("event_type").alias("outage_type"),
-        F.when(i % 50 != 3, F.col("value") / 7).alias("duration_hours"),
-        (F.col("value") * (i % 100) / 7).alias("customer_hours"),
+        F.when(i % 50 != 3, F.sqrt("value")).alias("duration_hours"),
+        (F.sqrt("value") * (i % 100)).alias("customer_hours"),
     )
 
 
@@ -136,8 +136,8 @@ outages AS (
          CASE WHEN event_id % 1000 = 7 THEN event_id + 1000000000 ELSE user_id END AS entity,
          CASE WHEN event_id % 97 <> 0 THEN ts END AS ts,
          event_type AS outage_type,
-         CASE WHEN event_id % 50 <> 3 THEN value / 7 END AS duration_hours,
-         value * (event_id % 100) / 7 AS customer_hours
+         CASE WHEN event_id % 50 <> 3 THEN sqrt(value) END AS duration_hours,
+         sqrt(value) * (event_id % 100) AS customer_hours
   FROM events)
 """
 

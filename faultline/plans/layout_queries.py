@@ -181,10 +181,10 @@ def _sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         i.alias("event_no"),
         pick([name for name, _ in TYPES], i).alias("type_of_outage"),
         clock.alias("start_time"),
-        F.when(i % 50 != 3, F.col("value") / 7).alias("duration_hours"),
+        F.when(i % 50 != 3, F.sqrt("value")).alias("duration_hours"),
         (F.col("value") * 2).alias("load_loss_mw"),
         (i % 100).alias("no_of_customers_restored"),
-        (F.col("value") / 7).alias("customer_hours_interruption"),
+        (F.sqrt("value")).alias("customer_hours_interruption"),
     )
 
 
@@ -192,7 +192,7 @@ _SILVER_SQL = f"""
 silver AS (
   SELECT event_id, feeder_canonical, outage_type_canonical, event_id % 29 <> 3 AS clean,
          CASE WHEN event_id % 41 <> 5 THEN ts END AS ts,
-         CASE WHEN event_id % 50 <> 3 THEN value / 7 END AS duration, value / 7 AS burden
+         CASE WHEN event_id % 50 <> 3 THEN sqrt(value) END AS duration, sqrt(value) AS burden
   FROM events
   JOIN (VALUES {sql_values(NAMES)}) AS n(i, raw_name, feeder_canonical)
     ON event_id % {len(NAMES)} = n.i

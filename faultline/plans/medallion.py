@@ -93,7 +93,7 @@ def aggregate_gold(spark: SparkSession, lake: str, cfg: PipelineConfig) -> DataF
 def classify_outages(spark: SparkSession, lake: str, cfg: PipelineConfig) -> DataFrame:
     """Train, predict the held-out rows, store model, predictions and metrics."""
     features = read_table_or_fail(spark, f"{lake}/gold/classifier_features", schemas.FEATURES)
-    labeled = classify.with_row_ids(spark, classify.labeled_rows(features, cfg.classifier))
+    labeled = classify.with_row_ids(classify.labeled_rows(features, cfg.classifier))
     model, predictions, split = classify.train_and_predict(labeled, "row_id", cfg.classifier)
     models = f"{lake}/models/outage_classifier"
     model.write().overwrite().save(f"{models}/model")

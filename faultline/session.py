@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -43,3 +43,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, read from a table written to the shared folder: for results that are read
+    more than once, or that must stay as they are when an executor is lost."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

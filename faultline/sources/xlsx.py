@@ -5,9 +5,10 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree as ET
+from xml.parsers import expat
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -15,6 +16,7 @@ REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}i
 # Number formats 14-22 and 45-47 show dates or times; 46 shows elapsed hours.
 BUILT_IN_DATES = frozenset((*range(14, 23), 45, 47))
 BUILT_IN_ELAPSED = frozenset((46,))
+PIECE_BYTES = 1 << 16
 
 
 def _column_index(ref: str) -> int:
@@ -73,8 +75,54 @@ def _number_text(value: str, kind: str, first_1904: bool) -> str:
     return str(int(number)) if number.is_integer() else repr(number)
 
 
+class _Rows:
+    """Collects finished rows while a sheet streams through the XML parser."""
+
+    def __init__(self, cell_text: Callable[[dict, str | None], str | None]):
+        self.finished: list[tuple[int, list[str | None]]] = []
+        self._cell_text = cell_text
+        self._row = -1
+        self._cells: list[str | None] = []
+        self._cell: dict = {}
+        self._value: str | None = None
+        self._reading = False
+        self._phonetic = False
+
+    def start(self, tag: str, attributes: dict) -> None:
+        name = tag.rpartition(" ")[2]
+        if name == "c":
+            self._cell, self._value = attributes, None
+        elif name in ("v", "t"):
+            self._reading = not self._phonetic
+        elif name == "row":
+            self._row, self._cells = int(attributes.get("r", self._row + 2)) - 1, []
+        elif name == "rPh":
+            self._phonetic = True
+
+    def text(self, data: str) -> None:
+        if self._reading:
+            self._value = data if self._value is None else self._value + data
+
+    def end(self, tag: str) -> None:
+        name = tag.rpartition(" ")[2]
+        if name in ("v", "t"):
+            self._reading = False
+        elif name == "c":
+            ref = self._cell.get("r")
+            at = _column_index(ref) if ref else len(self._cells)
+            self._cells += [None] * (at - len(self._cells))
+            self._cells.append(self._cell_text(self._cell, self._value))
+        elif name == "row":
+            self.finished.append((self._row, self._cells))
+        elif name == "rPh":
+            self._phonetic = False
+
+
 def read_sheet(content: bytes, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
-    """(row index from 0, cell texts) of every stored row; blank cells are None."""
+    """(row index from 0, cell texts) of every stored row; blank cells are None.
+
+    The sheet is unpacked and parsed piece by piece, so a long one needs no more memory.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         workbook = ET.fromstring(book.read("xl/workbook.xml"))
         targets = {
@@ -92,11 +140,8 @@ def read_sheet(content: bytes, sheet: str) -> Iterator[tuple[int, list[str | Non
             root = ET.fromstring(book.read("xl/sharedStrings.xml"))
             strings = [_text_of(item) for item in root.findall(f"{MAIN}si")]
 
-        def cell_text(cell: ET.Element) -> str | None:
-            kind, value = cell.get("t", "n"), cell.findtext(f"{MAIN}v")
-            if kind == "inlineStr":
-                inline = cell.find(f"{MAIN}is")
-                return _text_of(inline) if inline is not None else None
+        def cell_text(cell: dict, value: str | None) -> str | None:
+            kind = cell.get("t", "n")
             if value is None or kind == "e":
                 return None
             if kind == "s":
@@ -108,18 +153,16 @@ def read_sheet(content: bytes, sheet: str) -> Iterator[tuple[int, list[str | Non
                 return _number_text(value, kinds[style] if style < len(kinds) else "", first_1904)
             return value
 
+        rows = _Rows(cell_text)
+        parser = expat.ParserCreate(namespace_separator=" ")
+        parser.buffer_text = True
+        parser.StartElementHandler = rows.start
+        parser.CharacterDataHandler = rows.text
+        parser.EndElementHandler = rows.end
         with book.open(f"xl/{targets[sheets[sheet]]}") as stream:
-            next_row = 0
-            for _, node in ET.iterparse(stream):
-                if node.tag != f"{MAIN}row":
-                    continue
-                row_idx = int(node.get("r", next_row + 1)) - 1
-                next_row = row_idx + 1
-                cells: list[str | None] = []
-                for cell in node.findall(f"{MAIN}c"):
-                    ref = cell.get("r")
-                    at = _column_index(ref) if ref else len(cells)
-                    cells += [None] * (at - len(cells))
-                    cells.append(cell_text(cell))
-                yield row_idx, cells
-                node.clear()
+            while piece := stream.read(PIECE_BYTES):
+                parser.Parse(piece)
+                yield from rows.finished
+                rows.finished.clear()
+            parser.Parse(b"", True)
+        yield from rows.finished

@@ -112,7 +112,7 @@ def test_labeled_rows(spark):
 
 
 def test_row_ids_are_unique(spark):
-    df = classify.with_row_ids(spark, features(spark).drop("id"))
+    df = classify.with_row_ids(features(spark).drop("id"))
     assert df.select("row_id").distinct().count() == 400
 
 

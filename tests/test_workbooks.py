@@ -1,4 +1,6 @@
 import datetime as dt
+import io
+import zipfile
 
 import pytest
 
@@ -137,3 +139,22 @@ def test_new_workbooks_are_streamed_into_bronze(spark, tmp_path):
     batch = bronze_of(spark, raw).select(*columns)
     assert batch.exceptAll(landed.select(*columns)).isEmpty()
     assert ingest_workbooks(spark, *folders).count() == 3
+
+
+def test_inline_texts_formulas_errors_and_unnamed_rows():
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    body = (
+        '<row><c t="inlineStr"><is><r><t>a</t></r><r><t>&amp;b</t></r><rPh><t>x</t></rPh></is></c>'
+        '<c t="b"><v>1</v></c><c t="e"><v>#N/A</v></c><c t="str"><f>A1&amp;"z"</f><v>az</v></c>'
+        '<c/><c><v>1e3</v></c></row><row r="4"><c r="AB4"><v>2.50</v></c></row>'
+    )
+    sheet_xml = f"<x:worksheet {ns.replace('xmlns', 'xmlns:x')}><sheetData {ns}>{body}</sheetData></x:worksheet>"
+    source = zipfile.ZipFile(io.BytesIO(workbook_bytes({"S": [["y"]]})))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        for name in source.namelist():
+            data = sheet_xml if name.endswith("s1.xml") else source.read(name)
+            book.writestr(name, data)
+    rows = list(xlsx.read_sheet(out.getvalue(), "S"))
+    assert rows[0] == (0, ["a&b", "True", None, "az", None, "1000"])
+    assert rows[1] == (3, [None] * 27 + ["2.5"])
