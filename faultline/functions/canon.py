@@ -112,8 +112,7 @@ def canonical_type(
     other: str = rules.OTHER,
 ) -> Column:
     """Canonical outage type by the compact spelling; anything unknown becomes `other`."""
-    bare = F.regexp_replace(
-        F.upper(as_column(raw)), unicode_pattern(rules.OUTAGE_TYPE_PUNCTUATION), ""
-    )
+    removed = unicode_pattern(f"{rules.OUTAGE_TYPE_PUNCTUATION}|{SPACE}")
+    bare = F.regexp_replace(F.upper(as_column(raw)), removed, "")
     lookup = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     return F.coalesce(F.try_element_at(lookup, F.translate(bare, "0", "O")), F.lit(other))

@@ -38,7 +38,7 @@ def _name_body(cfg: rules.NameRules) -> str:
 
 def _type_body() -> str:
     pairs = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in rules.OUTAGE_TYPES.items())
-    removed = _quoted(unicode_pattern(rules.OUTAGE_TYPE_PUNCTUATION))
+    removed = _quoted(unicode_pattern(f"{rules.OUTAGE_TYPE_PUNCTUATION}|{SPACE}"))
     bare = f"translate(regexp_replace(upper(raw), {removed}, ''), '0', 'O')"
     return f"coalesce(try_element_at(map({pairs}), {bare}), {_quoted(rules.OTHER)})"
 

@@ -100,9 +100,24 @@ def service_area_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+_CORNER = _sql_target(
+    "latitude", "longitude", f"((i % {VERTICES}) * 360.0 / {VERTICES})", "service_radius_km"
+)
+
+
+@query(
+    f"""WITH {PLACES_SQL},
+    corners AS (
+      SELECT feeder_canonical, i, {_CORNER[1]} AS lon, {_CORNER[0]} AS lat
+      FROM places, (SELECT unnest(range(0, {VERTICES + 1})) AS i)
+      WHERE latitude IS NOT NULL)
+    SELECT p.feeder_canonical, p.confidence,
+           'POLYGON ((' || string_agg(printf('%.6f %.6f', lon, lat), ', ' ORDER BY i) || '))'
+             AS wkt
+    FROM places p LEFT JOIN corners USING (feeder_canonical)
+    GROUP BY p.feeder_canonical, p.confidence"""
+)
 def service_area_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polygon texts. Without SQL: the last digit is rounded differently by each engine."""
     area = geo.service_area_wkt("latitude", "longitude", "service_radius_km", n_vertices=VERTICES)
     return places(spark, sf_dir).select("feeder_canonical", "confidence", area.alias("wkt"))
 
