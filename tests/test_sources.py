@@ -92,3 +92,12 @@ def test_shared_folder_is_the_one_the_session_names():
 def test_location_constants_fit_the_schema(spark):
     assert spark.createDataFrame(list(FEEDER_LOCATIONS), LOCATIONS).count() == 18
     assert schemas.SILVER.names[-1] == "source_month" and len(schemas.SILVER) == 27
+
+
+def test_gathered_rows_are_rebalanced_not_pinned(spark, tmp_path, plan_of):
+    df = spark.range(0, 4000, 1, 8).selectExpr("cast(id as int) AS v", "'MAY' AS source_month")
+    plan = plan_of(tables.gathered(df, "source_month"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    path = str(tmp_path / "t")
+    assert tables.write_checked(spark, tables.gathered(df, "source_month"), path, "source_month") == 4000
+    assert len(list((tmp_path / "t" / "source_month=MAY").glob("*.parquet"))) == 1
