@@ -213,8 +213,8 @@ notices AS (
   GROUP BY h.doc_id, h.no)
 SELECT split.doc_id, len(words)::BIGINT AS n_words,
        coalesce(sum(n_begins) FILTER (WHERE base), 0)::BIGINT AS n_base,
-       (min(first_begin) FILTER (WHERE base))::BIGINT AS first_word,
-       (max(last_begin) FILTER (WHERE base))::BIGINT AS last_word,
+       (min(first_start) FILTER (WHERE base))::BIGINT AS first_word,
+       (max(last_start) FILTER (WHERE base))::BIGINT AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
        coalesce(max(coverage), 0.0)::DOUBLE AS score
