@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, exact_dedup, licenses, line_dedup
+from faultline.llm import chat, exact_dedup, licenses, line_dedup, packing
 from faultline.llm.common import documents
 from faultline.plans.registry import Query
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -84,3 +87,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack(documents(spark, sf_dir), TOKENIZER))
