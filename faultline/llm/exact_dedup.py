@@ -100,14 +100,12 @@ def collisions(docs: DataFrame, shared: DataFrame, how: Fingerprints = Fingerpri
 
     ``shared`` has the fingerprints of several documents, and the doc_id that leads each (``lead``).
     """
-    chunks = stored(fingerprints(docs, how, chunks=True).join(shared, KEY), "exact-chunks")
-    lead = (
-        chunks.filter(F.col("doc_id").eqNullSafe(F.col("lead")))
-        .groupBy(*KEY, "chunk_no")
-        .agg(F.min("chunk").alias("lead_chunk"))
-    )
+    chunks = stored(fingerprints(docs, how, chunks=True).join(shared.hint("merge"), KEY), "exact-chunks")
+    own = chunks.filter(F.col("doc_id").eqNullSafe(F.col("lead")))
+    # stored, so that Spark can split the join where one text has very many copies
+    leads = stored(own.groupBy(*KEY, "chunk_no").agg(F.min("chunk").alias("lead_chunk")), "exact-leads")
     return (
-        chunks.join(lead, [*KEY, "chunk_no"])
+        chunks.join(leads.hint("merge"), [*KEY, "chunk_no"])
         .filter("chunk != lead_chunk")
         .select("doc_id", *KEY, "text_sha256")
         .distinct()
@@ -123,19 +121,23 @@ def exact_groups(docs: DataFrame, how: Fingerprints = Fingerprints()) -> DataFra
     documents of their own. An empty table gives an empty result. Other columns are ignored.
     """
     prints = stored(fingerprints(docs, how).distinct(), "exact-prints")
-    groups = prints.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("lead"))
-    shared = stored(groups.filter("n > 1").drop("n"), "exact-shared")
+    groups = stored(_sizes(prints, KEY), "exact-groups")
+    shared = groups.filter("group_size > 1").select(*KEY, F.col("keep_id").alias("lead"))
     other = stored(collisions(docs, shared, how), "exact-collisions")
-    part = F.lit("")
+    key = KEY
     if not other.isEmpty():  # such texts form groups by their digests
-        prints = prints.join(other.withColumn("apart", F.lit(True)), ["doc_id", *KEY, "text_sha256"], "left")
-        part = F.when(F.col("apart"), F.col("text_sha256")).otherwise("")
-    parted = prints.withColumn("part", part)
-    kept = parted.groupBy(*KEY, "part").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
-    return parted.join(kept, [*KEY, "part"]).select(
+        apart = prints.join(other.withColumn("apart", F.lit(True)), ["doc_id", *KEY, "text_sha256"], "left")
+        prints = apart.withColumn("part", F.when(F.col("apart"), F.col("text_sha256")).otherwise(""))
+        key = [*KEY, "part"]
+        groups = stored(_sizes(prints, key), "exact-groups")
+    return prints.join(groups.hint("merge"), key).select(
         "doc_id",
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
     )
+
+
+def _sizes(prints: DataFrame, key: list[str]) -> DataFrame:
+    return prints.groupBy(*key).agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
