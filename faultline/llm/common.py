@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from faultline.session import stored
 
@@ -54,7 +55,7 @@ def lower_ascii(text: Column) -> Column:
 
 
 def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """fn over slices of the rows that hold few bytes, or one row."""
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, exact_dedup, licenses, line_dedup, packing
+from faultline.llm import chat, exact_dedup, language, licenses, line_dedup, packing, secrets
 from faultline.llm.common import documents
 from faultline.plans.registry import Query
 
@@ -92,3 +92,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(documents(spark, sf_dir), TOKENIZER))
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    learned = docs.filter(F.col("doc_id").isNotNull() & ~language.held_out(F.col("doc_id")))
+    found = language.predict(docs, language.fit_model(learned))
+    return found.withColumn("held_out", language.held_out(F.col("doc_id")))
+
+
+@query()
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digests(secrets.find_secrets(documents(spark, sf_dir)))
