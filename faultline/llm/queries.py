@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, decontaminate, exact_dedup, language, licenses, line_dedup, packing, secrets
+from faultline.llm import chat, decontaminate, exact_dedup, language, licenses, line_dedup, near_dedup, packing, secrets
 from faultline.llm.common import documents
 from faultline.plans.registry import Query
 
@@ -110,3 +110,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+@query(near_dedup.GROUPS_SQL)
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir))
