@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import chat, decontaminate, exact_dedup, language, licenses, line_dedup, near_dedup, packing, secrets
+from faultline.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    language,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    secrets,
+    substring_dedup,
+)
 from faultline.llm.common import documents
 from faultline.plans.registry import Query
 
@@ -115,3 +126,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(near_dedup.GROUPS_SQL)
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(documents(spark, sf_dir))
+
+
+@query(substring_dedup.KEPT_SQL)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
