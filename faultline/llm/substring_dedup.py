@@ -35,8 +35,8 @@ class Windows:
     than ``times`` the mean of the counters. ``bits``: the counters are at most 2 ** bits, however large the input."""
 
     window: int = 20
-    part: int = 3
-    bucket: int = 8192
+    part: int = 2
+    bucket: int = 1 << 15
     crowd: int = 4096
     times: int = 8
     bits: int = 22
@@ -322,7 +322,7 @@ def _hot_repeats(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int) -> D
         "doc_id", "twin", F.col("start").alias("first"), (F.col("start") + F.col("n") + how.window - 1).alias("stop")
     )
     windows = firsts.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-windows // (8 * how.bucket)))
+    buckets = max(1, -(-windows // (4 * how.bucket)))
     parts = _spread(firsts.select("lead.doc_id", "lead.twin", "lead.start", "s"), how, buckets)
     return whole.union(_repeats(parts, how.window))
 
