@@ -14,26 +14,25 @@ def components(links: DataFrame) -> DataFrame:
     Each step links every neighbour of a node to the smallest one: only minima per node are aggregated, and the number
     of steps grows with the logarithm of the longest path. Nothing is collected. Loops and repeated links do no harm.
     """
-    edges = stored(links.filter("a != b").select("a", "b").distinct(), "links")
-    before = None
-    while True:
-        edges = stored(_small_star(stored(_large_star(edges), "links")), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    # every other node now hangs on the smallest of its component
+    greater, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    edges = stored(links.filter("a != b").select(greater, smaller).distinct(), "links")
+    while not _all_stars(edges):
+        edges = stored(_small_star(_large_star(edges)), "links")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select("b", "b").distinct()
     )
 
 
-def _both(edges: DataFrame) -> DataFrame:
-    return edges.union(edges.select("b", "a"))
+def _all_stars(edges: DataFrame) -> bool:
+    """Every node hangs on one smaller node, which hangs on none: that is the smallest of the component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    per_node = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return per_node.filter("hangs + holds > 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    near = _both(edges)
+    near = edges.union(edges.select("b", "a"))
     least = near.groupBy("a").agg(F.min("b").alias("least"))
     least = least.select("a", F.least("a", "least").alias("least"))
     joined = near.join(least.hint("merge"), "a").filter("b > a")
@@ -41,8 +40,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
-    joined = down.join(least.hint("merge"), "a")
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    joined = edges.join(least.hint("merge"), "a")
     hung = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a != b")
     return hung.union(least.select("a", F.col("least").alias("b"))).distinct()

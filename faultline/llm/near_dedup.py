@@ -4,8 +4,10 @@ A few small hashes, each of two minima, are computed per document; every pair of
 m small hashes give m (m - 1) / 2 tables of four minima each, for the price of 2 m minima instead of four per table.
 Documents with the same shingle set are one class; classes meet in the tables and are verified on their full sets.
 
-Groups are never expanded into all pairs. In each table a class is first compared with the smallest of its bucket;
-after that, only classes of a bucket that are not yet connected are compared, which loses no link between components.
+Groups are never expanded into all pairs. In each table a class is first compared with the smallest of its bucket,
+then, if they are not yet connected, with the one that has the fewest shingles of its own; after that, pairs of classes
+that are still in different components are compared unless what they have alone rules them out. That loses no link
+between components.
 """
 
 from __future__ import annotations
@@ -139,35 +141,106 @@ def first_pairs(keys: DataFrame, how: Near) -> DataFrame:
     return pairs.select(F.col("cls").alias("a"), F.col("lead.cls").alias("b")).distinct()
 
 
-def open_pairs(keys: DataFrame, labels: DataFrame, how: Near, all_pairs: bool) -> DataFrame:
-    """Pairs of classes that share a key, but no component yet.
-
-    A bucket's most frequent component is its main one; pairs need one class outside it. With ``all_pairs`` these are
-    all of them, else only those with the smallest class outside the main component.
-    """
-    labelled = keys.join(labels.hint("merge"), keys["cls"] == labels["node"], "left").select(
-        "key", "cls", "n", F.coalesce("component", "cls").alias("label")
+def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, cls, n, lone, label and main (the most frequent component) of the buckets that hold several components."""
+    labelled = rows.join(labels.hint("merge"), rows["cls"] == labels["node"], "left").select(
+        "key", "cls", "n", "lone", F.coalesce("component", "cls").alias("label")
     )
     labelled = stored(labelled, "near-labelled")
-    parts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"), F.min(F.struct("cls", "n")).alias("low"))
+    parts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
     mains = parts.groupBy("key").agg(
-        F.max_by("label", F.struct("c", "label")).alias("main"),
-        F.count("*").alias("labels"),
-        F.sum("c").alias("size"),
+        F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("components")
     )
-    split = stored(mains.filter("labels > 1"), "near-split")
-    own = labelled.join(split.select("key", "main").hint("merge"), "key")
-    own = stored(own, "near-open")
-    outside = own.filter("label != main")
-    if not all_pairs:
-        outside = outside.groupBy("key").agg(F.min(F.struct("cls", "n", "label")).alias("o")).select("key", "o.*")
-    outside = stored(
-        outside.select(
-            "key", F.col("cls").alias("o_cls"), F.col("n").alias("o_n"), F.col("label").alias("o_label")
-        ),
-        "near-outside",
+    split = stored(mains.filter("components > 1").drop("components"), "near-split")
+    return stored(labelled.join(split.hint("merge"), "key"), "near-open")
+
+
+def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """cls, lone: how many shingles of a class no other class in ``rows`` has.
+
+    The sets' hashes travel packed, a batch's share of a bucket in one row, and are counted bucket by bucket.
+    """
+    some = rows.select("cls").distinct()
+    own = sets.join(some.hint("merge"), "cls", "left_semi")
+    total = own.agg(F.sum(F.octet_length("set"))).first()[0] or 0
+    buckets = 1 + total // (8 << 20)
+
+    def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        each = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("set")]
+        hashes = np.concatenate(each)
+        owner = np.repeat(np.arange(len(each), dtype=np.int32), [len(x) for x in each])
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = [
+            (b, list(dict.fromkeys(owner[o].tolist())), owner[o], hashes[o])
+            for b, o in ((b, order[cuts[b] : cuts[b + 1]]) for b in range(buckets))
+            if len(o)
+        ]
+        classes = batch.column("cls").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[0] for r in rows], pa.int64()),
+                pa.array([[classes[k] for k in r[1]] for r in rows], pa.list_(pa.binary())),
+                pa.array([np.searchsorted(r[1], r[2]).astype("<i4").tobytes() for r in rows], pa.binary()),
+                pa.array([r[3].tobytes() for r in rows], pa.binary()),
+            ],
+            ["bucket", "classes", "owners", "hashes"],
+        )
+
+    def count(table: pa.Table) -> pa.Table:
+        classes, owners, hashes = [], [], []
+        for row in table.to_pylist():
+            owners.append(np.frombuffer(row["owners"], "<i4") + len(classes))
+            hashes.append(np.frombuffer(row["hashes"], np.uint64))
+            classes += row["classes"]
+        _, first, times = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+        alone = np.bincount(np.concatenate(owners)[first[times == 1]], minlength=len(classes))
+        return pa.table({"cls": pa.array(classes, pa.binary()), "lone": pa.array(alone, pa.int64())})
+
+    packed = map_batches(own, pack, "bucket long, classes array<binary>, owners binary, hashes binary")
+    counted = packed.groupBy("bucket").applyInArrow(count, "cls binary, lone long")
+    return counted.groupBy("cls").agg(F.sum("lone").alias("lone"))
+
+
+def _possible(how: Near, a: str, b: str) -> str:
+    """What only one of two sets has is outside their intersection: 100 * both >= percent * (both + lone + lone)."""
+    both = f"least({a}n - {a}lone, {b}n - {b}lone)"
+    return f"{100 - how.percent} * {both} >= {how.percent} * ({a}lone + {b}lone) AND {_close(how, f'{a}n', f'{b}n')}"
+
+
+def lead_pairs(rows: DataFrame, how: Near) -> DataFrame:
+    """In each bucket, the class with the fewest lone shingles and those of other components that it may be like.
+
+    What is like any member of the bucket is mostly like this one.
+    """
+    lead = stored(rows.groupBy("key").agg(F.min(F.struct("lone", "cls", "n", "label")).alias("o")), "near-leads")
+    lead = lead.select("key", *[F.col(f"o.{c}").alias(f"o_{c}") for c in ("cls", "n", "lone", "label")])
+    return _pairs(rows, lead, how)
+
+
+def rest_pairs(rows: DataFrame, how: Near) -> DataFrame:
+    """All pairs of a bucket's classes in different components that may be similar enough.
+
+    Each has a class outside the bucket's main component. Rows that cannot be like any other, by the fewest lone
+    shingles of those they would be paired with, are left out before anything is paired.
+    """
+    outside = F.col("label") != F.col("main")
+    least = rows.groupBy("key").agg(
+        F.min("lone").alias("low"), F.min(F.when(outside, F.col("lone"))).alias("low_outside")
     )
-    pairs = own.join(outside.hint("merge"), "key").filter("label != o_label").filter(_close(how, "n", "o_n"))
+    near = rows.join(stored(least, "near-least").hint("merge"), "key")
+    low = F.when(outside, F.col("low")).otherwise(F.col("low_outside"))
+    near = near.filter((100 - how.percent) * (F.col("n") - F.col("lone")) >= how.percent * (F.col("lone") + low))
+    near = stored(near, "near-possible")
+    others = near.filter("label != main").select(
+        "key", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "lone", "label")]
+    )
+    return _pairs(near, others, how)
+
+
+def _pairs(rows: DataFrame, others: DataFrame, how: Near) -> DataFrame:
+    pairs = rows.join(others.hint("merge"), "key").filter("label != o_label").filter(_possible(how, "", "o_"))
     return pairs.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
 
 
@@ -187,6 +260,15 @@ def verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     return map_batches(two, run, "a binary, b binary")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links."""
+    links = stored(links, "near-links")
+    if links.isEmpty():
+        return labels
+    hung = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return stored(components(hung.union(links)), "near-labels")
+
+
 def candidate_sets(docs: DataFrame, keys: DataFrame, classes: DataFrame, how: Near) -> DataFrame:
     """cls, set (sorted hashes) of the classes that share a key, from the text of one document of each."""
 
@@ -221,13 +303,14 @@ def near_groups(docs: DataFrame, how: Near = Near()) -> DataFrame:
     )
     keys = stored(table_keys(classes.select("cls", "n", "small")), "near-keys")
     sets = stored(candidate_sets(docs, keys, classes, how), "near-sets")
-    links = stored(verified(first_pairs(keys, how), sets, how), "near-links")
-    labels = stored(components(links), "near-labels")
-    for all_pairs in (False, True):
-        more = stored(verified(open_pairs(keys, labels, how, all_pairs), sets, how), "near-links")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = stored(components(links), "near-labels")
+    labels = stored(components(stored(verified(first_pairs(keys, how), sets, how), "near-links")), "near-labels")
+    rows = open_rows(keys.withColumn("lone", F.lit(0).cast("long")), labels)
+    lone = stored(lone_shingles(rows, sets), "near-lone")
+    rows = rows.drop("lone").join(lone.hint("merge"), "cls").select("key", "cls", "n", "lone", "label", "main")
+    rows = stored(rows, "near-rows")
+    labels = merged(labels, verified(lead_pairs(rows, how), sets, how))
+    rows = open_rows(rows.select("key", "cls", "n", "lone"), labels)
+    labels = merged(labels, verified(rest_pairs(rows, how), sets, how))
     of_class = classes.select("cls", "rep").join(
         labels.hint("merge"), F.col("cls") == F.col("node"), "left"
     ).select("cls", "rep", "component")
