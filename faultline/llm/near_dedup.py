@@ -29,6 +29,11 @@ _LOWER[65:91] += 32
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+BITS = 1024
+_LONGS = [f"b{i}" for i in range(BITS // 64)]
+_OWN = ("cls", "n", "lone", "label", "small", *_LONGS)
+
+
 @dataclass(frozen=True)
 class Near:
     """``words`` per shingle, ``percent``: least similarity, ``small``: small hashes of two minima each.
@@ -107,7 +112,7 @@ def sketches(docs: DataFrame, how: Near) -> DataFrame:
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """cls, n, key: the tables' keys that at least two classes share. ``classes``: cls, n, small.
+    """cls, n, key, i, j: the tables' keys that at least two classes share, and the small hashes they combine.
 
     Only small hashes that several classes have can be half of such a key, so the others form none.
     """
@@ -119,11 +124,14 @@ def table_keys(classes: DataFrame) -> DataFrame:
         F.transform(
             "hs",
             lambda x, p: F.transform(
-                F.slice("hs", p + 2, F.size("hs")), lambda y: F.xxhash64(x["i"], x["h"], y["i"], y["h"])
+                F.slice("hs", p + 2, F.size("hs")),
+                lambda y: F.struct(
+                    F.xxhash64(x["i"], x["h"], y["i"], y["h"]).alias("key"), x["i"].alias("i"), y["i"].alias("j")
+                ),
             ),
         )
     )
-    keys = own.filter(F.size("hs") > 1).select("cls", "n", F.explode(pairs).alias("key"))
+    keys = own.filter(F.size("hs") > 1).select("cls", "n", F.inline(pairs))
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     return keys.join(shared.hint("merge"), "key", "left_semi")
 
@@ -142,9 +150,10 @@ def first_pairs(keys: DataFrame, how: Near) -> DataFrame:
 
 
 def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, cls, n, lone, label and main (the most frequent component) of the buckets that hold several components."""
+    """``rows`` (key, cls, more) of the buckets that hold several components, with the component of each as ``label``
+    and the bucket's most frequent one as ``main``."""
     labelled = rows.join(labels.hint("merge"), rows["cls"] == labels["node"], "left").select(
-        "key", "cls", "n", "lone", F.coalesce("component", "cls").alias("label")
+        *rows.columns, F.coalesce("component", "cls").alias("label")
     )
     labelled = stored(labelled, "near-labelled")
     parts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
@@ -155,6 +164,28 @@ def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(labelled.join(split.hint("merge"), "key"), "near-open")
 
 
+def sample_bits(hashes: np.ndarray) -> np.ndarray:
+    """The lowest bits of BITS minima of a set: two sets of similarity s differ in (1 - s) / 2 of them on average."""
+    bits = np.empty(BITS, np.uint8)
+    for k in range(BITS):
+        seen = (hashes ^ _SEEDS[k]) * _SEEDS[4095 - k]
+        least = np.min((seen ^ (seen >> np.uint64(29))) * _SEEDS[(k * 7) % 4096])
+        bits[k] = (int(least) >> 17) & 1
+    return np.packbits(bits).view(np.int64)
+
+
+def bit_samples(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """cls and its sample bits, as longs."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        each = [sample_bits(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column("set")]
+        longs = [pa.array(column) for column in np.stack(each).T.copy()]
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), *longs], ["cls", *_LONGS])
+
+    own = sets.join(rows.select("cls").distinct().hint("merge"), "cls", "left_semi")
+    return map_batches(own, run, "cls binary, " + ", ".join(f"{c} long" for c in _LONGS))
+
+
 def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """cls, lone: how many shingles of a class no other class in ``rows`` has.
 
@@ -204,9 +235,17 @@ def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _possible(how: Near, a: str, b: str) -> str:
-    """What only one of two sets has is outside their intersection: 100 * both >= percent * (both + lone + lone)."""
+    """What only one of two sets has is outside their intersection: 100 * both >= percent * (both + lone + lone).
+
+    And their sample bits differ by no more than is usual at the least similarity, plus four deviations: that passes
+    over similar sets with a probability of 3e-5 at the least similarity, and less above.
+    """
     both = f"least({a}n - {a}lone, {b}n - {b}lone)"
-    return f"{100 - how.percent} * {both} >= {how.percent} * ({a}lone + {b}lone) AND {_close(how, f'{a}n', f'{b}n')}"
+    differ = (1 - how.percent / 100) / 2
+    most = int(BITS * differ + 4 * (BITS * differ * (1 - differ)) ** 0.5)
+    bits = " + ".join(f"bit_count({a}{c} ^ {b}{c})" for c in _LONGS)
+    bound = f"{100 - how.percent} * {both} >= {how.percent} * ({a}lone + {b}lone)"
+    return f"{_close(how, f'{a}n', f'{b}n')} AND {bound} AND {bits} <= {most}"
 
 
 def lead_pairs(rows: DataFrame, how: Near) -> DataFrame:
@@ -214,8 +253,8 @@ def lead_pairs(rows: DataFrame, how: Near) -> DataFrame:
 
     What is like any member of the bucket is mostly like this one.
     """
-    lead = stored(rows.groupBy("key").agg(F.min(F.struct("lone", "cls", "n", "label")).alias("o")), "near-leads")
-    lead = lead.select("key", *[F.col(f"o.{c}").alias(f"o_{c}") for c in ("cls", "n", "lone", "label")])
+    lead = rows.groupBy("key").agg(F.min(F.struct("lone", "cls", "n", "label", "small", *_LONGS)).alias("o"))
+    lead = stored(lead, "near-leads").select("key", *[F.col(f"o.{c}").alias(f"o_{c}") for c in _OWN])
     return _pairs(rows, lead, how)
 
 
@@ -233,14 +272,16 @@ def rest_pairs(rows: DataFrame, how: Near) -> DataFrame:
     low = F.when(outside, F.col("low")).otherwise(F.col("low_outside"))
     near = near.filter((100 - how.percent) * (F.col("n") - F.col("lone")) >= how.percent * (F.col("lone") + low))
     near = stored(near, "near-possible")
-    others = near.filter("label != main").select(
-        "key", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "lone", "label")]
-    )
-    return _pairs(near, others, how)
+    others = near.filter("label != main").select("key", *[F.col(c).alias(f"o_{c}") for c in _OWN])
+    # each pair speaks once: in the table of its first two common small hashes, and in one order
+    earlier = [f"IF({k} < j AND {k} != i AND small[{k}] = o_small[{k}], 1, 0)" for k in range(how.small)]
+    once = f"{' + '.join(earlier)} = 0 AND (label = main OR cls < o_cls)"
+    return _pairs(near, others, how, once)
 
 
-def _pairs(rows: DataFrame, others: DataFrame, how: Near) -> DataFrame:
-    pairs = rows.join(others.hint("merge"), "key").filter("label != o_label").filter(_possible(how, "", "o_"))
+def _pairs(rows: DataFrame, others: DataFrame, how: Near, once: str = "true") -> DataFrame:
+    meet = f"label != o_label AND {once} AND {_possible(how, '', 'o_')}"
+    pairs = rows.join(others.hint("merge"), "key").filter(meet)
     return pairs.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
 
 
@@ -304,12 +345,11 @@ def near_groups(docs: DataFrame, how: Near = Near()) -> DataFrame:
     keys = stored(table_keys(classes.select("cls", "n", "small")), "near-keys")
     sets = stored(candidate_sets(docs, keys, classes, how), "near-sets")
     labels = stored(components(stored(verified(first_pairs(keys, how), sets, how), "near-links")), "near-labels")
-    rows = open_rows(keys.withColumn("lone", F.lit(0).cast("long")), labels)
-    lone = stored(lone_shingles(rows, sets), "near-lone")
-    rows = rows.drop("lone").join(lone.hint("merge"), "cls").select("key", "cls", "n", "lone", "label", "main")
-    rows = stored(rows, "near-rows")
+    rows = open_rows(keys, labels)
+    facts = lone_shingles(rows, sets).join(bit_samples(rows, sets), "cls").join(classes.select("cls", "small"), "cls")
+    rows = stored(rows.join(stored(facts, "near-facts").hint("merge"), "cls"), "near-rows")
     labels = merged(labels, verified(lead_pairs(rows, how), sets, how))
-    rows = open_rows(rows.select("key", "cls", "n", "lone"), labels)
+    rows = open_rows(rows.drop("label", "main"), labels)
     labels = merged(labels, verified(rest_pairs(rows, how), sets, how))
     of_class = classes.select("cls", "rep").join(
         labels.hint("merge"), F.col("cls") == F.col("node"), "left"
