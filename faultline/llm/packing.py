@@ -10,9 +10,9 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
-from functools import cache
-from itertools import count, islice
+from collections.abc import Callable, Iterator
+from functools import cache, lru_cache
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,9 +25,9 @@ CACHE_WORDS = 300_000
 CUT_CHARS = 1 << 18
 
 _ODD_SPACE = re.compile(r" \s")
-_SPACE = re.compile(" ")
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
 _TAIL = ".,;:!?"
+_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")  # with the space before them, one pre-token
 _LINES = re.compile(r"(?<=\S)\n(?=\S)")
 
 
@@ -60,39 +60,39 @@ class Encoder:
         ranks = {bytes(byte[c] for c in k): v for k, v in stated["model"]["vocab"].items() if k not in special}
         merges = tiktoken.Encoding("merges", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
         self.merged = merges._core_bpe.encode_single_piece
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = Words(self.part)
+        self.plain = lru_cache(maxsize=10_000)(self._plain)  # punctuation, mostly
 
-    def plain(self, text: str) -> bytes:
+    def _plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        units = (_CUT if _ODD_SPACE.search(text) or text[:1] == " " else _SPACE).split(text)
-        first, words = self.part(units[0]), self.words
-        try:
-            found = [words[u] for u in islice(units, 1, None)]
-        except KeyError:
-            words = self.learn(set(units[1:]))
-            found = [words[u] for u in islice(units, 1, None)]
-        return first + b"".join(found)
-
-    def learn(self, units: set[str]) -> dict[str, bytes]:
-        """The ids of words that all are to be known afterwards."""
-        if len(self.words) > CACHE_WORDS:
-            self.words, self.older = {}, self.words
-        words, older = self.words, self.older
-        for u in units:
-            if u not in words:
-                words[u] = older.get(u) or b"".join(map(self.part, parts(u)))
-        return words
+        odd = _ODD_SPACE.search(text) or text[:1] == " "
+        first, *units = _CUT.split(text) if odd else text.split(" ")
+        return b"".join(map(self.part, parts(first))) + b"".join(map(self.words.__getitem__, units))
 
     def part(self, part: str) -> bytes:
-        letters = part[1:] if part[:1] == " " else part
-        if letters.isalpha() and max(letters) < "\u0250":
+        if _LETTERS.fullmatch(part):
             return array("I", self.merged(part.encode())).tobytes()
         return self.plain(part) if part else b""
 
 
+class Words(dict):
+    """Ids of words, each with the space before it. What was not asked for lately is forgotten."""
+
+    def __init__(self, part: Callable[[str], bytes]) -> None:
+        self.part = part
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.older.get(unit) or b"".join(map(self.part, parts(" " + unit)))
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[unit] = found
+        return found
+
+
 def byte_characters() -> list[str]:
     """The character that stands for each byte in a byte-level BPE vocabulary: itself if printable, else from 256 on."""
     shown = [33 <= b < 127 or 161 <= b < 173 or b >= 174 for b in range(256)]
@@ -101,12 +101,12 @@ def byte_characters() -> list[str]:
 
 
 def parts(unit: str) -> list[str]:
-    """A word, with the space before it, in parts that are encoded alike on their own."""
+    """A word in parts that are encoded alike on their own."""
     out = []
-    for i, line in enumerate(_LINES.split(" " + unit)):
+    for i, line in enumerate(_LINES.split(unit) if "\n" in unit else (unit,)):
         stem = line.rstrip(_TAIL)
         out += ["\n"] * (i > 0)
-        if stem and len(stem) < len(line) and stem[-1] < "\u0250" and stem[-1].isalpha():
+        if len(stem) < len(line) and _LETTERS.fullmatch(stem):
             out += [stem, line[len(stem) :]]
         else:
             out.append(line)
