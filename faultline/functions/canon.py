@@ -2,57 +2,63 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions import rules
-from faultline.functions.text import SPACE, as_column, unicode_pattern
+from faultline.functions.text import SPACE, unicode_pattern
 
 
-def _any_contained(text: Column, needles: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(n) for n in needles])
+def quoted(value: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def compact_key(text: Column, cfg: rules.NameRules) -> Column:
-    """Corrected text without separators, noise words and spaces.
+def key_sql(text: str, cfg: rules.NameRules) -> str:
+    """The corrected text without separators, noise words and spaces, as SQL over a column.
 
     One pattern removes all three: separators and spaces are no word characters, so a noise
     word has the same boundaries whether or not they are still there.
     """
     for typo, fix in cfg.typos:
-        text = F.replace(text, F.lit(typo), F.lit(fix))
-    return F.regexp_replace(text, unicode_pattern(f"{cfg.separators}|{SPACE}|{cfg.noise}"), "")
+        text = f"replace({text}, {quoted(typo)}, {quoted(fix)})"
+    removed = quoted(unicode_pattern(f"{cfg.separators}|{SPACE}|{cfg.noise}"))
+    return f"regexp_replace({text}, {removed}, '')"
 
 
-def resolve(text: Column, key: Column, cfg: rules.NameRules) -> Column:
+def name_sql(text: str, key: str, cfg: rules.NameRules) -> str:
     """Canonical name from the upper-case text (guard) and its compact key (all other rules).
 
-    One flat chain of branches over columns that are never null: the generated code stays
-    small enough to be compiled together with the rest of its stage.
+    One flat chain of branches: the generated code stays small enough to be compiled together
+    with the rest of its stage. A null text is unmapped.
     """
-    branches: list[tuple[Column, str]] = []
+    branches = [(f"{text} IS NULL", cfg.unmapped)]
     if cfg.guard:
-        branches.append((text.rlike(unicode_pattern(cfg.guard)), cfg.unmapped))
+        branches.append((f"{text} RLIKE {quoted(unicode_pattern(cfg.guard))}", cfg.unmapped))
     for family in cfg.families:
-        in_family = key.contains(family.marker)
+        marked = f"contains({key}, {quoted(family.marker)})"
         for name, tokens in family.members:
-            if tokens != (family.marker,):
-                branches.append((in_family & _any_contained(key, tokens), name))
-            else:
-                branches.append((in_family, name))
-        branches.append((in_family, cfg.unmapped))
-    long_enough = F.length(key) >= cfg.min_reverse_len
+            held = " OR ".join(f"contains({key}, {quoted(token)})" for token in tokens)
+            branches.append((marked if tokens == (family.marker,) else f"{marked} AND ({held})", name))
+        branches.append((marked, cfg.unmapped))
     for name in cfg.names:
-        bare = name.replace(" ", "").replace("/", "")
-        held = F.lit(bare).contains(key)
-        held = held & long_enough if cfg.min_reverse_len else held
-        branches.append((key.contains(bare) | held, name))
-    chain = F.when(*branches[0])
-    for condition, name in branches[1:]:
-        chain = chain.when(condition, name)
-    return chain.otherwise(cfg.unmapped)
+        bare = quoted(name.replace(" ", "").replace("/", ""))
+        held = f"contains({bare}, {key})"
+        if cfg.min_reverse_len:
+            held = f"(length({key}) >= {cfg.min_reverse_len} AND {held})"
+        branches.append((f"contains({key}, {bare}) OR {held}", name))
+    cases = " ".join(f"WHEN {condition} THEN {quoted(name)}" for condition, name in branches)
+    return f"CASE {cases} ELSE {quoted(cfg.unmapped)} END"
+
+
+def type_sql(
+    raw: str, types: dict[str, str] = rules.OUTAGE_TYPES, other: str = rules.OTHER
+) -> str:
+    """Canonical outage type by the compact spelling; anything unknown becomes `other`."""
+    pairs = ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in types.items())
+    removed = quoted(unicode_pattern(f"{rules.OUTAGE_TYPE_PUNCTUATION}|{SPACE}"))
+    bare = f"translate(regexp_replace(upper({raw}), {removed}, ''), '0', 'O')"
+    return f"coalesce(try_element_at(map({pairs}), {bare}), {quoted(other)})"
 
 
 def with_canonical_name(
@@ -69,16 +75,11 @@ def with_canonical_name(
     branches. Outer spaces need no trimming: no rule depends on them.
     """
     text, key = f"__{out}_text", f"__{out}_key"
-    keys = F.array(F.coalesce(compact_key(F.col(text), cfg), F.lit("")))
+    keys = F.array(F.coalesce(F.expr(key_sql(f"`{text}`", cfg)), F.lit("")))
     return (
-        df.withColumn(text, F.coalesce(F.upper(F.col(raw)), F.lit("")))
+        df.withColumn(text, F.upper(F.col(raw)))
         .select("*", F.explode(keys).alias(key))
-        .withColumn(
-            out,
-            F.when(F.col(raw).isNull(), cfg.unmapped).otherwise(
-                resolve(F.col(text), F.col(key), cfg)
-            ),
-        )
+        .withColumn(out, F.expr(name_sql(f"`{text}`", f"`{key}`", cfg)))
         .drop(text, key)
     )
 
@@ -88,31 +89,21 @@ def with_canonical_name_by_spelling(
     raw: str,
     out: str = "feeder_canonical",
     cfg: rules.NameRules = rules.FEEDER_RULES,
-    max_spellings: int = 20_000,
 ) -> DataFrame:
     """The same column, with the rules run once per distinct spelling of a stored table.
 
     Real tables have few spellings (hundreds), and looking a name up is far cheaper than
-    cleaning it. One pass over the raw column counts them; with more than `max_spellings`
-    the rules run per row instead, so what is broadcast stays small.
+    cleaning it. Spellings are found by aggregation and joined back; Spark broadcasts them
+    while they are few and splits a heavy one otherwise.
     """
-    spellings = with_canonical_name(df.select(raw).distinct(), raw, out, cfg)
-    found = spellings.limit(max_spellings + 1).collect()
-    if len(found) > max_spellings:
-        return with_canonical_name(df, raw, out, cfg)
     key = f"__{out}_raw"
-    lookup = df.sparkSession.createDataFrame(found, f"{key} string, {out} string")
-    same = F.col(raw).eqNullSafe(F.col(key))
-    return df.join(F.broadcast(lookup), same, "left").drop(key)
+    named = with_canonical_name(df.select(raw).distinct(), raw, out, cfg)
+    lookup = named.withColumnRenamed(raw, key)
+    return df.join(lookup, F.col(raw).eqNullSafe(F.col(key)), "left").drop(key)
 
 
 def canonical_type(
-    raw: Column | str,
-    types: dict[str, str] = rules.OUTAGE_TYPES,
-    other: str = rules.OTHER,
+    raw: str, types: dict[str, str] = rules.OUTAGE_TYPES, other: str = rules.OTHER
 ) -> Column:
-    """Canonical outage type by the compact spelling; anything unknown becomes `other`."""
-    removed = unicode_pattern(f"{rules.OUTAGE_TYPE_PUNCTUATION}|{SPACE}")
-    bare = F.regexp_replace(F.upper(as_column(raw)), removed, "")
-    lookup = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
-    return F.coalesce(F.try_element_at(lookup, F.translate(bare, "0", "O")), F.lit(other))
+    """The rule of :func:`type_sql` for a column given by name."""
+    return F.expr(type_sql(f"`{raw}`", types, other))

@@ -5,50 +5,16 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from faultline.functions import rules
-from faultline.functions.text import SPACE, unicode_pattern
-
-
-def _quoted(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _name_body(cfg: rules.NameRules) -> str:
-    fixed = "t"
-    for typo, fix in cfg.typos:
-        fixed = f"replace({fixed}, {_quoted(typo)}, {_quoted(fix)})"
-    removed = _quoted(unicode_pattern(f"{cfg.separators}|{SPACE}|{cfg.noise}"))
-    branches = [("t IS NULL", cfg.unmapped)]
-    if cfg.guard:
-        branches.append((f"t RLIKE {_quoted(unicode_pattern(cfg.guard))}", cfg.unmapped))
-    for family in cfg.families:
-        marked = f"contains(k, {_quoted(family.marker)})"
-        for name, tokens in family.members:
-            held = " OR ".join(f"contains(k, {_quoted(token)})" for token in tokens)
-            branches.append((f"{marked} AND ({held})", name))
-        branches.append((marked, cfg.unmapped))
-    for name in cfg.names:
-        bare = _quoted(name.replace(" ", "").replace("/", ""))
-        short = f"length(k) >= {cfg.min_reverse_len} AND contains({bare}, k)"
-        branches.append((f"contains(k, {bare}) OR ({short})", name))
-    cases = " ".join(f"WHEN {condition} THEN {_quoted(name)}" for condition, name in branches)
-    return f"""(SELECT CASE {cases} ELSE {_quoted(cfg.unmapped)} END
-      FROM (SELECT t, regexp_replace({fixed}, {removed}, '') AS k
-            FROM (SELECT upper(raw) AS t)))"""
-
-
-def _type_body() -> str:
-    pairs = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in rules.OUTAGE_TYPES.items())
-    removed = _quoted(unicode_pattern(f"{rules.OUTAGE_TYPE_PUNCTUATION}|{SPACE}"))
-    bare = f"translate(regexp_replace(upper(raw), {removed}, ''), '0', 'O')"
-    return f"coalesce(try_element_at(map({pairs}), {bare}), {_quoted(rules.OTHER)})"
+from faultline.functions.canon import key_sql, name_sql, type_sql
 
 
 def register_sql_functions(
     spark: SparkSession, name_rules: rules.NameRules = rules.FEEDER_RULES
 ) -> None:
     """Temporary functions canonical_feeder(raw) and canonical_outage_type(raw)."""
-    bodies = {"canonical_feeder": _name_body(name_rules), "canonical_outage_type": _type_body()}
-    for name, body in bodies.items():
+    name = f"""(SELECT {name_sql("t", "k", name_rules)}
+      FROM (SELECT t, {key_sql("t", name_rules)} AS k FROM (SELECT upper(raw) AS t)))"""
+    for function, body in {"canonical_feeder": name, "canonical_outage_type": type_sql("raw")}.items():
         spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(raw STRING) RETURNS STRING RETURN {body}"
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {function}(raw STRING) RETURNS STRING RETURN {body}"
         )

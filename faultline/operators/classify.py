@@ -13,6 +13,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import (
     IndexToString,
     OneHotEncoder,
+    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
 )
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions import rules
+from faultline.operators.ranking import counted_before
 from faultline.session import stored
 from faultline.sources.tables import union_frames
 
@@ -32,22 +34,20 @@ NUMERIC_FEATURES = (
 )
 LABEL = "outage_type_canonical"
 ENTITY = "feeder_canonical"
-# Tables with one row per class go to every executor, so the number of classes is checked.
-MAX_CLASSES = 10_000
-# The split looks at the first 4 hex digits of a row's hash.
+# The split looks at the hex digits of a row's hash, so many at a time.
 HASH_PREFIX = 4
 
 
 @dataclass(frozen=True)
 class ClassifierConfig:
-    """`forest` trains all classes at once; `boosted` trains one boosted model per class."""
+    """`boosted` trains one boosted model per class; `forest` trains all classes at once."""
 
-    kind: str = "forest"
+    kind: str = "boosted"
     numeric: tuple[str, ...] = NUMERIC_FEATURES
     categorical: tuple[str, ...] = (ENTITY,)
     label: str = LABEL
     depth: int = 6
-    trees: int = 50
+    trees: int = 200
     learning_rate: float = 0.1
     seed: int = 42
     test_fraction: float = 0.2
@@ -80,38 +80,60 @@ def split_sizes(class_counts: DataFrame, label: str, test_fraction: float) -> Da
     proportion to class size; rows left over by rounding go to the largest remainders, then
     in label order.
     """
-    every = Window.partitionBy()
-    by_remainder = Window.orderBy(F.col("__rest").desc(), label)
-    n, total = F.col("n"), F.col("__total")
-    classes = F.count(F.lit(1)).over(every)
-    sized = class_counts.select(
-        label,
-        "n",
-        F.sum("n").over(every).alias("__total"),
-        classes.alias("__classes"),
-        F.min("n").over(every).alias("__least"),
-    )
+    n, total = F.col("n"), F.col("__all.total")
+    whole = class_counts.agg(
+        F.struct(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")
+        )
+    ).scalar()
     n_test = F.ceil(F.lit(test_fraction) * total).cast("bigint")
     problem = (
-        F.when(F.col("__classes") > MAX_CLASSES, F.lit("too many classes"))
-        .when(F.col("__least") < 2, F.lit("a class has fewer than 2 rows"))
-        .when(n_test < F.col("__classes"), F.lit("fewer test rows than classes"))
-        .when(total - n_test < F.col("__classes"), F.lit("fewer training rows than classes"))
+        F.when(F.col("__all.least") < 2, F.lit("a class has fewer than 2 rows"))
+        .when(n_test < F.col("__all.classes"), F.lit("fewer test rows than classes"))
+        .when(total - n_test < F.col("__all.classes"), F.lit("fewer training rows than classes"))
     )
     checked = F.when(problem.isNotNull(), F.raise_error(problem).cast("bigint")).otherwise(
         total - n_test
     )
     # The product of two row counts outgrows 64 bits.
     share = n.cast("decimal(19,0)") * F.col("__train").cast("decimal(19,0)")
-    dealt = (
-        sized.withColumn("__train", checked)
+    dealt = stored(
+        class_counts.select(label, "n", whole.alias("__all"))
+        .withColumn("__train", checked)
         .withColumn("__rest", (share % total).cast("bigint"))
         .withColumn("__floor", ((share - F.col("__rest")) / total).cast("bigint"))
-        .withColumn("__left", F.col("__train") - F.sum("__floor").over(every))
-        .withColumn("__turn", F.row_number().over(by_remainder))
+        .withColumn("__one", F.lit(1))
+        .select(label, "n", "__train", "__rest", "__floor", "__one"),
+        "split-sizes",
+    )
+    left = dealt.agg(F.max("__train") - F.sum("__floor")).scalar()
+    turns = counted_before(dealt, [F.col("__rest").desc(), F.col(label)], "__one", "__turn")
+    train = F.col("__floor") + (F.col("__turn") < left).cast("bigint")
+    return turns.select(label, "n", train.alias("n_train")).select(
+        label, "n", "n_train", (n - F.col("n_train")).alias("n_test")
+    )
+
+
+def _cut(hashed: DataFrame, label: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of each class with the next digits of the hash at which its count is reached,
+    and how many of these rows are still wanted. `wanted`: label, need."""
+    rows = hashed.withColumn("__p", F.substring("__rest_of", 1, HASH_PREFIX))
+    histogram = rows.groupBy(label, "__p").agg(F.count(F.lit(1)).alias("__m"))
+    upto = F.sum("__m").over(Window.partitionBy(label).orderBy("__p"))
+    before = F.col("__upto") - F.col("__m")
+    cuts = (
+        histogram.withColumn("__upto", upto)
+        .join(wanted, label)
+        .filter((before < F.col("need")) & (F.col("__upto") >= F.col("need")))
+        .select(label, F.col("__p").alias("__cut"), (F.col("need") - before).alias("need"))
+    )
+    cuts = stored(cuts, "split-cuts")
+    inside = rows.join(cuts.select(label, "__cut"), label).filter(F.col("__p") == F.col("__cut"))
+    rest = F.substring("__rest_of", HASH_PREFIX + 1, 32)
+    return (
+        inside.select(label, "__h", rest.alias("__rest_of")),
+        cuts.select(label, "need"),
     )
-    train = F.col("__floor") + (F.col("__turn") <= F.col("__left")).cast("bigint")
-    return dealt.select(label, "n", train.alias("n_train"), (n - train).alias("n_test"))
 
 
 def stratified_split(
@@ -124,35 +146,29 @@ def stratified_split(
 ) -> DataFrame:
     """Flag the test rows: per class, exactly the rows with the smallest hash of `key`.
 
-    `key` is unique; rows without a label are never in the test. The class sizes may be anything, so no class is ever sorted. A
-    histogram over hash prefixes shows in which of the 65,536 prefixes a class is cut; only
-    the rows of that one prefix are ordered, to find the last test hash. The table itself is
-    not shuffled: it meets one hash per class, broadcast.
+    `key` is unique; rows without a label are never in the test. The classes may be of any
+    size, and any number: no class is ever sorted. A histogram over 65,536 hash prefixes shows
+    in which a class is cut; a second one over the next digits, of that prefix only, leaves
+    the few rows that are ordered to find the last test hash. One hash per class returns to
+    the rows by a join; Spark broadcasts it while there are few classes.
     """
     # The filter stands in every branch below, so that the histogram is computed once.
     labeled = df.filter(F.col(label).isNotNull())
-    hashed = labeled.select(label, _row_hash(key, seed).alias("__h"))
-    hashed = hashed.withColumn("__p", F.substring("__h", 1, HASH_PREFIX))
-    histogram = hashed.groupBy(label, "__p").agg(F.count(F.lit(1)).alias("__m"))
-    sizes = split_sizes(histogram.groupBy(label).agg(F.sum("__m").alias("n")), label, test_fraction)
-    upto = F.sum("__m").over(Window.partitionBy(label).orderBy("__p"))
-    before = F.col("__upto") - F.col("__m")
-    cuts = (
-        histogram.withColumn("__upto", upto)
-        .join(F.broadcast(sizes), label)
-        .filter((before < F.col("n_test")) & (F.col("__upto") >= F.col("n_test")))
-        .select(label, F.col("__p").alias("__cut"), (F.col("n_test") - before).alias("__need"))
-    )
+    hashed = labeled.select(label, _row_hash(key, seed).alias("__h")).withColumn("__rest_of", F.col("__h"))
+    counts = stored(hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n")), "split-classes")
+    sizes = split_sizes(counts, label, test_fraction)
+    need = sizes.select(label, F.col("n_test").alias("need"))
+    for _ in range(2):
+        hashed, need = _cut(hashed, label, need)
     by_hash = Window.partitionBy(label).orderBy("__h")
     last = (
-        hashed.join(F.broadcast(cuts), label)
-        .filter(F.col("__p") == F.col("__cut"))
+        hashed.join(need, label)
         .withColumn("__turn", F.row_number().over(by_hash))
-        .filter(F.col("__turn") == F.col("__need"))
+        .filter(F.col("__turn") == F.col("need"))
         .select(label, F.col("__h").alias("__last"))
     )
     in_test = F.coalesce(_row_hash(key, seed) <= F.col("__last"), F.lit(False))
-    return df.join(F.broadcast(last), label, "left").select(*df.columns, in_test.alias(out))
+    return df.join(stored(last, "split-last"), label, "left").select(*df.columns, in_test.alias(out))
 
 
 def split_summary(split: DataFrame, label: str, flag: str = "is_test") -> DataFrame:
@@ -167,14 +183,6 @@ def split_summary(split: DataFrame, label: str, flag: str = "is_test") -> DataFr
     )
 
 
-def levels(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a category column; their number is checked."""
-    found = [r[0] for r in df.select(column).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{column} has more than {MAX_CLASSES} values")
-    return sorted(v for v in found if v is not None)
-
-
 def one_hot(df: DataFrame, column: str, values: list[str], prefix: str) -> DataFrame:
     """One 0/1 column per value, all values kept."""
     flags = {
@@ -184,13 +192,18 @@ def one_hot(df: DataFrame, column: str, values: list[str], prefix: str) -> DataF
 
 
 def _indexer(df: DataFrame, column: str, out: str, unknown: str = "error") -> StringIndexerModel:
-    """Numbers the sorted values of a column, after checking how many there are."""
-    return StringIndexerModel.from_labels(levels(df, column), column, out, unknown)
+    """Numbers the sorted values of a column. They become part of the model."""
+    indexer = StringIndexer(
+        inputCol=column, outputCol=out, handleInvalid=unknown, stringOrderType="alphabetAsc"
+    )
+    return indexer.fit(df)
 
 
 def label_encode(df: DataFrame, label: str, out: str) -> DataFrame:
-    """Class numbers from 0 in sorted order of the labels."""
-    return _indexer(df, label, out).transform(df).withColumn(out, F.col(out).cast("bigint"))
+    """Class numbers from 0 in sorted order of the labels; null for rows without one."""
+    labels = df.select(label).distinct().filter(F.col(label).isNotNull())
+    numbers = counted_before(labels.withColumn("__one", F.lit(1)), [F.col(label)], "__one", out)
+    return df.join(numbers.select(label, out), label, "left").select(*df.columns, out)
 
 
 def _estimator(cfg: ClassifierConfig):
@@ -300,13 +313,10 @@ def metrics_document(split: DataFrame, predictions: DataFrame, cfg: ClassifierCo
 
 def stored_split(labeled: DataFrame, key: str, cfg: ClassifierConfig) -> DataFrame:
     """The split table, read from the shared folder: training passes over it many times, and
-    no pass should hash and split the rows again. It is spread evenly over all cores by its
-    unique key, however few or uneven the input files were."""
-    spark = labeled.sparkSession
+    no pass should hash and split the rows again. It is cut into pieces of Spark's advisory
+    size, however few or uneven the input files were."""
     split = stratified_split(labeled, cfg.label, key, cfg.test_fraction, cfg.seed)
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(spark.sparkContext.defaultParallelism, shuffles)
-    return stored(split.repartition(parts, key), "split")
+    return stored(split.hint("rebalance"), "split")
 
 
 def train_and_predict(

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.geo import haversine_km, point_wkt, sphere_xyz
+from faultline.session import stored
 
 # Sizes of grid cells are powers of two km; the largest exceeds half the way round the earth.
 MAX_LEVEL = 15
 MIN_LEVEL = -4
-# Sites of one grid cell that may meet in one join task; denser cells are split. No more than
-# MAX_DENSE_CELLS can be: beyond that the limit rises with the number of sites.
+# Sites of one grid cell that may meet in one join task; denser cells are split.
 CELL_ROWS = 2_000
-MAX_DENSE_CELLS = 100_000
 
 
 def reliability_map(
@@ -34,7 +33,6 @@ def reliability_map(
     return (
         metrics.join(placed, entity, "left")
         .withColumn("location_wkt", point_wkt("longitude", "latitude"))
-        .orderBy(F.col("mtbf_hours").asc_nulls_last(), entity)
     )
 
 
@@ -62,35 +60,59 @@ def _reached_cells(xyz: Column, axis: str, reach: Column, size: Column) -> Colum
     )
 
 
-def overlapping_sites(locations: DataFrame, key: str) -> DataFrame:
-    """Pairs of sites whose service areas overlap, with their distance.
+def _parted(waiting: DataFrame, visiting: DataFrame, cell: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of dense cells cut into parts of CELL_ROWS sites; each part goes to every part
+    of the other side. The table of dense cells is joined as Spark sees fit."""
+    both = waiting.select(*cell, F.lit(1).alias("w"), F.lit(0).alias("v")).union(
+        visiting.select(*cell, F.lit(0), F.lit(1))
+    )
+    counts = both.groupBy(*cell).agg(F.sum("w").alias("w"), F.sum("v").alias("v"))
+    dense = stored(
+        counts.filter((F.col("w") > CELL_ROWS) | (F.col("v") > CELL_ROWS)).select(
+            *cell,
+            F.ceil(F.col("w") / CELL_ROWS).cast("int").alias("w_parts"),
+            F.ceil(F.col("v") / CELL_ROWS).cast("int").alias("v_parts"),
+        ),
+        "dense-cells",
+    )
+
+    def cut(side: DataFrame, own: str, other: str) -> DataFrame:
+        n_own, n_other = (F.coalesce(F.col(f"{x}_parts"), F.lit(1)) for x in (own, other))
+        mine = F.pmod(F.xxhash64("site"), n_own).cast("int")
+        return (
+            side.join(dense, cell, "left")
+            .withColumn(f"{own}_part", mine)
+            .withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), n_other - 1)))
+            .drop("w_parts", "v_parts")
+        )
+
+    return cut(waiting, "w", "v"), cut(visiting, "v", "w")
+
+
+def _overlaps(locations: DataFrame, key: str) -> DataFrame:
+    """Rows of two sites a and b whose service areas overlap, each pair once.
 
     Assets at one place with one radius form a single site first, so copies of a place never
     multiply. Each site has a level, the power of two above its radius. A pair is sought at
     the larger of its two levels, on a grid of cells as wide as the two radii can be together:
     the larger site visits the cells it can reach (at most 27), the smaller one waits in its own
-    cell. A far-reaching site thus never widens the cells of the others. Cells with many
-    waiting sites are split into parts, and visitors go to every part.
+    cell. A far-reaching site thus never widens the cells of the others.
     """
     level = F.least(
         F.lit(MAX_LEVEL),
         F.greatest(F.lit(MIN_LEVEL), F.ceil(F.log2("service_radius_km")).cast("int")),
     )
-    placed = (
+    placed = stored(
         sites(locations, key)
         .withColumn("level", level)
-        .withColumn("xyz", sphere_xyz("latitude", "longitude"))
+        .withColumn("xyz", sphere_xyz("latitude", "longitude")),
+        "sites",
     )
-    facts = placed.agg(
-        F.struct(F.collect_set("level").alias("levels"), F.count(F.lit(1)).alias("n"))
-    ).scalar()
-    n_levels = MAX_LEVEL - MIN_LEVEL + 1
-    cell_rows = F.greatest(F.lit(float(CELL_ROWS)), facts["n"] * n_levels / MAX_DENSE_CELLS)
-
+    levels = placed.agg(F.collect_set("level").alias("levels")).scalar()  # at most 20
     size = F.pow(F.lit(2.0), F.col("at") + 1)
     axes = ("x", "y", "z")
     cell = ["at", *axes]
-    larger = F.array_intersect(facts["levels"], F.sequence("level", F.lit(MAX_LEVEL)))
+    larger = F.array_intersect(levels, F.sequence("level", F.lit(MAX_LEVEL)))
     own_cell = {axis: _cell(F.col("xyz"), axis, size) for axis in axes}
     waiting = placed.withColumn("at", F.explode(larger)).withColumns(own_cell)
     widest = F.lit(2.0 ** (MAX_LEVEL + 1))
@@ -99,37 +121,52 @@ def overlapping_sites(locations: DataFrame, key: str) -> DataFrame:
     for axis in axes:
         cells = _reached_cells(F.col("xyz"), axis, reach, size)
         visiting = visiting.withColumn(axis, F.explode(cells))
-
-    # Sent to every task: by the choice of cell_rows, MAX_DENSE_CELLS rows at most.
-    dense = (
-        waiting.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("parts", F.ceil(F.col("n") / cell_rows).cast("int"))
-        .filter("parts > 1")
-        .drop("n")
-    )
-    parts = F.coalesce(F.col("parts"), F.lit(1))
-    waiting = waiting.join(F.broadcast(dense), cell, "left").withColumn(
-        "part", F.pmod(F.xxhash64("site"), parts).cast("int")
-    )
-    visiting = visiting.join(F.broadcast(dense), cell, "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
+    waiting, visiting = _parted(waiting, visiting, cell)
 
     fields = ("site", "members", "latitude", "longitude", "service_radius_km", "level")
-    a = visiting.select(*cell, "part", *[F.col(f).alias(f"{f}_a") for f in fields])
-    b = waiting.select(*cell, "part", *[F.col(f).alias(f"{f}_b") for f in fields])
+    meet = [*cell, "w_part", "v_part"]
+    a = visiting.select(*meet, *[F.col(f).alias(f"{f}_a") for f in fields])
+    b = waiting.select(*meet, *[F.col(f).alias(f"{f}_b") for f in fields])
     distance = haversine_km("latitude_a", "longitude_a", "latitude_b", "longitude_b")
     # On equal levels both sites visit the other; the smaller key speaks.
     once = (F.col("level_a") > F.col("level_b")) | (F.col("site_a") < F.col("site_b"))
-    pairs = (
-        a.join(b, [*cell, "part"])
+    return (
+        a.join(b, meet)
         .filter(once)
         .withColumn("distance_km", distance)
         .filter(F.col("distance_km") < F.col("service_radius_km_a") + F.col("service_radius_km_b"))
     )
+
+
+def overlap_counts(locations: DataFrame, key: str) -> DataFrame:
+    """Every site with the number of other sites whose areas overlap its own, and of their
+    members. The rows grow with the sites, not with the overlaps: pairs are counted as they
+    are found."""
+    sides = F.inline(
+        F.array(
+            F.struct(F.col("site_a").alias("site"), F.col("members_b").alias("m")),
+            F.struct(F.col("site_b").alias("site"), F.col("members_a").alias("m")),
+        )
+    )
+    counts = (
+        _overlaps(locations, key)
+        .select(sides)
+        .groupBy("site")
+        .agg(F.count(F.lit(1)).alias("n_sites"), F.sum("m").alias("n_members"))
+    )
+    zero = F.lit(0).cast("bigint")
+    return (
+        sites(locations, key)
+        .select("site", "members")
+        .join(counts, "site", "left")
+        .select("site", "members", *[F.coalesce(c, zero).alias(c) for c in ("n_sites", "n_members")])
+    )
+
+
+def overlapping_sites(locations: DataFrame, key: str) -> DataFrame:
+    """The pairs themselves, with their distance: as many rows as there are overlaps."""
     a_first = F.col("site_a") < F.col("site_b")
-    return pairs.select(
+    return _overlaps(locations, key).select(
         F.least("site_a", "site_b").alias("site_a"),
         F.greatest("site_a", "site_b").alias("site_b"),
         F.when(a_first, F.col("members_a")).otherwise(F.col("members_b")).alias("members_a"),

@@ -5,42 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+from faultline.session import stored
 
 
-def global_rank(
-    df: DataFrame, value: str, key: str, out: str, bucket_width: float = 1.0
-) -> DataFrame:
-    """RANK() over (ORDER BY value ASC NULLS LAST).
+def counted_before(counts: DataFrame, order: list[Column], n: str, out: str) -> DataFrame:
+    """Adds the sum of `n` over all rows before each in the order, which is strict.
 
-    A rank is one more than the number of rows with a smaller value. Rows are counted per
-    distinct value, and counts are added up in two levels: over buckets of `bucket_width`
-    (hours of a mean gap: at most the hours the data spans) and inside each bucket (values
-    have two decimals: at most a hundred per hour). Ranks return to the rows by a join whose
-    row side is salted, since a third of the rows may share one value. `df` is read twice, so
-    it should be a stored table.
+    Rows are dealt to ranges of the order and stored, so that every reader sees the same
+    ranges. Sums run inside a range; the ranges' totals are one row each.
     """
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumn("__b", F.floor(F.col(value) / bucket_width))
-    buckets = counts.groupBy("__b").agg(F.sum("__n").alias("__n"))
+    ranged = stored(
+        counts.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges"
+    )
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    across = before.orderBy(F.col("__b").asc_nulls_last())
-    buckets = buckets.select(
-        F.col("__b").alias("__bb"), F.coalesce(F.sum("__n").over(across), F.lit(0)).alias("__lower")
+    totals = ranged.groupBy("__range").agg(F.sum(n).alias("__total"))
+    lower = totals.select(
+        F.col("__range").alias("__of"),
+        F.coalesce(F.sum("__total").over(before.orderBy("__range")), F.lit(0)).alias("__lower"),
     )
-    inside = before.partitionBy("__b").orderBy(value)
-    ranks = (
-        counts.withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-        .join(buckets, F.col("__b").eqNullSafe(F.col("__bb")))
-        .select(
-            F.col(value).alias("__v"),
-            (F.col("__lower") + F.col("__inside") + 1).cast("bigint").alias(out),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"),
-        )
+    inside = F.coalesce(F.sum(n).over(before.partitionBy("__range").orderBy(*order)), F.lit(0))
+    return (
+        ranged.withColumn("__inside", inside)
+        .join(lower, F.col("__range") == F.col("__of"))
+        .select(*counts.columns, (F.col("__lower") + F.col("__inside")).cast("bigint").alias(out))
     )
-    salted = df.withColumn("__s", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    same: Column = F.col(value).eqNullSafe(F.col("__v")) & (F.col("__s") == F.col("__salt"))
-    return salted.join(ranks, same).select(*df.columns, out)
+
+
+def global_rank(df: DataFrame, value: str, out: str) -> DataFrame:
+    """RANK() over (ORDER BY value ASC NULLS LAST).
+
+    A rank is one more than the number of rows with a smaller value: rows are counted per
+    distinct value, and counts are added up over ranges of values. Ranks return to the rows by
+    a join on the value, which Spark splits where very many rows share one. `df` is read
+    twice, so it should be a stored table.
+    """
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    before = counted_before(counts, [F.col(value).asc_nulls_last()], "__n", "__before")
+    ranks = before.select(F.col(value).alias("__v"), (F.col("__before") + 1).alias(out))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("__v"))).select(*df.columns, out)
 
 
 def top_ranked(df: DataFrame, value: str, key: str, out: str, k: int) -> DataFrame:

@@ -12,6 +12,9 @@ from faultline.functions.text import epoch_seconds, to_event_time
 DAY_SECONDS = 86_400
 # Wider than the 64-bit numbers, so that ids never reach into the next microsecond.
 ID_RANGE = Decimal(10) ** 20
+NULL_ID = Decimal(-(10**19))
+# A second of an entity is dealt into so many parts.
+PARTS = 1024
 
 
 def with_event_time(
@@ -46,63 +49,65 @@ def reliability(
     return timed.groupBy(entity).agg(*_metrics(mean_gap, duration, burden))
 
 
-def _gaps_between_seconds(timed: DataFrame, seconds: DataFrame, entity: str) -> DataFrame:
-    """Hours from the entity's previous active second; `seconds` has one row per active second.
+def _first_events(timed: DataFrame, entity: str, ts: str, event_id: str) -> DataFrame:
+    """One row per active second of an entity: the part that holds its first event, and the
+    hours from the entity's previous active second.
 
     The lag runs within one entity and day, which is at most 86,400 rows however many events
     the entity has. Only the first second of a day looks further back, to the last second of
     the entity's previous active day, and that second lag sees one row per day.
     """
     day = F.floor(F.col("__s") / DAY_SECONDS).alias("__day")
-    earlier = (
-        timed.groupBy(entity, day)
-        .agg(F.max("__s").alias("__last"))
-        .select(
-            entity,
-            "__day",
-            F.lag("__last").over(Window.partitionBy(entity).orderBy("__day")).alias("__before"),
-        )
+    # Microsecond, id and part as one number: a number's minimum is taken by hash aggregation.
+    micros = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1_000_000)).cast("decimal(6,0)")
+    known = F.coalesce(F.col(event_id), F.lit(NULL_ID)).cast("decimal(20,0)")
+    order = (micros * F.lit(ID_RANGE) + known) * F.lit(Decimal(PARTS)) + F.col("__part")
+    first = F.min(order.cast("decimal(34,0)")).alias("__first")
+    seconds = timed.groupBy(entity, "__s").agg(first).select("*", day)
+    last = seconds.groupBy(entity, "__day").agg(F.max("__s").alias("__last"))
+    earlier = last.select(
+        entity,
+        "__day",
+        F.lag("__last").over(Window.partitionBy(entity).orderBy("__day")).alias("__before"),
     )
     in_day = F.lag("__s").over(Window.partitionBy(entity, "__day").orderBy("__s"))
     previous = F.coalesce(F.col("__in_day"), F.col("__before"))
     return (
-        seconds.select("*", day)
-        .withColumn("__in_day", in_day)
+        seconds.withColumn("__in_day", in_day)
         .join(earlier, [entity, "__day"])
-        .withColumn("__gap", (F.col("__s") - previous) / 3600.0)
+        .select(
+            entity,
+            "__s",
+            F.pmod(F.col("__first"), F.lit(Decimal(PARTS))).cast("int").alias("__part"),
+            ((F.col("__s") - previous) / 3600.0).alias("__gap"),
+            F.lit(True).alias("__has_first"),
+        )
     )
 
 
-def _order_in_second(ts: str, event_id: str) -> Column:
-    """Microsecond, then id, as one number. A struct would say the same, but its minimum can
-    only be taken by sorting; a number's is taken by hash aggregation."""
-    micros = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1_000_000))
-    return micros.cast("decimal(6,0)") * F.lit(ID_RANGE) + F.col(event_id)
-
-
 def prior_event_gap(
     events: DataFrame, entity: str, ts: str, event_id: str, out: str = "hours_since_prior_event"
 ) -> DataFrame:
     """Every timed event with the hours since the same entity's event before it.
 
-    `event_id` is a unique integer.
-
     Null for an entity's first event, and for events of no entity. Events within one second
-    are ordered by time, then id; all but the first of them have gap 0. So only the first
-    event of each active second needs to look back, and it takes its gap back by its unique
-    id: no task ever holds all events of an entity, not even when they share one timestamp.
+    are ordered by time, then `event_id` (an integer; nulls first, and it need not be unique);
+    all but the first of them have gap 0. So rows only need to be numbered within a second,
+    which is dealt into parts by the rows' hashes, and the first of one part takes the gap:
+    events are shuffled once, and no task holds all events of an entity or of one second.
     """
     timed = events.filter(F.col(ts).isNotNull()).withColumn("__s", epoch_seconds(ts))
-    seconds = timed.groupBy(entity, "__s").agg(
-        F.min_by(event_id, _order_in_second(ts, event_id)).alias("__first")
-    )
-    firsts = _gaps_between_seconds(timed, seconds, entity).select(
-        F.col("__first").alias(event_id), "__gap", F.lit(True).alias("__is_first")
+    parted = timed.withColumn(
+        "__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns]), F.lit(PARTS)).cast("int")
     )
+    firsts = _first_events(parted, entity, ts, event_id)
+    order = Window.partitionBy(entity, "__s", "__part").orderBy(ts, event_id)
+    numbered = parted.withColumn("__turn", F.row_number().over(order))
     later = F.when(F.col(entity).isNotNull(), F.lit(0.0))
-    gap = F.when(F.col("__is_first"), F.col("__gap")).otherwise(later)
+    is_first = F.col("__has_first") & (F.col("__turn") == 1)
+    gap = F.when(is_first, F.col("__gap")).otherwise(later)
     return (
-        timed.join(firsts, event_id, "left")
+        numbered.join(firsts, [entity, "__s", "__part"], "left")
         .withColumn(out, gap)
         .select(*events.columns, out)
     )

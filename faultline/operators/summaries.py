@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.text import percent
-from faultline.operators.ranking import global_rank, top_ranked
+from faultline.operators.ranking import counted_before, global_rank, top_ranked
 
 RANK = "reliability_rank"
 
 
-def ranked(metrics: DataFrame, entity: str = "feeder_canonical") -> DataFrame:
-    return global_rank(metrics, "mtbf_hours", entity, RANK)
+def ranked(metrics: DataFrame) -> DataFrame:
+    return global_rank(metrics, "mtbf_hours", RANK)
 
 
-def leaderboard(metrics: DataFrame, entity: str = "feeder_canonical") -> DataFrame:
-    """Least reliable first; entities with a single event have no mean gap and come last."""
-    return ranked(metrics, entity).orderBy(F.col("mtbf_hours").asc_nulls_last(), entity)
+def in_order(df: DataFrame, *order: Column, out: str = "position") -> DataFrame:
+    """The rows numbered from 1 in a strict order, without gathering them in one task."""
+    before = counted_before(df.withColumn("__one", F.lit(1)), list(order), "__one", "__before")
+    return before.select(*df.columns, (F.col("__before") + 1).alias(out))
+
+
+def leaderboard(metrics: DataFrame) -> DataFrame:
+    """Ranked metrics, least reliable first in rank; entities with a single event have no mean
+    gap and the last one. Readers sort: see :func:`in_order`."""
+    return ranked(metrics)
 
 
 def leaderboard_top(metrics: DataFrame, k: int, entity: str = "feeder_canonical") -> DataFrame:
@@ -51,7 +58,6 @@ def type_summary(
             "avg_duration_hours",
             "total_customer_hours_interruption",
         )
-        .orderBy(F.col("total_events").desc(), outage_type)
     )
 
 
@@ -67,5 +73,4 @@ def accuracy_by_class(
             hits.alias("correct_predictions"),
             percent(hits, F.count(F.lit(1))).alias("accuracy_pct"),
         )
-        .orderBy(F.col("test_set_events").desc(), "actual_outage_type")
     )

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from faultline.operators import mapping, reliability, summaries
 from faultline.plans.inputs import GAPS_SQL, OUTAGES_SQL, PLACES_SQL, outages, places, table
 from faultline.plans.registry import query
-from faultline.session import stored
-from faultline.sources.tables import union_frames
+from faultline.session import shared_dir, stored
+from faultline.sources.tables import gathered, read_table, union_frames, write_table
 
 METRICS = ("entity", "ts", "duration_hours", "customer_hours")
 
@@ -43,7 +43,19 @@ def reliability_windowless(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = stored(reliability_windowless(spark, sf_dir), "metrics")
-    return summaries.leaderboard(metrics, "entity")
+    return summaries.leaderboard(metrics)
+
+
+@query(
+    f"""WITH {GAPS_SQL}
+    SELECT entity, mtbf_hours,
+           row_number() OVER (ORDER BY mtbf_hours ASC NULLS LAST, entity) AS position
+    FROM metrics"""
+)
+def leaderboard_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order in which a reader sees the leaderboard."""
+    metrics = reliability_windowless(spark, sf_dir).select("entity", "mtbf_hours")
+    return summaries.in_order(metrics, F.col("mtbf_hours").asc_nulls_last(), F.col("entity"))
 
 
 @query(
@@ -69,6 +81,18 @@ def type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.type_summary(events, "outage_type", "duration_hours", "customer_hours")
 
 
+@query(
+    f"""WITH {OUTAGES_SQL}
+    SELECT outage_type, count(*) AS total_events,
+           row_number() OVER (ORDER BY count(*) DESC, outage_type) AS position
+    FROM outages GROUP BY outage_type"""
+)
+def type_summary_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order in which a reader sees the summary."""
+    summary = type_summary(spark, sf_dir).select("outage_type", "total_events")
+    return summaries.in_order(summary, F.col("total_events").desc(), F.col("outage_type"))
+
+
 @query(
     f"""WITH {GAPS_SQL}, {PLACES_SQL}
     SELECT m.*, l.confidence AS location_confidence, l.setting, l.latitude, l.longitude,
@@ -84,11 +108,10 @@ def reliability_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly frames put together again; the first and last week are open-ended."""
+    """Frames of parts of the month, each from a folder of its own, put together again."""
     events = table(spark, sf_dir, "events")
-    starts = [F.lit(f"2024-01-{d:02d}").cast("timestamp_ntz") for d in (8, 15, 22, 29)]
-    ts = F.col("ts")
-    weeks = [ts < starts[0]]
-    weeks += [(ts >= a) & (ts < b) for a, b in zip(starts, starts[1:])]
-    weeks += [(ts >= starts[-1]) | ts.isNull()]
-    return union_frames([events.filter(week) for week in weeks])
+    part = F.coalesce(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(-1)).cast("int")
+    path = shared_dir(spark, "months")
+    write_table(gathered(events.withColumn("part", part), "part"), path, "part")
+    whole = read_table(spark, path, events.withColumn("part", part).schema)
+    return union_frames([whole.filter(F.col("part") == i).drop("part") for i in range(-1, 4)])

@@ -11,7 +11,7 @@ from faultline.plans.inputs import PLACES_SQL, places, table
 from faultline.plans.registry import query
 
 R = geo.EARTH_RADIUS_KM
-VERTICES = 16
+VERTICES = 64
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,13 +90,13 @@ _VERTEX = _sql_target("lat1", "lon1", f"((i % {VERTICES}) * 360.0 / {VERTICES})"
     FROM points, (SELECT unnest(range(0, {VERTICES + 1})) AS i)"""
 )
 def service_area_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ring = geo.service_area_ring("lat1", "lon1", "km", VERTICES)
-    vertices = _points(spark, sf_dir).select("c_custkey", F.posexplode(ring).alias("vertex", "at"))
+    points = _points(spark, sf_dir).select("c_custkey", "lat1", "lon1", "km")
+    vertices = geo.with_ring_vertices(points, "lat1", "lon1", "km", VERTICES)
     return vertices.select(
         "c_custkey",
         "vertex",
-        F.round("at.lon", 6).alias("lon"),
-        F.round("at.lat", 6).alias("lat"),
+        F.round("vertex_lon", 6).alias("lon"),
+        F.round("vertex_lat", 6).alias("lat"),
     )
 
 
@@ -154,6 +154,22 @@ def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("distance_km", F.round("distance_km", 6))
 
 
+@query(
+    f"""WITH {PLACES_SQL},
+    sites AS (SELECT latitude, longitude, service_radius_km, min(place_id) AS site,
+                     count(*) AS members
+              FROM places WHERE latitude IS NOT NULL GROUP BY 1, 2, 3)
+    SELECT a.site, a.members, count(b.site) AS n_sites,
+           CAST(coalesce(sum(b.members), 0) AS BIGINT) AS n_members
+    FROM sites a LEFT JOIN sites b ON a.site <> b.site
+      AND {_sql_distance("a.latitude", "a.longitude", "b.latitude", "b.longitude")}
+          < a.service_radius_km + b.service_radius_km
+    GROUP BY a.site, a.members"""
+)
+def overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mapping.overlap_counts(places(spark, sf_dir), "place_id")
+
+
 _BOX = {"lat": (7.1, 7.6), "lon": (-150.0, -140.0)}
 
 

@@ -9,11 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.plans.xlsx_fixture import workbook_bytes
-from faultline.schemas import RAW_COLUMNS
-
-ROWS_PER_FILE = 2000
-
 
 # Stated, not inferred: no job has to open the files before a query is planned.
 TABLES = {
@@ -51,7 +46,7 @@ def sql_values(rows: list[tuple]) -> str:
     )
 
 
-# Raw asset names and the canonical name each must get, stated by hand.
+# --- fixed values: raw asset names and the canonical name each must get, stated by hand ----
 NAMES: list[tuple[str | None, str]] = [
     ("OLUYOLE", "OLUYOLE"),
     ("INDUSTRIAL 33KV", "INDUSTRIAL"),
@@ -92,6 +87,7 @@ NAMES: list[tuple[str | None, str]] = [
     ("ROM 33KV", "ROM"),
 ]
 
+# --- fixed values: raw outage types and their canonical ones --------------------------------
 TYPES: list[tuple[str | None, str]] = [
     ("EDC F/O", "EDC F/O"),
     ("EDC/F/O", "EDC F/O"),
@@ -182,7 +178,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = k % 5 != 4
     return table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("feeder_canonical"),
-        F.when(located, 7.1 + (at % 20) * 0.03).alias("latitude"),
+        F.when(located, 7.1 + (at % 20) * 0.03 + F.floor(at / 10000) % 70).alias("latitude"),
         F.when(located, -150.0 + (at % 10000) * 0.03).alias("longitude"),
         F.when(located, 2.5 + (at % 3) * 1.75).alias("service_radius_km"),
         F.when(~located, "unlocated").when(k % 2 == 0, "high").otherwise("low").alias("confidence"),
@@ -196,7 +192,7 @@ PLACES_SQL = """
 places AS (
   SELECT s_name AS feeder_canonical,
          CASE WHEN s_suppkey % 5 <> 4 THEN CAST(7.1 AS DOUBLE) + (p % 20) * CAST(0.03 AS DOUBLE)
-           END AS latitude,
+             + (p // 10000) % 70 END AS latitude,
          CASE WHEN s_suppkey % 5 <> 4
            THEN CAST(-150.0 AS DOUBLE) + (p % 10000) * CAST(0.03 AS DOUBLE) END AS longitude,
          CASE WHEN s_suppkey % 5 <> 4 THEN CAST(2.5 AS DOUBLE) + (p % 3) * CAST(1.75 AS DOUBLE)
@@ -209,36 +205,3 @@ places AS (
   FROM (SELECT *, CASE WHEN s_suppkey % 8 = 1 THEN s_suppkey - 1 ELSE s_suppkey END AS p
         FROM supplier))
 """
-
-
-def _workbook(pdf, columns: list[str], preamble: int) -> bytes:
-    rows: list[list] = [["Interruption report"]] + [["contact"]] * (preamble - 1)
-    header = [c.replace("_", " ").title() for c in columns]
-    header[RAW_COLUMNS.index("event_no")] = "Event No"
-    rows.append([*header, None])
-    rows.append(["33kV FEEDERS OUTAGES"])
-    for record in pdf[columns].itertuples(index=False):
-        rows.append([None if v is None or v != v else v for v in record])
-    return workbook_bytes({"SUMMARY": [["total"]], "RAW MONTHLY": rows})
-
-
-def as_workbooks(df: DataFrame, key: str) -> DataFrame:
-    """(path, content) of workbooks holding the rows, ROWS_PER_FILE unique keys to a file.
-
-    `df` has the raw sheet columns (missing ones stay blank) and the key. Preamble length and
-    file name vary from file to file.
-    """
-    given = [c for c in RAW_COLUMNS if c in df.columns]
-
-    def build(group, pdf):
-        import pandas as pd
-
-        number = int(group[0])
-        pdf = pdf.sort_values(key).reindex(columns=list(RAW_COLUMNS))
-        month = ("JANUARY", "February", "march")[number % 3]
-        path = f"file:/raw/{month} part {number}.xlsx"
-        content = _workbook(pdf.astype(object).where(pdf.notna(), None), list(RAW_COLUMNS), 2 + number % 2)
-        return pd.DataFrame({"path": [path], "content": [content]})
-
-    numbered = df.select(key, *given, F.floor(F.col(key) / ROWS_PER_FILE).alias("__file"))
-    return numbered.groupBy("__file").applyInPandas(build, "path string, content binary")

@@ -3,31 +3,33 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline import schemas
-from faultline.functions.text import month_from_name, null_tokens, to_double
-from faultline.operators import quarantine, rawlayout, summaries
+from faultline.functions.sql import register_sql_functions
+from faultline.functions.text import month_from_name, null_tokens
+from faultline.operators import quarantine, rawlayout, reliability, summaries
 from faultline.plans import medallion
 from faultline.plans.inputs import (
     FILE_NAMES,
+    GAPS_SQL,
     NAMES,
     PLACES_SQL,
-    ROWS_PER_FILE,
     TYPES,
-    as_workbooks,
+    outages,
     pick,
     places,
     sql_values,
     table,
 )
 from faultline.plans.registry import query
-from faultline.session import shared_dir
+from faultline.session import shared_dir, stored
 from faultline.sources import catalog
-from faultline.sources.tables import read_locations, write_checked, write_table
-from faultline.sources.workbooks import scan_workbooks
+from faultline.sources.tables import gathered, read_locations, write_table
 from faultline.streaming.ingest import ingest_parquet
 
 _IS_HEADER = "assistant"
@@ -129,44 +131,6 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rawlayout.load_summary(month_from_file_name(spark, sf_dir))
 
 
-_FILE_SQL = f"""(['JANUARY', 'February', 'march'])[1 + CAST(f % 3 AS INTEGER)] || ' part '
-      || f || '.xlsx'"""
-
-
-@query(
-    f"""WITH files AS (SELECT *, o_orderkey // {ROWS_PER_FILE} AS f FROM orders)
-    SELECT {_FILE_SQL} AS source_file,
-           (['JANUARY', 'FEBRUARY', 'MARCH'])[1 + CAST(f % 3 AS INTEGER)] AS source_month,
-           strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS date_raw,
-           CAST(o_orderkey AS VARCHAR) AS event_no, o_orderpriority AS type_of_outage,
-           o_totalprice AS duration_hours
-    FROM files
-    UNION ALL
-    SELECT DISTINCT {_FILE_SQL},
-           (['JANUARY', 'FEBRUARY', 'MARCH'])[1 + CAST(f % 3 AS INTEGER)],
-           '33kV FEEDERS OUTAGES', NULL, NULL, CAST(NULL AS DOUBLE)
-    FROM files"""
-)
-def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as workbooks and read back; divider rows stay in bronze."""
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.col("o_orderdate").cast("date").alias("date_raw"),
-        F.col("o_orderkey").alias("event_no"),
-        F.col("o_orderpriority").alias("type_of_outage"),
-        F.col("o_totalprice").alias("duration_hours"),
-    )
-    bronze = rawlayout.to_bronze(scan_workbooks(as_workbooks(rows, "o_orderkey")))
-    return bronze.select(
-        "source_file",
-        "source_month",
-        "date_raw",
-        "event_no",
-        "type_of_outage",
-        to_double("duration_hours").alias("duration_hours"),
-    )
-
-
 def _sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw sheet rows with dirty names, types, dates and clock texts."""
     i = F.col("event_id")
@@ -202,7 +166,15 @@ silver AS (
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = scan_workbooks(as_workbooks(_sheet_rows(spark, sf_dir), "event_id"))
+    """Sheet rows by position to bronze columns, all text, to silver."""
+    rows = _sheet_rows(spark, sf_dir)
+    cells = [F.col(c).cast("string") if c in rows.columns else F.lit("") for c in schemas.RAW_COLUMNS]
+    grid = rows.select(
+        F.array(*cells).alias("cells"),
+        F.concat(F.lit("file:/raw/"), pick([n for n, _ in FILE_NAMES], F.col("event_id"))).alias("source_file"),
+        F.lit(1).alias("row_idx"),
+        F.lit(0).alias("header_idx"),
+    )
     return quarantine.to_silver(rawlayout.to_bronze(grid), 2024)
 
 
@@ -216,8 +188,8 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(sum(burden), 1) AS total_customer_hours_interruption
     FROM gaps GROUP BY feeder_canonical"""
 )
-def workbook_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Workbooks to bronze to silver to gold, all stages in one plan."""
+def sheet_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheet rows to bronze to silver to gold, all stages in one plan."""
     clean = quarantine.split_quarantine(_silver(spark, sf_dir))[0]
     return medallion.feeder_reliability(clean)
 
@@ -231,47 +203,160 @@ def workbook_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM silver WHERE clean AND feeder_canonical <> 'UNMAPPED'
     GROUP BY outage_type_canonical"""
 )
-def workbook_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sheet_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = quarantine.split_quarantine(_silver(spark, sf_dir))[0]
     features = clean.select(*schemas.FEATURES.names)
     return summaries.type_summary(features.filter(~F.col("is_transformer_event")))
 
 
+def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations whose texts hold commas, quotes and line breaks."""
+    rows = places(spark, sf_dir)
+    return rows.withColumn("anchor", F.concat("anchor", F.lit("\n, second line"))).select(
+        *schemas.LOCATIONS.names
+    )
+
+
+def _locations_csv(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_dir(spark, "locations")
+    _locations(spark, sf_dir).write.option("header", "true").option("escape", '"').csv(path)
+    return path
+
+
 @query(
     f"""WITH {PLACES_SQL}
-    SELECT feeder_canonical, latitude, longitude, service_radius_km, confidence, setting, anchor
+    SELECT feeder_canonical, latitude, longitude, service_radius_km, confidence, setting,
+           anchor || chr(10) || ', second line' AS anchor
     FROM places"""
 )
 def csv_quoted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations through a CSV file whose texts hold commas and quotes."""
-    path = shared_dir(spark, "locations")
-    rows = places(spark, sf_dir).select(*schemas.LOCATIONS.names)
-    rows.write.option("header", "true").option("escape", '"').csv(path)
-    return read_locations(spark, path)
+    return read_locations(spark, _locations_csv(spark, sf_dir))
+
+
+@contextmanager
+def _scratch_database(spark: SparkSession) -> Iterator[str]:
+    """A database that is gone afterwards; its tables are external, so their files stay."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION :path", args={"path": shared_dir(spark, "database")})
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 @query(
     """SELECT l_returnflag, count(*) AS n_rows, round(sum(l_quantity), 2) AS sum_qty,
            count(DISTINCT l_orderkey) AS n_orders
-    FROM lineitem GROUP BY l_returnflag"""
+    FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_returnflag"""
 )
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write by partition, check by reading back, register as a table, recover partitions."""
+    """Write by partition, register as a table, replace one partition, read one back."""
     items = table(spark, sf_dir, "lineitem")
     path = shared_dir(spark, "lineitem")
-    write_checked(spark, items, path, "l_returnflag")
-    name = f"lineitem_{uuid.uuid4().hex}"
-    order = [c for c in items.columns if c != "l_returnflag"] + ["l_returnflag"]
-    schema = items.select(*order).schema
-    catalog.create_parquet_table(spark, "default", name, schema, path, "l_returnflag")
-    return (
-        spark.table(name)
-        .groupBy("l_returnflag")
-        .agg(
+    marred = F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity"))
+    flag = "l_returnflag"
+    write_table(gathered(items.withColumn("l_quantity", marred), flag), path, flag)
+    fixed = items.filter(F.col(flag) == "R")
+    write_table(gathered(fixed, flag), path, flag, replace_only_written=True)
+    order = [c for c in items.columns if c != flag] + [flag]
+    with _scratch_database(spark) as database:
+        catalog.create_parquet_table(
+            spark, database, "lineitem", items.select(*order).schema, path, flag
+        )
+        one = spark.table(f"{database}.lineitem").filter(F.col(flag) == "R")
+        totals = one.groupBy(flag).agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
             F.countDistinct("l_orderkey").alias("n_orders"),
         )
+        return stored(totals, "one-partition")
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake with the gold metrics of the events, and the other tables empty but there."""
+    lake = shared_dir(spark, "lake")
+    metrics = reliability.reliability(
+        outages(spark, sf_dir), "entity", "ts", "duration_hours", "customer_hours"
+    ).withColumnRenamed("entity", "feeder_canonical")
+    named = metrics.withColumn(
+        "feeder_canonical",
+        F.concat(F.lit("Supplier#"), F.lpad(F.col("feeder_canonical").cast("string"), 9, "0")),
+    )
+    for name, (schema, folder, partition_by) in catalog.LAKE_TABLES.items():
+        rows = named if name == "mttr_mtbf_by_feeder" else spark.createDataFrame([], schema)
+        write_table(rows.select(*schema.names), f"{lake}/{folder}", partition_by)
+    return lake
+
+
+_VIEW_SQL = f"""WITH {GAPS_SQL}, {PLACES_SQL},
+named AS (SELECT * REPLACE ('Supplier#' || lpad(CAST(entity AS VARCHAR), 9, '0') AS entity) FROM metrics)
+"""
+
+
+@query(
+    f"""{_VIEW_SQL}
+    SELECT m.entity AS feeder_canonical, m.mtbf_hours, l.confidence AS location_confidence,
+           l.latitude, l.longitude, l.service_radius_km
+    FROM named m LEFT JOIN places l ON m.entity = l.feeder_canonical"""
+)
+def view_reliability_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Through the catalog: tables, all-text locations, a stored view, and query text."""
+    lake, csv = _lake(spark, sf_dir), _locations_csv(spark, sf_dir)
+    with _scratch_database(spark) as database:
+        catalog.register_lake(spark, database, lake, csv)
+        catalog.create_views(spark, database)
+        return stored(
+            spark.sql(
+                f"""SELECT feeder_canonical, mtbf_hours, location_confidence, latitude, longitude,
+                service_radius_km FROM {database}.feeder_reliability_map"""
+            ),
+            "view-map",
+        )
+
+
+@query(
+    f"""{_VIEW_SQL}
+    SELECT entity AS feeder_canonical, mtbf_hours,
+           CAST(rank() OVER (ORDER BY mtbf_hours ASC NULLS LAST) AS BIGINT) AS reliability_rank
+    FROM named"""
+)
+def view_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, csv = _lake(spark, sf_dir), _locations_csv(spark, sf_dir)
+    with _scratch_database(spark) as database:
+        catalog.register_lake(spark, database, lake, csv)
+        catalog.create_views(spark, database)
+        return stored(
+            spark.sql(
+                f"""SELECT feeder_canonical, mtbf_hours, CAST(reliability_rank AS BIGINT)
+                AS reliability_rank FROM {database}.mttr_mtbf_leaderboard"""
+            ),
+            "view-board",
+        )
+
+
+@query(
+    f"""SELECT event_id, raw_name, feeder_canonical, outage_type_canonical
+    FROM (SELECT event_id, n.raw_name || ' ' || event_id || 'KV' AS raw_name, feeder_canonical,
+                 outage_type_canonical
+          FROM events
+          JOIN (VALUES {sql_values(NAMES)}) AS n(i, raw_name, feeder_canonical)
+            ON event_id % {len(NAMES)} = n.i
+          JOIN (VALUES {sql_values(TYPES)}) AS t(i, raw_type, outage_type_canonical)
+            ON event_id % {len(TYPES)} = t.i)"""
+)
+def canon_in_query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules as functions of SQL text."""
+    register_sql_functions(spark)
+    raw = pick([name for name, _ in NAMES], F.col("event_id"))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.concat(raw, F.lit(" "), F.col("event_id").cast("string"), F.lit("KV")).alias("raw_name"),
+        pick([name for name, _ in TYPES], F.col("event_id")).alias("raw_type"),
+    )
+    return spark.sql(
+        """SELECT event_id, raw_name, canonical_feeder(raw_name) AS feeder_canonical,
+        canonical_outage_type(raw_type) AS outage_type_canonical FROM {rows}""",
+        rows=rows,
     )
 
 
@@ -304,7 +389,7 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     whole = None
     for drop in (days <= 15, ~F.coalesce(days <= 15, F.lit(False))):
-        events.filter(drop).repartition(4).write.mode("append").parquet(landing)
+        events.filter(drop).write.mode("append").parquet(landing)
         whole = ingest_parquet(
             spark, landing, events.schema, target, checkpoint, cleaned, "event_type", 3
         )

@@ -59,7 +59,7 @@ def refine_silver(spark: SparkSession, lake: str, cfg: PipelineConfig) -> DataFr
     bronze = read_table_or_fail(spark, f"{lake}/bronze/interruptions", schemas.BRONZE)
     silver = quarantine.to_silver(bronze, cfg.year, cfg.name_rules, stored=True)
     path = f"{lake}/silver/interruptions"
-    write_table(silver, path, [FLAG, MONTH_COLUMN])
+    write_table(gathered(silver, FLAG, MONTH_COLUMN), path, [FLAG, MONTH_COLUMN])
     stored = read_table(spark, path, _SILVER_STORED)
     return quarantine.quarantine_metrics(stored, FLAG, F.col("is_transformer_event"))
 
@@ -82,7 +82,8 @@ def aggregate_gold(spark: SparkSession, lake: str, cfg: PipelineConfig) -> DataF
     write_table(
         feeder_reliability(clean), metrics_path, single_file=cfg.single_file_reliability
     )
-    write_table(clean.select(*schemas.FEATURES.names), features_path, MONTH_COLUMN)
+    features = gathered(clean.select(*schemas.FEATURES.names), MONTH_COLUMN)
+    write_table(features, features_path, MONTH_COLUMN)
     feeders = read_table(spark, metrics_path, schemas.RELIABILITY).agg(F.count(F.lit(1)))
     features = read_table(spark, features_path, schemas.FEATURES)
     return features.agg(F.count(F.lit(1)).alias("n_features")).withColumn(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- fixed values: the columns of the raw sheet by position, and the names of all tables -----
 RAW_COLUMNS = (
     "date_raw",
     "location",

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from faultline import schemas
-from faultline.operators import mapping, summaries
 
 # Table name -> schema, folder below the lake, partition column.
 LAKE_TABLES: dict[str, tuple[T.StructType, str, str | None]] = {
@@ -37,11 +36,16 @@ def create_parquet_table(
     location: str,
     partition_by: str | None = None,
 ) -> None:
-    """External table over Parquet that is already there; its partitions become known."""
+    """External table over Parquet that is already there; its partitions become known.
+
+    A table of this name is replaced: it then reads the folder and the columns given last. Its
+    files stay, since the table is external.
+    """
     table = _quoted(database, name)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     partitions = f"PARTITIONED BY ({_quoted(partition_by)})" if partition_by else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(schema)}) USING parquet "
+        f"CREATE TABLE {table} ({_columns_ddl(schema)}) USING parquet "
         f"{partitions} LOCATION :location",
         args={"location": location},
     )
@@ -55,11 +59,14 @@ def refresh_partitions(spark: SparkSession, database: str, name: str) -> None:
 
 
 def create_locations_table(spark: SparkSession, database: str, location: str) -> None:
-    """External CSV table; every column stays text and is cast by the queries."""
+    """External CSV table, replaced if there is one; every column stays text and is cast by
+    the queries."""
+    table = _quoted(database, "feeder_locations")
     columns = ", ".join(f"{_quoted(f.name)} string" for f in schemas.LOCATIONS)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_quoted(database, 'feeder_locations')} ({columns}) "
-        "USING csv OPTIONS (header 'true', escape '\"') LOCATION :location",
+        f"CREATE TABLE {table} ({columns}) "
+        "USING csv OPTIONS (header 'true', escape '\"', multiLine 'true') LOCATION :location",
         args={"location": location},
     )
 
@@ -71,25 +78,44 @@ def register_lake(spark: SparkSession, database: str, lake: str, locations_csv:
     create_locations_table(spark, database, locations_csv)
 
 
-def build_views(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """The four report views; which database they read is decided here."""
+def view_texts(database: str) -> dict[str, str]:
+    """The four reports as query text over the lake's tables. The rows are as many as there
+    are assets, types or classes, so a window over all of them is small."""
 
-    def table(name: str) -> DataFrame:
-        return spark.table(_quoted(database, name))
+    def table(name: str) -> str:
+        return _quoted(database, name)
 
-    metrics = table("mttr_mtbf_by_feeder")
+    numbers = ", ".join(
+        f"try_cast(l.{c} AS double) AS {c}" for c in ("latitude", "longitude", "service_radius_km")
+    )
+    plain = "regexp_replace(cast(try_cast(l.{c} AS double) AS string), '\\\\.0$', '')"
+    point = (
+        f"concat('POINT (', {plain.format(c='longitude')}, ' ', {plain.format(c='latitude')}, ')')"
+    )
     return {
-        "mttr_mtbf_leaderboard": summaries.leaderboard(metrics),
-        "outage_type_summary": summaries.type_summary(
-            table("classifier_features").filter("NOT is_transformer_event")),
-        "feeder_reliability_map": mapping.reliability_map(metrics, table("feeder_locations")),
-        "classifier_accuracy_by_type": summaries.accuracy_by_class(
-            table("classifier_predictions")),
+        "mttr_mtbf_leaderboard": f"""SELECT *,
+            rank() OVER (ORDER BY mtbf_hours ASC NULLS LAST) AS reliability_rank
+            FROM {table("mttr_mtbf_by_feeder")}""",
+        "outage_type_summary": f"""SELECT outage_type_canonical, count(*) AS total_events,
+            round(100.0D * count(*) / sum(count(*)) OVER (), 1) AS pct_of_all_events,
+            round(avg(duration_hours_num), 2) AS avg_duration_hours,
+            round(sum(customer_hours_interruption_num), 1) AS total_customer_hours_interruption
+            FROM {table("classifier_features")} WHERE NOT is_transformer_event
+            GROUP BY outage_type_canonical""",
+        "feeder_reliability_map": f"""SELECT m.*, l.confidence AS location_confidence, l.setting,
+            {numbers}, {point} AS location_wkt
+            FROM {table("mttr_mtbf_by_feeder")} m LEFT JOIN {table("feeder_locations")} l
+            ON m.feeder_canonical = l.feeder_canonical""",
+        "classifier_accuracy_by_type": f"""SELECT outage_type_canonical AS actual_outage_type,
+            count(*) AS test_set_events, count_if(correct) AS correct_predictions,
+            round(100.0D * count_if(correct) / count(*), 1) AS accuracy_pct
+            FROM {table("classifier_predictions")} GROUP BY outage_type_canonical""",
     }
 
 
 def create_views(spark: SparkSession, database: str) -> list[str]:
-    views = build_views(spark, database)
-    for name, view in views.items():
-        view.createOrReplaceTempView(name)
-    return list(views)
+    """The reports as stored views of the database: any session of its catalog can query them."""
+    texts = view_texts(database)
+    for name, text in texts.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(database, name)} AS {text}")
+    return list(texts)

@@ -22,11 +22,13 @@ def read_table_or_fail(spark: SparkSession, path: str, schema: T.StructType) ->
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
-    """Locations from CSV. Quotes are doubled inside quoted fields; blanks are null."""
+    """Locations from CSV. Quotes are doubled inside quoted fields, which may hold line breaks;
+    blanks are null."""
     return (
         spark.read.schema(LOCATIONS)
         .option("header", "true")
         .option("escape", '"')
+        .option("multiLine", "true")
         .option("mode", "FAILFAST")
         .csv(path)
     )
@@ -53,13 +55,13 @@ def write_table(
     writer.parquet(path)
 
 
-def gathered(df: DataFrame, column: str) -> DataFrame:
+def gathered(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of one partition value in few tasks, for a table that mixes all values.
 
     Without this every task would write a file per value. Spark cuts what it gathers into
     pieces of its advisory size, so a value with a third of all rows takes many tasks.
     """
-    return df.hint("rebalance", column)
+    return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def write_checked(

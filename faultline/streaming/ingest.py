@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from faultline.operators.rawlayout import to_bronze
-from faultline.schemas import BINARY_FILE, MONTH_COLUMN
+from faultline.schemas import BINARY_FILE, BRONZE, MONTH_COLUMN
+from faultline.sources.tables import read_table
 from faultline.sources.workbooks import WORKBOOK_GLOB, scan_workbooks
 
 
@@ -43,8 +44,9 @@ def ingest_parquet(
     arrived = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
-    _land(transform(arrived), target, checkpoint, partition_by)
-    return spark.read.parquet(target)
+    landed = transform(arrived)
+    _land(landed, target, checkpoint, partition_by)
+    return read_table(spark, target, landed.schema)
 
 
 def ingest_workbooks(
@@ -60,4 +62,4 @@ def ingest_workbooks(
         .load(source)
     )
     _land(to_bronze(scan_workbooks(arrived)), target, checkpoint, MONTH_COLUMN)
-    return spark.read.parquet(target)
+    return read_table(spark, target, BRONZE)

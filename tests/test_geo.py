@@ -1,11 +1,13 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.functions import geo, rules
+from faultline.functions import geo
 from faultline.operators import mapping
 from faultline.schemas import LOCATIONS
+from made_places import PLACES as PLACES_OF_FEEDERS
 
 
 def one(spark, column):
@@ -23,9 +25,18 @@ def km(lat1, lon1, lat2, lon2):
     return 2 * 6371.0088 * math.asin(min(1.0, math.sqrt(h)))
 
 
-def test_known_distance(spark):
-    got = one(spark, geo.haversine_km(*lit(7.5333, 3.4167, 7.5998, 3.4496)))
-    assert got == pytest.approx(8.2, abs=0.1)
+@pytest.mark.parametrize(
+    "place, km_apart",
+    [
+        ((0.0, 0.0, 0.0, 90.0), math.pi / 2 * 6371.0088),  # a quarter of the equator
+        ((90.0, 12.0, 90.0, -77.0), 0.0),  # all meridians meet at the pole
+        ((-89.0, 0.0, -89.0, 180.0), math.radians(2.0) * 6371.0088),  # across the south pole
+        ((10.0, 179.5, 10.0, -179.5), km(10.0, 0.0, 10.0, 1.0)),  # across the date line
+        ((-33.0, -70.0, -34.0, -70.0), math.radians(1.0) * 6371.0088),  # along a meridian
+    ],
+)
+def test_distances(spark, place, km_apart):
+    assert one(spark, geo.haversine_km(*lit(*place))) == pytest.approx(km_apart, abs=1e-6)
 
 
 def test_antipodes_do_not_leave_the_domain(spark):
@@ -33,31 +44,47 @@ def test_antipodes_do_not_leave_the_domain(spark):
     assert got == pytest.approx(math.pi * 6371.0088)
 
 
-def test_ring_is_closed(spark):
-    ring = one(spark, geo.service_area_ring(*lit(7.4, 3.9, 2.5), n_vertices=32))
-    assert len(ring) == 33 and ring[0] == ring[-1]
+PLACES = [(0.0, 0.0, 1.0), (-45.0, 100.0, 30.0), (60.0, 179.9, 12.0), (89.0, -20.0, 5.0)]
 
 
-def test_vertices_are_at_the_radius(spark):
-    for p in one(spark, geo.service_area_ring(*lit(7.4306, 3.9081, 2.5))):
-        assert km(7.4306, 3.9081, p.lat, p.lon) == pytest.approx(2.5, rel=1e-6)
+@pytest.mark.parametrize("lat, lon, radius", PLACES)
+@pytest.mark.parametrize("n", [3, 64])
+def test_ring_goes_round_the_place(spark, lat, lon, radius, n):
+    ring = one(spark, geo.service_area_ring(*lit(lat, lon, radius), n_vertices=n))
+    assert len(ring) == n + 1 and ring[n] == ring[0]
+    for p in ring:
+        assert km(lat, lon, p.lat, p.lon) == pytest.approx(radius, rel=1e-6)
+    # by bearing: north first, then clockwise, in equal steps
+    bearings = [bearing(lat, lon, p.lat, p.lon) for p in ring[:n]]
+    assert bearings == pytest.approx([i * 360 / n for i in range(n)], abs=1e-4)
 
 
-def test_ring_starts_due_north(spark):
-    first = one(spark, geo.service_area_ring(*lit(7.4, 3.9, 2.5)))[0]
-    assert first.lon == pytest.approx(3.9) and first.lat > 7.4
+def bearing(lat1, lon1, lat2, lon2):
+    a, b, d = math.radians(lat1), math.radians(lat2), math.radians(lon2 - lon1)
+    east = math.sin(d) * math.cos(b)
+    north = math.cos(a) * math.sin(b) - math.sin(a) * math.cos(b) * math.cos(d)
+    turn = round(math.degrees(math.atan2(east, north)) % 360, 9)
+    return 0.0 if turn > 359.9999 else turn
 
 
-def test_ring_turns_clockwise(spark):
-    ring = one(spark, geo.service_area_ring(*lit(7.4, 3.9, 2.5), n_vertices=4))
-    assert ring[1].lon > 3.9 and ring[3].lon < 3.9 and ring[2].lat < 7.4
+def test_vertices_as_rows_are_the_ring(spark):
+    df = spark.createDataFrame([*PLACES, (None, 1.0, 2.0)], "lat double, lon double, r double")
+    rows = geo.with_ring_vertices(df, "lat", "lon", "r", 16).collect()
+    got = {(r.lat, r.vertex): (r.vertex_lon, r.vertex_lat) for r in rows}
+    assert len(rows) == len(got) == len(PLACES) * 17
+    for lat, lon, radius in PLACES:
+        ring = one(spark, geo.service_area_ring(*lit(lat, lon, radius), n_vertices=16))
+        for i, p in enumerate(ring):
+            assert got[lat, i] == pytest.approx((p.lon, p.lat), abs=1e-9)
 
 
 def test_polygon_text(spark):
-    args = lit(7.4, 3.9, 2.5, "high")
-    wkt = one(spark, geo.service_area_wkt(*args, n_vertices=8))
-    assert wkt.startswith("POLYGON ((") and wkt.endswith("))") and wkt.count(",") == 8
-    assert all(len(n.split(".")[1]) == 6 for p in wkt[10:-2].split(", ") for n in p.split(" "))
+    quarter = math.pi / 2 * 6371.0088  # from the pole to the equator, in four directions
+    wkt = one(spark, geo.service_area_wkt(*lit(0.0, 10.0, quarter, "high"), n_vertices=4))
+    points = [tuple(map(float, p.split())) for p in wkt[len("POLYGON (("):-2].split(", ")]
+    assert re.fullmatch(r"POLYGON \(\((-?\d+\.\d{6} -?\d+\.\d{6}(, )?){5}\)\)", wkt)
+    assert points[0] == points[4] and points[0][1] == 90.0 and points[2][1] == -90.0
+    assert points[1] == (100.0, 0.0) and points[3][0] == -80.0
 
 
 def test_unlocated_has_no_polygon(spark):
@@ -68,7 +95,7 @@ def test_unlocated_has_no_polygon(spark):
 @pytest.mark.parametrize(
     "lon, lat, text",
     [
-        (3.9081, 7.4306, "POINT (3.9081 7.4306)"),
+        (-70.125, -33.5, "POINT (-70.125 -33.5)"),
         (3.0, -7.0, "POINT (3 -7)"),
         (0.0001, 100.0, "POINT (0.0001 100)"),
         (None, 7.0, None),
@@ -79,19 +106,23 @@ def test_point_text(spark, lon, lat, text):
 
 
 def locations(spark):
-    return spark.createDataFrame(list(rules.FEEDER_LOCATIONS), LOCATIONS)
+    return spark.createDataFrame(PLACES_OF_FEEDERS, LOCATIONS)
 
 
-def test_overlaps_of_the_feeders(spark):
-    got = {
-        (r.site_a, r.site_b): r
-        for r in mapping.overlapping_sites(locations(spark), "feeder_canonical").collect()
-    }
-    near = got[("APETE", "ELEYELE")]
-    assert near.distance_km == pytest.approx(1.8, abs=0.1)
-    # Feeders that share an anchor are one site with two members.
-    assert ("AGODI 1", "AGODI 2") not in got
-    assert {r.members_a for (a, _), r in got.items() if a == "AGODI 1"} == {2}
+def test_feeders_at_one_place_are_one_site(spark):
+    got = [tuple(r) for r in mapping.overlapping_sites(locations(spark), "feeder_canonical").collect()]
+    assert [r[:4] for r in got] == [("APETE", "ROM", 1, 2)]
+    assert got[0][4] == pytest.approx(km(7.27, 3.5, 7.25, 3.5))
+    counts = mapping.overlap_counts(locations(spark), "feeder_canonical").collect()
+    assert sorted(map(tuple, counts)) == [("APETE", 1, 1, 2), ("ROM", 2, 1, 1)]
+
+
+def test_a_dense_town_gives_a_row_per_site(spark):
+    df = spark.range(700).selectExpr(
+        "id AS k", "7.0 + id / 1e6 AS latitude", "3.0 + id / 1e6 AS longitude", "1.0D AS service_radius_km"
+    )
+    rows = mapping.overlap_counts(df, "k").collect()
+    assert len(rows) == 700 and {r.n_sites for r in rows} == {699}
 
 
 def brute_force(rows):
@@ -126,7 +157,10 @@ def test_overlaps_equal_brute_force(spark, monkeypatch, cell_rows):
         (r.site_a, r.site_b): (r.members_a, r.members_b, round(r.distance_km, 6))
         for r in mapping.overlapping_sites(df, "k").collect()
     }
-    assert got == brute_force(rows)
+    want = brute_force(rows)
+    assert got == want
+    counts = {r.site: r.n_sites for r in mapping.overlap_counts(df, "k").collect()}
+    assert counts == {k: sum(k in pair for pair in want) for k in counts}
 
 
 def test_map_keeps_unlocated_feeders(spark):
@@ -136,6 +170,6 @@ def test_map_keeps_unlocated_feeders(spark):
         "total_customer_hours_interruption double",
     )
     rows = mapping.reliability_map(metrics, locations(spark)).collect()
-    assert [r.feeder_canonical for r in rows] == ["SAMONDA", "APATA", "ROM"]
-    assert rows[0].location_wkt == "POINT (3.9081 7.4306)"
-    assert rows[1].location_wkt is None and rows[1].location_confidence == "unlocated"
+    by = {r.feeder_canonical: r for r in rows}
+    assert by["SAMONDA"].location_wkt == "POINT (3.5 7.25)" and len(rows) == 3
+    assert by["APATA"].location_wkt is None and by["APATA"].location_confidence == "unlocated"

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from faultline import schemas
 from faultline.operators.classify import ClassifierConfig
 from faultline.plans import medallion
-from faultline.plans.xlsx_fixture import workbook_bytes
+from xlsx_fixture import workbook_bytes
 from faultline.schemas import RAW_COLUMNS
 from faultline.sources import catalog, tables
-from faultline.functions.rules import FEEDER_LOCATIONS
+from made_places import PLACED, PLACES
 
 MONTHS = ("JANUARY FEBRUARY MARCH APRIL MAY JUNE JULY AUGUST SEPTEMBER OCTOBER NOVEMBER "
           "DECEMBER").split()
@@ -112,7 +112,7 @@ def test_one_half_is_read_by_folder(spark, lake, plan_of):
 
 def test_catalog_and_views(spark, lake, tmp_path):
     path, _ = lake
-    places = spark.createDataFrame(list(FEEDER_LOCATIONS), schemas.LOCATIONS)
+    places = spark.createDataFrame(PLACES, schemas.LOCATIONS)
     csv = str(tmp_path / "places")
     places.write.option("header", "true").option("escape", '"').csv(csv)
     catalog.register_lake(spark, "lake_test", path, csv)
@@ -124,16 +124,29 @@ def test_catalog_and_views(spark, lake, tmp_path):
     assert kinds == {"string"}
     names = catalog.create_views(spark, "lake_test")
     assert len(names) == 4
-    board = spark.sql("SELECT * FROM mttr_mtbf_leaderboard ORDER BY reliability_rank LIMIT 10")
+    other = spark.newSession()  # the views are the catalog's, not the session's
+    board = other.sql("SELECT * FROM lake_test.mttr_mtbf_leaderboard ORDER BY reliability_rank LIMIT 10")
     gaps = [r.mtbf_hours for r in board.collect()]
     assert gaps == sorted(gaps) and len(gaps) == 3
     ranks = [r.reliability_rank for r in board.collect()]
     assert ranks == [1 + sum(g < h for g in gaps) for h in gaps]
-    where = {r.feeder_canonical: r.location_wkt for r in spark.table("feeder_reliability_map").collect()}
-    assert where["SAMONDA"] == "POINT (3.9081 7.4306)" and where["ROM"] is None
-    summary = spark.table("outage_type_summary")
+    where = {r.feeder_canonical: r.location_wkt for r in other.table("lake_test.feeder_reliability_map").collect()}
+    assert where.get("SAMONDA", "POINT (3.5 7.25)") == "POINT (3.5 7.25)"
+    assert all((where[f] is None) == (f not in PLACED) for f in where)
+    summary = other.table("lake_test.outage_type_summary")
     assert summary.agg(F.sum("total_events")).first()[0] == 12 * (PER_MONTH - 1) - 144
-    assert spark.table("classifier_accuracy_by_type").count() == 3
+    assert other.table("lake_test.classifier_accuracy_by_type").count() == 3
+
+
+def test_a_name_registered_again_reads_the_new_folder(spark, tmp_path):
+    for v in (1, 2):
+        path = str(tmp_path / str(v))
+        rows = spark.createDataFrame([(v,)], "v int")
+        tables.write_table(rows, path)
+        catalog.create_parquet_table(spark, "default", "moved", rows.schema, path)
+        assert [r.v for r in spark.table("moved").collect()] == [v]
+    assert spark.read.parquet(str(tmp_path / "1")).count() == 1
+    spark.sql("DROP TABLE moved")
 
 
 def test_new_partition_shows_after_refresh(spark, tmp_path):

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from faultline.functions import text
 from faultline.operators import quality, quarantine
-from faultline.functions.rules import CANONICAL_FEEDERS, FEEDER_LOCATIONS
+from faultline.functions.rules import CANONICAL_FEEDERS
+from made_places import PLACES
 from faultline.schemas import BRONZE, LOCATIONS, SILVER
 
 DATES = ["2021-01-05 00:00:00", "2021-12-31", "2021", "1900-01-07 00:00:00", "2022-01-01",
@@ -58,7 +59,7 @@ def test_metrics_in_one_pass(spark, plan_of):
 
 
 def locations(spark):
-    return spark.createDataFrame(list(FEEDER_LOCATIONS), LOCATIONS)
+    return spark.createDataFrame(PLACES, LOCATIONS)
 
 
 def test_reference_locations_hold(spark):

@@ -5,6 +5,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from faultline.operators import ranking, reliability, summaries
 
@@ -89,15 +90,33 @@ def test_metrics_need_one_shuffle_and_no_sort(spark, plan_of):
     assert plan.count("Exchange") == 1 and "Window" not in plan and "Sort" not in plan
 
 
-def test_event_rows_meet_their_gap_on_a_unique_key(spark, plan_of):
-    plan = plan_of(reliability.prior_event_gap(events(spark, FIXTURE), "entity", "ts", "id"))
-    by_entity_alone = [
-        line for line in plan.splitlines()
-        if re.search(r"Exchange hashpartitioning\(entity#\d+, 8\)", line)
+def test_events_are_shuffled_once(spark, plan_of):
+    wide = events(spark, FIXTURE).selectExpr("*", "'x' AS payload")
+    plan = plan_of(reliability.prior_event_gap(wide, "entity", "ts", "id"))
+    lines = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    parted = [line for line in lines if "__part" in line]
+    by_entity_alone = [x for x in lines if re.search(r"hashpartitioning\(entity#\d+, 8\)", x)]
+    # events with their columns, and the first of each second; by entity alone only its days
+    assert len(parted) == 2 and len(by_entity_alone) <= 1
+
+
+def test_ids_may_repeat_or_be_null(spark):
+    at = lambda s: EPOCH + dt.timedelta(seconds=s)
+    rows = [
+        (1, "a", at(0), 1.0, 1.0), (1, "a", at(3600), 1.0, 1.0), (2, "a", at(7200), 1.0, 1.0),
+        (None, "b", at(0), 1.0, 1.0), (None, "b", at(10800), 1.0, 1.0), (None, "b", at(10800), 2.0, 1.0),
+        (3, None, at(0), 1.0, 1.0), (3, None, at(5), 1.0, 1.0),
     ]
-    # Only the table with one row per entity and day is gathered by entity.
-    assert len(by_entity_alone) <= 1
-    assert "hashpartitioning(id" in plan
+    gaps = reliability.prior_event_gap(spark.createDataFrame(rows, SCHEMA), "entity", "ts", "id")
+    got = sorted((r.entity, r.hours_since_prior_event) for r in gaps.collect() if r.entity and r.hours_since_prior_event is not None)
+    assert got == [("a", 1.0), ("a", 1.0), ("b", 0.0), ("b", 3.0)] and gaps.count() == len(rows)
+
+
+def test_a_third_of_all_rows_in_one_entity(spark):
+    rng = random.Random(3)
+    rows = [("hot", 500_000.0)] * 2000 + [("hot", rng.randrange(10**6)) for _ in range(2000)]
+    rows += [(f"e{i % 300}", rng.randrange(10**6)) for i in range(8000)]
+    assert got_gaps(spark, rows) == expected_gaps(rows)
 
 
 METRICS = (
@@ -127,7 +146,10 @@ def test_rank_equals_brute_force(spark, seed):
 
 
 def test_leaderboard_order_and_single_events_last(spark):
-    rows = summaries.leaderboard(metrics(spark, [None, 2.5, 1.0, 2.5])).collect()
+    board = summaries.leaderboard(metrics(spark, [None, 2.5, 1.0, 2.5]))
+    order = F.col("reliability_rank"), F.col("feeder_canonical")
+    rows = summaries.in_order(board, *order).orderBy("position").collect()
+    assert [r.position for r in rows] == [1, 2, 3, 4]
     assert [(r.feeder_canonical, r.reliability_rank) for r in rows] == [
         ("f002", 1), ("f001", 2), ("f003", 2), ("f000", 4),
     ]
@@ -136,12 +158,13 @@ def test_leaderboard_order_and_single_events_last(spark):
 def test_top_is_the_head_of_the_leaderboard(spark, plan_of):
     values = [3.0, 1.0, None, 1.0, 2.0, 7.25]
     top = summaries.leaderboard_top(metrics(spark, values), 3)
-    assert top.collect() == summaries.leaderboard(metrics(spark, values)).take(3)
+    board = summaries.leaderboard(metrics(spark, values))
+    assert top.collect() == board.orderBy("reliability_rank", "feeder_canonical").take(3)
     assert "TakeOrderedAndProject" in plan_of(top)
 
 
 def test_rank_has_no_window_over_entity_rows(spark, plan_of):
-    plan = ranking.global_rank(metrics(spark, [1.0, 2.0]), "mtbf_hours", "feeder_canonical", "r")
+    plan = ranking.global_rank(metrics(spark, [1.0, 2.0]), "mtbf_hours", "r")
     windows = [line for line in plan_of(plan).splitlines() if " Window " in line]
     assert windows and all("feeder_canonical" not in line for line in windows)
 
@@ -151,5 +174,5 @@ def test_type_summary(spark):
     df = spark.createDataFrame(
         rows, "outage_type_canonical string, duration_hours_num double, customer_hours_interruption_num double"
     )
-    got = [tuple(r) for r in summaries.type_summary(df).collect()]
+    got = sorted(tuple(r) for r in summaries.type_summary(df).collect())
     assert got == [("x", 2, 66.7, 1.5, 4.0), ("y", 1, 33.3, None, 4.3)]

@@ -4,14 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline import schemas
-from faultline.functions.rules import FEEDER_LOCATIONS
+from made_places import PLACES
 from faultline.schemas import LOCATIONS
 from faultline.session import CHECKPOINT_CONF, shared_dir
 from faultline.sources import tables
 
 CSV = '''feeder_canonical,latitude,longitude,service_radius_km,confidence,setting,anchor
-SAMONDA,7.4306,3.9081,2.5,high,urban,"place ""Samonda"", north"
+SAMONDA,7.25,3.5,2.5,high,urban,"place ""Samonda"", north"
 APATA,,,,unlocated,,"nothing, found"
+ROM,7.1,3.5,1.0,low,rural,"two
+lines, ""quoted"""
 '''
 
 
@@ -22,8 +24,9 @@ def months(spark, rows):
 def test_locations_with_quotes_and_commas(spark, tmp_path):
     (tmp_path / "l.csv").write_text(CSV)
     rows = tables.read_locations(spark, str(tmp_path / "l.csv")).collect()
-    assert rows[0].anchor == 'place "Samonda", north' and rows[0].latitude == 7.4306
+    assert rows[0].anchor == 'place "Samonda", north' and rows[0].latitude == 7.25
     assert (rows[1].latitude, rows[1].setting, rows[1].anchor) == (None, None, "nothing, found")
+    assert len(rows) == 3 and rows[2].anchor == 'two\nlines, "quoted"' 
 
 
 def test_write_checked_counts_and_reads_back(spark, tmp_path):
@@ -90,10 +93,20 @@ def test_shared_folder_is_the_one_the_session_names():
 
 
 def test_location_constants_fit_the_schema(spark):
-    assert spark.createDataFrame(list(FEEDER_LOCATIONS), LOCATIONS).count() == 18
+    assert spark.createDataFrame(PLACES, LOCATIONS).count() == 18
     assert schemas.SILVER.names[-1] == "source_month" and len(schemas.SILVER) == 27
 
 
+def test_streamed_partition_texts_keep_their_zeros(spark, tmp_path):
+    from faultline.streaming.ingest import ingest_parquet
+
+    source, target, log = (str(tmp_path / x) for x in ("in", "out", "log"))
+    rows = spark.createDataFrame([(1, "007"), (2, "012")], "v int, code string")
+    rows.write.parquet(source)
+    got = ingest_parquet(spark, source, rows.schema, target, log, partition_by="code")
+    assert sorted((r.v, r.code) for r in got.collect()) == [(1, "007"), (2, "012")]
+
+
 def test_gathered_rows_are_rebalanced_not_pinned(spark, tmp_path, plan_of):
     df = spark.range(0, 4000, 1, 8).selectExpr("cast(id as int) AS v", "'MAY' AS source_month")
     plan = plan_of(tables.gathered(df, "source_month"))

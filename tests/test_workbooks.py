@@ -5,7 +5,7 @@ import zipfile
 import pytest
 
 from faultline.operators import rawlayout
-from faultline.plans.xlsx_fixture import workbook_bytes
+from xlsx_fixture import workbook_bytes
 from faultline.schemas import BRONZE, RAW_COLUMNS
 from faultline.sources import workbooks, xlsx
 from faultline.streaming.ingest import ingest_workbooks
