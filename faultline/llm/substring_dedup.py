@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from faultline.llm.common import map_batches, mix, sliced, stored, token_hashes, token_spans, utf8
 
 _ODD = np.random.default_rng(4).integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SLICE = 16 << 20
+SLICE = 5 << 20
 
 
 @dataclass(frozen=True)
