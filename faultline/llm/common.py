@@ -18,6 +18,7 @@ __all__ = [
     "fresh",
     "lower_ascii",
     "map_batches",
+    "map_in_arrow",
     "mix",
     "sliced",
     "stored",
@@ -27,6 +28,8 @@ __all__ = [
 ]
 
 SLICE_BYTES = 4 << 20
+HASH_BYTES = 1 << 20
+ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 UPPER = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
 
@@ -64,6 +67,19 @@ def map_batches(
             for part in sliced(batch):
                 yield from fn(part)
 
+    return map_in_arrow(df, run, schema)
+
+
+def map_in_arrow(
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+) -> DataFrame:
+    """mapInArrow with batches of a few MB: the session's bound on their bytes is lowered where it is higher."""
+    conf = df.sparkSession.conf
+    now = str(conf.get(ARROW_CONF)).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > 2 * SLICE_BYTES:
+        conf.set(ARROW_CONF, str(2 * SLICE_BYTES))
     return df.mapInArrow(run, schema)
 
 
@@ -129,7 +145,7 @@ def token_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     begin = 0
     while begin < len(starts):
         # as many words as fill a slice of bytes, one at least
-        stop = max(begin + 1, int(np.searchsorted(ends, starts[begin] + SLICE_BYTES)))
+        stop = max(begin + 1, int(np.searchsorted(ends, starts[begin] + HASH_BYTES)))
         base, n = starts[begin], lengths[begin:stop]
         codes = _BYTE_CODES[data[base : ends[stop - 1]]]
         own = np.zeros(len(codes), np.int64)

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import map_batches, mix, sliced, stored, token_hashes, token_spans, utf8
+from faultline.llm.common import map_batches, map_in_arrow, mix, sliced, stored, token_hashes, token_spans, utf8
 
 _ODD = np.random.default_rng(4).integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SLICE = 5 << 20
@@ -252,7 +252,7 @@ def _counted(docs: DataFrame, how: Windows, bits: int) -> DataFrame:
             some = slots[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["slot", "n"])
 
-    return docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    return map_in_arrow(docs.select("text"), run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
 
 
 def _is_hot(own: Stretches, hot: np.ndarray, bits: int) -> np.ndarray:
@@ -267,7 +267,7 @@ def _packed(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, buckets:
                 own = own.take(np.flatnonzero(~_is_hot(own, hot, bits)))
                 yield pack(own, part.column("doc_id"), part.column("twin"), _bucket(own.minimiser, buckets))
 
-    return docs.mapInArrow(run, PACKED)
+    return map_in_arrow(docs, run, PACKED)
 
 
 def _hot_stretches(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int) -> DataFrame:
