@@ -27,8 +27,9 @@ __all__ = [
     "utf8",
 ]
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 HASH_BYTES = 1 << 20
+ARROW_BYTES = 8 << 20
 ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 UPPER = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
@@ -78,8 +79,8 @@ def map_in_arrow(
     """mapInArrow with batches of a few MB: the session's bound on their bytes is lowered where it is higher."""
     conf = df.sparkSession.conf
     now = str(conf.get(ARROW_CONF)).lower().removesuffix("b")
-    if not now.isdigit() or int(now) > 2 * SLICE_BYTES:
-        conf.set(ARROW_CONF, str(2 * SLICE_BYTES))
+    if not now.isdigit() or int(now) > ARROW_BYTES:
+        conf.set(ARROW_CONF, str(ARROW_BYTES))
     return df.mapInArrow(run, schema)
 
 

@@ -11,15 +11,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import map_batches, stored
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 UNKNOWN = "und"
 SPACE = 32
 
@@ -130,8 +133,8 @@ def compile_model(counts: pd.DataFrame, fit: Fit) -> Model:
     per_order = []
     for n in range(fit.order, 0, -1):
         per_order.append(_summed(matrix, lang, weight, width))
-        keep = pd.DataFrame(matrix).assign(lang=lang).drop_duplicates()
-        matrix, lang, weight = keep.iloc[:, 1:n].to_numpy(np.uint32), keep["lang"].to_numpy(), np.ones(len(keep))
+        keep, _ = different_rows(np.column_stack([matrix, lang]).astype(np.uint32))
+        matrix, lang, weight = keep[:, 1:n], keep[:, n].astype(np.int64), np.ones(len(keep))
     letters = len(per_order[-1][0]) + 1
     lower: tuple[np.ndarray, np.ndarray] | None = None
     levels: list[Level] = []
@@ -162,12 +165,10 @@ def compile_model(counts: pd.DataFrame, fit: Fit) -> Model:
 
 def _summed(matrix: np.ndarray, lang: np.ndarray, weight: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The different rows, and their weights by language."""
-    frame = pd.DataFrame(matrix)
-    row = frame.groupby(list(frame.columns), sort=False).ngroup().to_numpy()
-    table = np.zeros((row.max() + 1, width))
-    np.add.at(table, (row, lang), weight)
-    first = np.unique(row, return_index=True)[1]
-    return matrix[first], table
+    rows, row = np.unique(matrix, axis=0, return_inverse=True)
+    table = np.zeros((len(rows), width))
+    np.add.at(table, (row.ravel(), lang), weight)
+    return rows, table
 
 
 def _discounts(table: np.ndarray) -> np.ndarray:
@@ -214,17 +215,18 @@ def fit_model(docs: DataFrame, fit: Fit = Fit(), text: str = "text", lang: str =
     """A model from the labelled rows; None if there are none. Counting runs on Spark, over the sample's whole texts."""
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        frame = batch.to_pandas()
-        for name, own in frame.groupby("lang"):
-            pieces = [c for c in map(characters, own["text"]) if len(c) > 1]
-            grams = [np.lib.stride_tricks.sliding_window_view(_padded(c, fit.order), fit.order) for c in pieces]
-            if grams:
-                table = pd.DataFrame(np.concatenate(grams)).value_counts()
-                keys = [array_text(k) for k in table.index]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(keys)), pa.array(keys), pa.array(table.to_numpy(np.int64))],
-                    ["lang", "gram", "n"],
-                )
+        texts: dict[str, list[np.ndarray]] = {}
+        for name, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            if len(codes := characters(text)) > 1:
+                texts.setdefault(name, []).append(_padded(codes, fit.order))
+        for name, own in texts.items():
+            grams, n = different_rows(
+                np.concatenate([np.lib.stride_tricks.sliding_window_view(c, fit.order) for c in own])
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(n)), pa.array([array_text(g) for g in grams.tolist()]), pa.array(n)],
+                ["lang", "gram", "n"],
+            )
 
     sample = stored(training_sample(docs, fit, text, lang), "language-sample")
     counted = map_batches(sample.filter("NOT held").select("lang", "text"), count, "lang string, gram string, n long")
@@ -241,7 +243,14 @@ def _padded(codes: np.ndarray, order: int) -> np.ndarray:
     return np.concatenate([np.full(order - 2, SPACE, np.uint32), codes])
 
 
-def array_text(codes: tuple) -> str:
+def different_rows(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of a matrix, and how often each is there."""
+    rows = matrix[np.lexsort(matrix.T)]
+    new = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1)))
+    return rows[new], np.diff(np.append(new, len(rows)))
+
+
+def array_text(codes: list[int]) -> str:
     return "".join(map(chr, codes))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from faultline.llm.common import map_batches
 
 END_OF_DOCUMENT = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 CUT_CHARS = 1 << 18
 
 _ODD_SPACE = re.compile(r" \s")
