@@ -23,8 +23,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that much of their source repeats; ``n_chars`` follows the text."""
-    kept = line_dedup.drop_boilerplate(docs).drop("n_lines", "n_dropped")
+    """All documents, without the lines that much of their source repeats; ``n_chars`` follows the text.
+
+    Copies are still in: a text must not lose its lines to its own copies, so no line goes from all pages.
+    """
+    kept = line_dedup.drop_boilerplate(docs, line_dedup.Boilerplate(spare=True)).drop("n_lines", "n_dropped")
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

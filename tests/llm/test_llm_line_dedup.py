@@ -54,3 +54,16 @@ def test_empty_table(spark):
 def test_host_of(spark):
     urls = spark.createDataFrame([("https://User@WWW.Site.org:80/a?b",), ("no url",), (None,)], "u string")
     assert [r[0] for r in urls.select(host_of(F.col("u"))).collect()] == ["www.site.org", None, None]
+
+
+def test_spare_counts_equal_texts_once(spark):
+    rows = [(i, "menu\ncopied", "a.com") for i in range(10)] + [(10 + i, f"menu\nown {i}", "a.com") for i in range(10)]
+    rows += [(20, None, "a.com"), (21, "", "a.com"), (22, "copied\nmore", None), (23, "menu", "a.com")]
+    for lines in (0, 100):
+        how = Boilerplate(ratio=0.3, min_pages=3, broadcast_lines=lines, spare=True)
+        by = {r[0]: r[1:] for r in got(drop_boilerplate(table(spark, [(i, t, None, h) for i, t, h in rows]), how))}
+        # ten rows of one text are one page: "copied" is no boilerplate, "menu" is, and stays on one page
+        assert all("copied" in by[i][0] for i in range(10)) and by[22][0] == "copied\nmore"
+        assert sorted(by[i][0].removeprefix("menu\n") for i in range(10, 20)) == [f"own {i}" for i in range(10)]
+        assert len({t for t, *_ in by.values() if t and t.startswith("menu\n")}) <= 1
+        assert by[20][0] is None and by[21][0] == "" and by[23] == ("menu", 1, 0)

@@ -6,6 +6,7 @@ from pathlib import Path
 import corpus_pipeline
 import duckdb
 import pytest
+from llm_cases import prose, table
 from oracle import compare, duck
 
 from faultline.llm.common import documents, stored
@@ -57,3 +58,21 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
     shutil.copy(top / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') for n in q)"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
+
+
+def test_of_copies_one_keeps_its_text_through_lines_and_near_duplicates(spark):
+    """Exact copies, near copies that differ in a line or by a line of their own, and a menu, on one host."""
+    body = [prose(900 + k, 30, 10_000) for k in range(8)]
+    exact, near, variant = "\n".join(body[:2]), "\n".join(body[2:4]), body[4:8]
+    rows = [(i, exact, "xx", "host") for i in range(1, 41)]
+    rows += [(100 + i, near + "\n" * (i % 3), "xx", "host") for i in range(40)]
+    rows += [(200 + i, "\n".join([*variant, f"own{i} line{i}"]), "xx", "host") for i in range(40)]
+    rows += [(300 + i, f"the common menu\n{prose(i, 40, 10_000)}", "xx", "host") for i in range(100)]
+    docs = table(spark, rows)
+    lines = stored(corpus_pipeline.without_boilerplate(spark, docs, SF), "test-copies")
+    kept = [r.text for r in corpus_pipeline.one_of_each(spark, lines, SF).collect()]
+    assert all(t.strip() for t in kept)
+    assert [sum(p in t for t in kept) for p in body] == [1] * 8
+    assert any(all(p in t for p in variant) for t in kept)
+    assert sum("the common menu" in t for t in kept) <= 1
+    assert sum(len(t.split()) == 40 or "menu" in t for t in kept) == 100
