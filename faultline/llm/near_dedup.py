@@ -30,6 +30,7 @@ _SEEDS = np.random.default_rng(7).integers(1, 2**63, 4096, dtype=np.uint64) * np
 
 
 BITS = 1024
+SAMPLED = 16  # sets with fewer shingles are not judged by their sample bits, which scatter more there
 _SEEDS_32 = np.random.default_rng(8).integers(1, 2**31, 2 * BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _LONGS = [f"b{i}" for i in range(BITS // 64)]
 _OWN = ("cls", "n", "lone", "label", "small", *_LONGS)
@@ -237,15 +238,15 @@ def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
 def _possible(how: Near, a: str, b: str) -> str:
     """What only one of two sets has is outside their intersection: 100 * both >= percent * (both + lone + lone).
 
-    And their sample bits differ by no more than is usual at the least similarity, plus four deviations: that passes
-    over similar sets with a probability of 3e-5 at the least similarity, and less above.
+    And unless a set has fewer than SAMPLED shingles, their sample bits differ by no more than is usual at the least
+    similarity, plus five deviations; at the least similarity that should pass over 1e-6 of the similar sets.
     """
     both = f"least({a}n - {a}lone, {b}n - {b}lone)"
     differ = (1 - how.percent / 100) / 2
-    most = int(BITS * differ + 4 * (BITS * differ * (1 - differ)) ** 0.5)
+    most = int(BITS * differ + 5 * (BITS * differ * (1 - differ)) ** 0.5)
     bits = " + ".join(f"bit_count({a}{c} ^ {b}{c})" for c in _LONGS)
     bound = f"{100 - how.percent} * {both} >= {how.percent} * ({a}lone + {b}lone)"
-    return f"{_close(how, f'{a}n', f'{b}n')} AND {bound} AND {bits} <= {most}"
+    return f"{_close(how, f'{a}n', f'{b}n')} AND {bound} AND (least({a}n, {b}n) < {SAMPLED} OR {bits} <= {most})"
 
 
 def lead_pairs(rows: DataFrame, how: Near) -> DataFrame:

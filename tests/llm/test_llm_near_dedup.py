@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from llm_cases import ascii_lower, odd_texts, prose, rows_of, table, words_of
 
@@ -110,3 +111,14 @@ def test_sql_on_the_same_rows(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
     want = con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({near_dedup.GROUPS_SQL})").fetchall()
     assert sorted(want, key=repr) == brute(rows)
+
+
+def test_sample_bits_rule_out_no_small_similar_sets(spark):
+    dice, rows = np.random.default_rng(11), []
+    for k, (n, m, both) in enumerate([(4, 3, 3)] * 1500 + [(8, 6, 6)] * 300 + [(14, 14, 12)] * 300 + [(24, 18, 18)] * 300):
+        own = dice.integers(1, 2**63, n + m - both, dtype=np.uint64)
+        one, two = (near_dedup.sample_bits(x).tolist() for x in (own[:n], np.concatenate([own[:both], own[n:]])))
+        rows.append((k, n, n - both, *one, m, m - both, *two))
+    names = ["n", "lone", *near_dedup._LONGS]
+    pairs = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ["k", *names, *[f"o_{c}" for c in names]]))
+    assert pairs.filter(near_dedup._possible(near_dedup.Near(), "", "o_")).count() == len(rows)
