@@ -17,6 +17,7 @@ from faultline.llm import (
     packing,
     secrets,
     substring_dedup,
+    vector_codes,
 )
 from faultline.llm.common import documents
 from faultline.plans.registry import Query
@@ -132,3 +133,8 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(vector_codes.CODES_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.with_label_errors(*vector_codes.compress(documents(spark, sf_dir, "embeddings")))
