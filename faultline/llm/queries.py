@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import (
+    bpe,
     chat,
     decontaminate,
     exact_dedup,
+    fill_in,
     language,
     licenses,
     line_dedup,
@@ -135,6 +137,16 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query(fill_in.DIGESTS_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in.fill_in_digests(documents(spark, sf_dir))
+
+
+@query()
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), TOKENIZER)
+
+
 @query(vector_codes.CODES_SQL)
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.with_label_errors(*vector_codes.compress(documents(spark, sf_dir, "embeddings")))
