@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,9 @@ SLICE = 5 << 20
 @dataclass(frozen=True)
 class Windows:
     """``bucket``: stretches per bucket, about. ``crowd``: a minimiser counts as hot with more stretches than this, and
-    than ``times`` the mean of the counters. ``bits``: the counters are at most 2 ** bits, however large the input."""
+    than ``times`` the mean of the counters. ``bits``: the counters are at most 2 ** bits, however large the input.
+    ``samples``: texts, each of 4,000 characters at most, that the compression dictionary is made from; it changes how
+    small the packed rows are, and no result."""
 
     window: int = 20
     part: int = 2
@@ -40,6 +42,7 @@ class Windows:
     crowd: int = 4096
     times: int = 8
     bits: int = 22
+    samples: int = 1000
 
 
 @dataclass
@@ -134,24 +137,54 @@ def _slot(minimisers: np.ndarray, bits: int) -> np.ndarray:
 
 
 PACKED = "bucket long, n long, payload binary"
+WIDTHS = tuple(np.dtype(t) for t in ("<i1", "<i2", "<i4", "<i8"))
 
 
-def pack(own: Stretches, ids: pa.Array, twins: pa.Array, bucket: np.ndarray) -> pa.RecordBatch:
+def text_dictionary(docs: DataFrame, how: Windows) -> bytes:
+    """A compression dictionary of these texts' usual strings, for rows too short to have any; empty if there is little
+    text."""
+    some = docs.filter("octet_length(text) > 100").select(F.substring("text", 1, 4000).alias("text"))
+    samples = [r["text"].encode() for r in some.limit(how.samples).collect()]
+    if len(samples) < 20:
+        return b""
+    try:
+        return zstandard.train_dictionary(64 << 10, samples).as_bytes()
+    except zstandard.ZstdError:  # too little text, or all alike
+        return b""
+
+
+@lru_cache(maxsize=4)
+def zstd(dictionary: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Of this Python worker; a dictionary is prepared once."""
+    if not dictionary:
+        return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    own = zstandard.ZstdCompressionDict(dictionary)
+    own.precompute_compress(level=3)
+    return zstandard.ZstdCompressor(level=3, dict_data=own), zstandard.ZstdDecompressor(dict_data=own)
+
+
+def narrow(column: np.ndarray) -> bytes:
+    """The numbers in the fewest bytes that hold the largest, with the width before them."""
+    kind = next(t for t in WIDTHS if np.iinfo(t).min <= column.min() and column.max() <= np.iinfo(t).max)
+    return bytes([kind.itemsize]) + column.astype(kind).tobytes()
+
+
+def pack(
+    own: Stretches, ids: pa.Array, twins: pa.Array, bucket: np.ndarray, dictionary: bytes = b""
+) -> pa.RecordBatch:
     """One row for each bucket: the stretches' columns and bytes behind each other, compressed."""
     order = np.argsort(bucket, kind="stable")
     own, bucket = own.take(order), bucket[order]
-    known = np.asarray(pc.is_valid(ids))[own.row]
+    known = np.asarray(pc.is_valid(ids))[own.row].astype(np.int64)
     ids_ = np.asarray(pc.fill_null(ids, 0))[own.row]
     twins_ = np.asarray(pc.fill_null(twins, 0))[own.row]
     sizes = own.end - own.begin
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(bucket) else np.zeros(0, np.int64)
-    squeeze = zstandard.ZstdCompressor(level=3)
+    squeeze = zstd(dictionary)[0]
     view = memoryview(own.data)
     rows: list[tuple[int, int, bytes]] = []
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
-        columns = (known[a:b].astype("<i8"), ids_[a:b], twins_[a:b], own.start[a:b], own.count[a:b], sizes[a:b])
-        # bytes of equal weight together: the high ones are mostly equal
-        head = np.stack(columns).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+        head = b"".join(narrow(c[a:b]) for c in (known, ids_, twins_, own.start, own.count, sizes))
         text = b"".join([view[x:y] for x, y in zip(own.begin[a:b].tolist(), own.end[a:b].tolist())])
         rows.append((int(bucket[a]), b - a, squeeze.compress(head + text)))
     kinds = (pa.int64(), pa.int64(), pa.binary())
@@ -159,24 +192,28 @@ def pack(own: Stretches, ids: pa.Array, twins: pa.Array, bucket: np.ndarray) ->
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "n", "payload"])
 
 
-def unpack(counts: list[int], payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def unpack(counts: list[int], payloads: list[bytes], dictionary: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
     """Columns (known, id, twin, start, count, bytes) as rows of a table, and all bytes of all stretches."""
-    expand = zstandard.ZstdDecompressor()
+    expand = zstd(dictionary)[1]
     heads, texts = [], []
     for n, payload in zip(counts, payloads):
-        whole = expand.decompress(payload)
-        head = np.frombuffer(whole[: 48 * n], np.uint8).reshape(8, -1).T
-        heads.append(np.ascontiguousarray(head).view("<i8").reshape(6, n))
-        texts.append(whole[48 * n :])
+        whole, at = expand.decompress(payload), 0
+        head = np.empty((6, n), np.int64)
+        for column in head:
+            width = whole[at]
+            column[:] = np.frombuffer(whole, f"<i{width}", n, at + 1)
+            at += 1 + width * n
+        heads.append(head)
+        texts.append(whole[at:])
     return np.concatenate(heads, axis=1), np.frombuffer(b"".join(texts), np.uint8)
 
 
 REPEATS = "doc_id long, twin long, first long, stop long"
 
 
-def repeats_in_bucket(counts: list[int], payloads: list[bytes], window: int) -> pa.Table:
+def repeats_in_bucket(counts: list[int], payloads: list[bytes], window: int, dictionary: bytes = b"") -> pa.Table:
     """Words (from ``first`` to before ``stop``) of documents that a window covers which starts earlier elsewhere."""
-    (known, ids, twins, start, count, _), data = unpack(counts, payloads)
+    (known, ids, twins, start, count, _), data = unpack(counts, payloads, dictionary)
     words = np.flatnonzero(data == 32) + 1
     coded = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(words), [None, pa.py_buffer(np.concatenate([[0], words])), pa.py_buffer(data)]
@@ -228,9 +265,9 @@ def _mark(repeated, late, lead, known, ids, twins, start, own, step) -> None:
     repeated[late] = ~(same & (start[a] + step[late] == start[b] + step[lead]))
 
 
-def _repeats(packed: DataFrame, window: int) -> DataFrame:
+def _repeats(packed: DataFrame, window: int, dictionary: bytes) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        return repeats_in_bucket(table["n"].to_pylist(), table["payload"].to_pylist(), window)
+        return repeats_in_bucket(table["n"].to_pylist(), table["payload"].to_pylist(), window, dictionary)
 
     return packed.groupBy("bucket").applyInArrow(run, REPEATS)
 
@@ -259,13 +296,16 @@ def _is_hot(own: Stretches, hot: np.ndarray, bits: int) -> np.ndarray:
     return np.isin(_slot(own.minimiser, bits), hot)
 
 
-def _packed(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, buckets: int) -> DataFrame:
+def _packed(
+    docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, buckets: int, dictionary: bytes
+) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, SLICE):
                 own = stretches(part.column("text"), how)
                 own = own.take(np.flatnonzero(~_is_hot(own, hot, bits)))
-                yield pack(own, part.column("doc_id"), part.column("twin"), _bucket(own.minimiser, buckets))
+                bucket = _bucket(own.minimiser, buckets)
+                yield pack(own, part.column("doc_id"), part.column("twin"), bucket, dictionary)
 
     return map_in_arrow(docs, run, PACKED)
 
@@ -293,7 +333,7 @@ def _hot_stretches(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int) ->
     return map_batches(docs, run, "doc_id long, twin long, start long, n long, s binary")
 
 
-def _spread(firsts: DataFrame, how: Windows, buckets: int) -> DataFrame:
+def _spread(firsts: DataFrame, how: Windows, buckets: int, dictionary: bytes) -> DataFrame:
     """Every window of these stretches as a stretch of its own, in the bucket of its own hash."""
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -308,12 +348,12 @@ def _spread(firsts: DataFrame, how: Windows, buckets: int) -> DataFrame:
         begin = np.asarray(part.column("start"))[row] + step
         one = np.ones(len(row), np.int64)
         own = Stretches(row, begin, one, hashes, packed, begins[at], begins[at + how.window])
-        yield pack(own, part.column("doc_id"), part.column("twin"), _bucket(hashes, buckets))
+        yield pack(own, part.column("doc_id"), part.column("twin"), _bucket(hashes, buckets), dictionary)
 
     return map_batches(firsts, run, PACKED)
 
 
-def _hot_repeats(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int) -> DataFrame:
+def _hot_repeats(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, dictionary: bytes) -> DataFrame:
     all_ = stored(_hot_stretches(docs, how, hot, bits), "hot-stretches")
     place = F.struct("doc_id", "twin", "start")
     firsts = stored(all_.groupBy("s").agg(F.min(place).alias("lead"), F.max("n").alias("n")), "hot-firsts")
@@ -323,8 +363,8 @@ def _hot_repeats(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int) -> D
     )
     windows = firsts.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-windows // (4 * how.bucket)))
-    parts = _spread(firsts.select("lead.doc_id", "lead.twin", "lead.start", "s"), how, buckets)
-    return whole.union(_repeats(parts, how.window))
+    parts = _spread(firsts.select("lead.doc_id", "lead.twin", "lead.start", "s"), how, buckets, dictionary)
+    return whole.union(_repeats(parts, how.window, dictionary))
 
 
 def repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
@@ -335,9 +375,11 @@ def repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
     crowded = max(how.crowd, how.times * total >> bits)
     # over ``times`` the mean: at most one counter in ``times`` is hot
     hot = np.array(sorted(r["slot"] for r in slots.filter(F.col("n") > crowded).select("slot").collect()), np.int64)
-    out = [_repeats(_packed(docs, how, hot, bits, max(1, -(-total // how.bucket))), how.window)]
+    dictionary = text_dictionary(docs, how)
+    buckets = max(1, -(-total // how.bucket))
+    out = [_repeats(_packed(docs, how, hot, bits, buckets, dictionary), how.window, dictionary)]
     if len(hot):
-        out.append(_hot_repeats(docs, how, hot, bits))
+        out.append(_hot_repeats(docs, how, hot, bits, dictionary))
     return reduce(DataFrame.union, out)
 
 
@@ -347,6 +389,31 @@ def _twin(docs: DataFrame) -> Column:
     return F.lit(0).cast("long") if shared.isEmpty() else F.coalesce(F.xxhash64("text"), F.lit(0).cast("long"))
 
 
+def squeezed(rows: DataFrame) -> DataFrame:
+    """doc_id, twin, frame: the texts compressed, since all of them travel to their spans."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        squeeze = zstd(b"")[0]
+        frames = [squeeze.compress(x.as_buffer() or b"") for x in batch.column("text").fill_null("")]
+        columns = [batch.column("doc_id"), batch.column("twin"), pa.array(frames, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "twin", "frame"])
+
+    return map_batches(rows.select("doc_id", "twin", "text"), run, "doc_id long, twin long, frame binary")
+
+
+def by_text_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices whose frames hold little text, or one row each, however well it is compressed."""
+    start = total = 0
+    for i, frame in enumerate(batch.column("frame")):
+        size = zstandard.frame_content_size(frame.as_buffer())
+        if i > start and total + size > SLICE:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
 def remove_repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, text (the kept words, joined by one space).
 
@@ -361,12 +428,18 @@ def remove_repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
     rows = plain.withColumn("twin", _twin(plain))
     spans = repeats(rows, how).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
     spans = stored(spans.select(F.col("doc_id").alias("id"), F.col("twin").alias("tw"), "spans"), "repeats")
-    joined = rows.join(
+    joined = squeezed(rows).join(
         spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("tw")), "left"
-    ).select("doc_id", "text", "spans")
+    ).select("doc_id", "frame", "spans")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, offsets = utf8(batch.column("text"))
+        for part in by_text_size(batch):
+            yield cleaned(part)
+
+    def cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
+        expand = zstd(b"")[1]
+        texts = [expand.decompress(x.as_buffer()).decode() for x in batch.column("frame")]
+        data, offsets = utf8(pa.array(texts, pa.string()))
         starts, ends, first = token_spans(data, offsets)
         counts = np.diff(first)
         gone = np.zeros(len(starts) + 1, np.int64)
@@ -383,7 +456,7 @@ def remove_repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
             x, y = begins[upto[a]], begins[upto[b]]
             removed.append(int(b - a - (upto[b] - upto[a])))
             whole.append(packed[x : max(x, y - 1)].tobytes().decode())
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(whole)],
             ["doc_id", "n_words", "n_removed", "text"],
         )
