@@ -5,9 +5,10 @@ m small hashes give m (m - 1) / 2 tables of four minima each, for the price of 2
 Documents with the same shingle set are one class; classes meet in the tables and are verified on their full sets.
 
 Groups are never expanded into all pairs. In each table a class is first compared with the smallest of its bucket,
-then, if they are not yet connected, with the one that has the fewest shingles of its own; after that, pairs of classes
-that are still in different components are compared unless what they have alone rules them out. That loses no link
-between components.
+then, if they are not yet connected, with the one that has the fewest shingles of its own. For what is still in
+different components, each class of a bucket notes which shingles of the bucket's leader it lacks. Two classes can have
+no more in common than what neither lacks, plus what both have beside the leader: in a crowd of near-misses around one
+text, that tells nearly every pair apart without looking at their sets, and loses no link.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ BITS = 1024
 SAMPLED = 16  # sets with fewer shingles are not judged by their sample bits, which scatter more there
 _SEEDS_32 = np.random.default_rng(8).integers(1, 2**31, 2 * BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _LONGS = [f"b{i}" for i in range(BITS // 64)]
+_LACKS = [f"m{i}" for i in range(BITS // 64)]
 _OWN = ("cls", "n", "lone", "label", "small", *_LONGS)
 
 
@@ -190,7 +192,8 @@ def bit_samples(rows: DataFrame, sets: DataFrame) -> DataFrame:
 def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """cls, lone: how many shingles of a class no other class in ``rows`` has.
 
-    The sets' hashes travel packed, a batch's share of a bucket in one row, and are counted bucket by bucket.
+    The sets' hashes travel packed, a batch's share of a bucket in one row, and are counted bucket by bucket. A batch
+    names a shingle once, however many of its sets have it, so a very frequent one does not fill its bucket.
     """
     some = rows.select("cls").distinct()
     own = sets.join(some.hint("merge"), "cls", "left_semi")
@@ -199,35 +202,38 @@ def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         each = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("set")]
-        hashes = np.concatenate(each)
         owner = np.repeat(np.arange(len(each), dtype=np.int32), [len(x) for x in each])
+        # a shingle that several sets of the batch have travels once, and without an owner
+        hashes, first, times = np.unique(np.concatenate(each), return_index=True, return_counts=True)
+        owner = np.where(times > 1, np.int32(-1), owner[first])
         bucket = (hashes % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = [
-            (b, list(dict.fromkeys(owner[o].tolist())), owner[o], hashes[o])
-            for b, o in ((b, order[cuts[b] : cuts[b + 1]]) for b in range(buckets))
-            if len(o)
-        ]
         classes = batch.column("cls").to_pylist()
+        rows = []
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            o = order[cuts[b] : cuts[b + 1]]
+            own, at = np.unique(owner[o], return_inverse=True)
+            named = [classes[k] for k in own.tolist() if k >= 0]
+            at = at - (own[0] < 0)  # -1: no owner
+            rows.append((b, named, at.astype("<i4").tobytes(), hashes[o].tobytes()))
+        columns = zip(*rows) if rows else ((), (), (), ())
+        kinds = (pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([[classes[k] for k in r[1]] for r in rows], pa.list_(pa.binary())),
-                pa.array([np.searchsorted(r[1], r[2]).astype("<i4").tobytes() for r in rows], pa.binary()),
-                pa.array([r[3].tobytes() for r in rows], pa.binary()),
-            ],
-            ["bucket", "classes", "owners", "hashes"],
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "classes", "owners", "hashes"]
         )
 
     def count(table: pa.Table) -> pa.Table:
         classes, owners, hashes = [], [], []
         for row in table.to_pylist():
-            owners.append(np.frombuffer(row["owners"], "<i4") + len(classes))
+            own = np.frombuffer(row["owners"], "<i4")
+            owners.append(np.where(own < 0, -1, own + len(classes)))
             hashes.append(np.frombuffer(row["hashes"], np.uint64))
             classes += row["classes"]
+        own = np.concatenate(owners)
         _, first, times = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
-        alone = np.bincount(np.concatenate(owners)[first[times == 1]], minlength=len(classes))
+        lone = own[first[times == 1]]
+        alone = np.bincount(lone[lone >= 0], minlength=len(classes))
         return pa.table({"cls": pa.array(classes, pa.binary()), "lone": pa.array(alone, pa.int64())})
 
     packed = map_batches(own, pack, "bucket long, classes array<binary>, owners binary, hashes binary")
@@ -259,11 +265,54 @@ def lead_pairs(rows: DataFrame, how: Near) -> DataFrame:
     return _pairs(rows, lead, how)
 
 
-def rest_pairs(rows: DataFrame, how: Near) -> DataFrame:
+def lacking(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` with what each class has to do with its bucket's leader (the class with the fewest lone shingles).
+
+    ``n_lead``: the leader's shingles. ``beside``: own shingles that the leader does not have, without the lone ones.
+    ``m0``...: one bit for each group of the leader's shingles, set if the class lacks any of the group; up to BITS
+    shingles are groups of one.
+    """
+    leads = rows.groupBy("key").agg(F.min(F.struct("lone", "cls")).alias("o"))
+    leads = leads.select("key", F.col("o.cls").alias("lead"))
+    led = stored(rows.join(stored(leads, "near-leads").hint("merge"), "key"), "near-led")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bits, sizes, beside = [], [], []
+        for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+            own, lead = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+            lacks = np.flatnonzero(~np.isin(lead, own, assume_unique=True))
+            group = np.zeros(BITS, bool)
+            group[lacks if len(lead) <= BITS else lacks * BITS // len(lead)] = True
+            bits.append(np.packbits(group).view(np.int64))
+            sizes.append(len(lead))
+            beside.append(len(own) - len(lead) + len(lacks))
+        longs = [pa.array(column) for column in np.stack(bits).T.copy()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(sizes, pa.int64()), pa.array(beside, pa.int64()), *longs],
+            ["of", "by", "n_lead", "beside", *_LACKS],
+        )
+
+    pairs = led.select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct()
+    longs = ", ".join(f"{c} long" for c in _LACKS)
+    found = map_batches(with_sets(pairs, sets), run, f"of binary, by binary, n_lead long, beside long, {longs}")
+    same = (F.col("cls") == F.col("of")) & (F.col("lead") == F.col("by"))
+    joined = led.join(stored(found, "near-lacks").hint("merge"), same).withColumn("beside", F.expr("beside - lone"))
+    return joined.drop("of", "by", "lead")
+
+
+def _in_common(how: Near) -> str:
+    """No more than this can be in both sets: what the leader has and neither lacks, and what both have beside it."""
+    lacked = " + ".join(f"bit_count({c} | o_{c})" for c in _LACKS)
+    both = f"(n_lead - ({lacked}) + least(beside, o_beside))"
+    return f"{100 + how.percent} * {both} >= {how.percent} * (n + o_n)"
+
+
+def rest_pairs(rows: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     """All pairs of a bucket's classes in different components that may be similar enough.
 
     Each has a class outside the bucket's main component. Rows that cannot be like any other, by the fewest lone
-    shingles of those they would be paired with, are left out before anything is paired.
+    shingles of those they would be paired with, are left out before anything is paired. What passes the bound by the
+    leader is mostly similar indeed.
     """
     outside = F.col("label") != F.col("main")
     least = rows.groupBy("key").agg(
@@ -272,11 +321,12 @@ def rest_pairs(rows: DataFrame, how: Near) -> DataFrame:
     near = rows.join(stored(least, "near-least").hint("merge"), "key")
     low = F.when(outside, F.col("low")).otherwise(F.col("low_outside"))
     near = near.filter((100 - how.percent) * (F.col("n") - F.col("lone")) >= how.percent * (F.col("lone") + low))
-    near = stored(near, "near-possible")
-    others = near.filter("label != main").select("key", *[F.col(c).alias(f"o_{c}") for c in _OWN])
+    near = stored(lacking(stored(near, "near-possible"), sets), "near-lacking")
+    own = (*_OWN, "beside", *_LACKS)
+    others = near.filter("label != main").select("key", *[F.col(c).alias(f"o_{c}") for c in own])
     # each pair speaks once: in the table of its first two common small hashes, and in one order
     earlier = [f"IF({k} < j AND {k} != i AND small[{k}] = o_small[{k}], 1, 0)" for k in range(how.small)]
-    once = f"{' + '.join(earlier)} = 0 AND (label = main OR cls < o_cls)"
+    once = f"{' + '.join(earlier)} = 0 AND (label = main OR cls < o_cls) AND {_in_common(how)}"
     return _pairs(near, others, how, once)
 
 
@@ -286,6 +336,12 @@ def _pairs(rows: DataFrame, others: DataFrame, how: Near, once: str = "true") ->
     return pairs.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
 
 
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, set_a, set_b."""
+    one = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
+    return one.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")).hint("merge"), "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     """The pairs whose full sets are similar enough."""
 
@@ -297,9 +353,7 @@ def verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
             keep.append(100 * both >= how.percent * (len(a) + len(b) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
-    two = one.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")).hint("merge"), "b")
-    return map_batches(two, run, "a binary, b binary")
+    return map_batches(with_sets(pairs, sets), run, "a binary, b binary")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -351,7 +405,7 @@ def near_groups(docs: DataFrame, how: Near = Near()) -> DataFrame:
     rows = stored(rows.join(stored(facts, "near-facts").hint("merge"), "cls"), "near-rows")
     labels = merged(labels, verified(lead_pairs(rows, how), sets, how))
     rows = open_rows(rows.drop("label", "main"), labels)
-    labels = merged(labels, verified(rest_pairs(rows, how), sets, how))
+    labels = merged(labels, verified(rest_pairs(rows, sets, how), sets, how))
     of_class = classes.select("cls", "rep").join(
         labels.hint("merge"), F.col("cls") == F.col("node"), "left"
     ).select("cls", "rep", "component")

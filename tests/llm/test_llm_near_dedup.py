@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 from llm_cases import ascii_lower, odd_texts, prose, rows_of, table, words_of
+from pyspark.sql import functions as F
 
 from faultline.llm import near_dedup
 from faultline.llm.graph import components
@@ -122,3 +123,67 @@ def test_sample_bits_rule_out_no_small_similar_sets(spark):
     names = ["n", "lone", *near_dedup._LONGS]
     pairs = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ["k", *names, *[f"o_{c}" for c in names]]))
     assert pairs.filter(near_dedup._possible(near_dedup.Near(), "", "o_")).count() == len(rows)
+
+
+def compared(monkeypatch):
+    """What is handed to the comparison of full sets, round by round."""
+    pairs, inner = [], near_dedup.verified
+
+    def counting(some, sets, how):
+        some = near_dedup.stored(some, "counted-pairs")
+        pairs.append(some.count())
+        return inner(some, sets, how)
+
+    monkeypatch.setattr(near_dedup, "verified", counting)
+    return pairs
+
+
+def test_a_crowd_of_near_misses_takes_linearly_many_comparisons(spark, monkeypatch):
+    pairs, base = compared(monkeypatch), prose(1, 30, 5000)
+    seen = {}
+    for n in (300, 600):
+        rows = [(i, edited(base, 1, i)) for i in range(n)]
+        pairs.clear()
+        got = rows_of(near_dedup.near_groups(table(spark, rows)), *COLUMNS)
+        assert got == brute(rows)  # recall 1
+        seen[n] = list(pairs)
+    assert sum(seen[600]) < 2.6 * sum(seen[300])
+    assert seen[600][2] < 60  # what the bound by the leader lets pass
+
+
+def test_bound_by_the_leader_holds_for_all_pairs(spark):
+    dice = random.Random(4)
+    base = list(range(1, 1 + 40))
+    sets = {}
+    for k in range(60):
+        own = set(dice.sample(base, 40 - dice.randrange(12)))
+        own |= {100 + dice.randrange(30) for _ in range(dice.randrange(9))}
+        sets[f"c{k:02}".encode()] = np.array(sorted(own), np.uint64)
+    times = Counter(int(x) for s in sets.values() for x in s)
+    rows = [(1, c, len(s), sum(times[int(x)] == 1 for x in s)) for c, s in sets.items()]
+    df = spark.createDataFrame(rows, "key long, cls binary, n long, lone long")
+    stored = spark.createDataFrame([(c, s.tobytes()) for c, s in sets.items()], "cls binary, set binary")
+    led = near_dedup.lacking(df, stored)
+    other = led.select(*[F.col(c).alias(f"o_{c}") for c in led.columns])
+    pairs = led.crossJoin(other).filter(near_dedup._in_common(near_dedup.Near()))
+    passed = {(bytes(r["cls"]), bytes(r["o_cls"])) for r in pairs.select("cls", "o_cls").collect()}
+    alike = {
+        (a, b)
+        for a in sets
+        for b in sets
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert alike <= passed and len(passed) < len(sets) ** 2 / 2
+
+
+def test_lone_shingles(spark):
+    dice = random.Random(2)
+    sets = {f"c{k}".encode(): sorted({dice.randrange(300) for _ in range(20)} | {10**6}) for k in range(50)}
+    times = Counter(x for s in sets.values() for x in s)
+    stored = spark.createDataFrame(
+        [(c, np.array(s, np.uint64).tobytes()) for c, s in sets.items()], "cls binary, set binary"
+    )
+    found = near_dedup.lone_shingles(stored.select("cls").repartition(5), stored.repartition(7)).collect()
+    assert {bytes(r["cls"]): r["lone"] for r in found if r["lone"]} == {
+        c: n for c, s in sets.items() if (n := sum(times[x] == 1 for x in s))
+    }
