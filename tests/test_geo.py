@@ -163,6 +163,22 @@ def test_overlaps_equal_brute_force(spark, monkeypatch, cell_rows):
     assert counts == {k: sum(k in pair for pair in want) for k in counts}
 
 
+def test_counting_does_not_meet_all_sites_of_a_town(spark):
+    """Four times the sites, in a town that most areas cover half of: far from 16 times the rows."""
+    met = {}
+    for n in (1000, 4000):
+        df = spark.range(n).selectExpr(
+            "id AS k", "7.0 + pmod(hash(id), 9973) * 1e-5 AS latitude",
+            "3.0 + pmod(hash(id, 7), 9967) * 1e-5 AS longitude", "2.0D + id % 3 AS service_radius_km",
+        )
+        rows, whole, border = mapping._reached(df, "k")
+        met[n] = mapping._compared(rows, border).count() + whole.count()
+        if n == 1000:
+            counts = mapping.overlap_counts(df, "k").agg(F.sum("n_sites")).first()[0]
+            assert counts == 2 * len(brute_force([tuple(r) for r in df.collect()]))
+    assert met[4000] < 9 * met[1000] and met[4000] < 4000**2 / 8
+
+
 def test_map_keeps_unlocated_feeders(spark):
     metrics = spark.createDataFrame(
         [("APATA", 3, 1.0, 5.0, 9.0), ("SAMONDA", 4, 1.0, 2.0, 9.0), ("ROM", 1, 1.0, None, 9.0)],
