@@ -5,6 +5,9 @@ windows have equal minimisers, and neighbouring windows mostly share one, so the
 stretch of words that a run of windows with one minimiser covers, sent as one packed string to the minimiser's bucket.
 There the words are coded exactly, the windows sorted and each run of equal windows judged: all but the earliest go.
 
+Text that repeats nothing does not travel to be sorted. The minimisers alone, eight bytes each with their document's
+number, are dealt to buckets first; only stretches whose minimiser occurs at two places or more are packed and sent.
+
 A minimiser that far too many stretches share, such as one inside a passage of a third of all documents, is counted
 beforehand and takes another way: equal stretches are first brought down to their earliest, by aggregation, and the
 windows of those are then spread by the hash of the whole window.
@@ -37,7 +40,7 @@ class Windows:
     small the packed rows are, and no result."""
 
     window: int = 20
-    part: int = 2
+    part: int = 8
     bucket: int = 1 << 15
     crowd: int = 4096
     times: int = 8
@@ -47,7 +50,8 @@ class Windows:
 
 @dataclass
 class Stretches:
-    """Super-k-mers of a batch: document row, first word in it, windows, minimiser, and the bytes each covers."""
+    """Super-k-mers of a batch: document row, first word in it, windows, minimiser, and the bytes each covers; ``word``
+    is the first word among all of the batch, whose ``parts`` are hashed."""
 
     row: np.ndarray
     start: np.ndarray
@@ -56,10 +60,21 @@ class Stretches:
     data: np.ndarray
     begin: np.ndarray
     end: np.ndarray
+    word: np.ndarray | None = None
+    parts: np.ndarray | None = None
 
     def take(self, which: np.ndarray) -> Stretches:
-        own = ("row", "start", "count", "minimiser", "begin", "end")
-        return replace(self, **{name: getattr(self, name)[which] for name in own})
+        own = ("row", "start", "count", "minimiser", "begin", "end", "word")
+        some = {name: getattr(self, name) for name in own}
+        return replace(self, **{name: x[which] for name, x in some.items() if x is not None})
+
+    def recurs(self, how: Windows) -> np.ndarray:
+        """Whether the minimiser occurs at several places of its stretch, whose windows may then be equal."""
+        places = self.count + how.window - how.part
+        own = np.repeat(np.arange(len(places)), places)
+        first = np.cumsum(places) - places
+        at = self.word[own] + np.arange(len(own)) - first[own]
+        return np.bincount(own, self.parts[at] == self.minimiser[own], len(places)) > 1
 
 
 def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +118,8 @@ def stretches(texts: pa.Array, how: Windows) -> Stretches:
     n = len(starts) - how.window + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return Stretches(none, none, none, none.astype(np.uint64), np.zeros(0, np.uint8), none, none)
+        empty = none.astype(np.uint64)
+        return Stretches(none, none, none, empty, np.zeros(0, np.uint8), none, none, none, empty)
     packed, begins = joined_words(data, starts, ends)
     runs = mix(sliding(token_hashes(data, starts, ends), how.part, _pair))
     least = sliding(runs, how.window - how.part + 1, np.minimum)
@@ -122,6 +138,8 @@ def stretches(texts: pa.Array, how: Windows) -> Stretches:
         packed,
         begins[begin],
         begins[end + how.window - 1],
+        begin,
+        runs,
     )
 
 
@@ -296,18 +314,102 @@ def _is_hot(own: Stretches, hot: np.ndarray, bits: int) -> np.ndarray:
     return np.isin(_slot(own.minimiser, bits), hot)
 
 
-def _packed(
-    docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, buckets: int, dictionary: bytes
-) -> DataFrame:
+KEYS = "bucket long, documents long, n long, payload binary"
+SHARED = "doc_id long, twin long, minimisers array<long>"
+
+
+def _keys(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, buckets: int) -> DataFrame:
+    """For each batch and bucket, the minimisers of the batch's stretches and the documents they are in."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, SLICE):
                 own = stretches(part.column("text"), how)
                 own = own.take(np.flatnonzero(~_is_hot(own, hot, bits)))
-                bucket = _bucket(own.minimiser, buckets)
-                yield pack(own, part.column("doc_id"), part.column("twin"), bucket, dictionary)
+                yield pack_keys(own, part.column("doc_id"), part.column("twin"), how, buckets)
+
+    return map_in_arrow(docs, run, KEYS)
+
+
+def pack_keys(own: Stretches, ids: pa.Array, twins: pa.Array, how: Windows, buckets: int) -> pa.RecordBatch:
+    again, bucket = own.recurs(how), _bucket(own.minimiser, buckets)
+    order = np.lexsort((own.row, bucket))
+    row, bucket = own.row[order], bucket[order]
+    minimiser = own.minimiser[order].astype("<u8")
+    known = np.asarray(pc.is_valid(ids)).astype(np.int64)
+    ids_, twins_ = (np.asarray(pc.fill_null(x, 0)) for x in (ids, twins))
+    squeeze = zstd(b"")[0]
+    rows: list[tuple[int, int, int, bytes]] = []
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() if len(bucket) else []
+    for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+        docs, at = np.unique(row[a:b], return_inverse=True)
+        heads = (known[docs], ids_[docs], twins_[docs], at, again[order[a:b]].astype(np.int64))
+        payload = b"".join(map(narrow, heads)) + minimiser[a:b].tobytes()
+        rows.append((int(bucket[a]), len(docs), b - a, squeeze.compress(payload)))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    columns = zip(*rows) if rows else ((), (), (), ())
+    names = ["bucket", "documents", "n", "payload"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def shared_in_bucket(documents: list[int], counts: list[int], payloads: list[bytes]) -> pa.Table:
+    """The documents' minimisers that occur at two places or more."""
+    expand = zstd(b"")[1]
+    whole: list[list[np.ndarray]] = [[], [], [], [], [], []]
+    base = 0
+    for d, n, payload in zip(documents, counts, payloads):
+        data, at = expand.decompress(payload), 0
+        for i, size in enumerate((d, d, d, n, n)):
+            width = data[at]
+            whole[i].append(np.frombuffer(data, f"<i{width}", size, at + 1).astype(np.int64))
+            at += 1 + width * size
+        whole[3][-1] += base
+        whole[5].append(np.frombuffer(data, "<i8", n, at))
+        base += d
+    known, ids, twins, owner, again, minimiser = map(np.concatenate, whole)
+    _, of, times = np.unique(minimiser, return_inverse=True, return_counts=True)
+    times = times + np.bincount(of, again).astype(np.int64)
+    some = np.flatnonzero(times[of] > 1)
+    some = some[np.argsort(owner[some], kind="stable")]
+    docs, first = np.unique(owner[some], return_index=True)
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.append(first, len(some)), pa.int32()), pa.array(minimiser[some], pa.int64())
+    )
+    named = pa.array(ids[docs], pa.int64(), mask=known[docs] == 0)
+    return pa.table({"doc_id": named, "twin": twins[docs], "minimisers": lists})
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """doc_id, twin, minimisers (arrays of arrays) of the documents that share any."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return shared_in_bucket(*(table[c].to_pylist() for c in ("documents", "n", "payload")))
 
-    return map_in_arrow(docs, run, PACKED)
+    each = keys.groupBy("bucket").applyInArrow(run, SHARED)
+    return each.groupBy("doc_id", "twin").agg(F.collect_list("minimisers").alias("minimisers"))
+
+
+def _packed(frames: DataFrame, shared: DataFrame, how: Windows, buckets: int, dictionary: bytes) -> DataFrame:
+    """The stretches that may be repeated, packed by bucket. Hot minimisers are in no list of shared ones."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in by_text_size(batch):
+            own = stretches(texts_of(part), how)
+            # the minimisers that one of these documents shares are shared wherever they occur
+            listed = part.column("minimisers").flatten().flatten()
+            own = own.take(np.flatnonzero(np.isin(own.minimiser.view(np.int64), np.asarray(listed))))
+            bucket = _bucket(own.minimiser, buckets)
+            yield pack(own, part.column("doc_id"), part.column("twin"), bucket, dictionary)
+
+    return map_batches(with_rows(frames, shared, "minimisers", "inner"), run, PACKED)
+
+
+def with_rows(frames: DataFrame, some: DataFrame, column: str, kind: str) -> DataFrame:
+    """doc_id, twin, frame and a column of ``some`` (doc_id, twin, column). The frames are dealt out once, however often
+    they are joined in a query: Spark sees that it is the same exchange."""
+    named = some.select(F.col("doc_id").alias("id"), F.col("twin").alias("tw"), column)
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("tw"))
+    return frames.join(named.hint("merge"), same, kind).select("doc_id", "twin", "frame", column)
 
 
 def _hot_stretches(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int) -> DataFrame:
@@ -367,8 +469,9 @@ def _hot_repeats(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, dict
     return whole.union(_repeats(parts, how.window, dictionary))
 
 
-def repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
-    """doc_id, twin, first, stop: the words of ``docs`` (doc_id, twin, text) that repeat an earlier window."""
+def repeats(docs: DataFrame, frames: DataFrame, how: Windows = Windows()) -> DataFrame:
+    """doc_id, twin, first, stop: the words of ``docs`` (doc_id, twin, text) that repeat an earlier window. ``frames``
+    holds the same texts compressed."""
     bits = min(how.bits, max(12, docs.count().bit_length()))
     slots = stored(_counted(docs, how, bits), "stretch-counts")
     total = slots.agg(F.sum("n")).first()[0] or 0
@@ -376,8 +479,9 @@ def repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
     # over ``times`` the mean: at most one counter in ``times`` is hot
     hot = np.array(sorted(r["slot"] for r in slots.filter(F.col("n") > crowded).select("slot").collect()), np.int64)
     dictionary = text_dictionary(docs, how)
+    keys = _keys(docs, how, hot, bits, max(1, -(-total // (8 * how.bucket))))
     buckets = max(1, -(-total // how.bucket))
-    out = [_repeats(_packed(docs, how, hot, bits, buckets, dictionary), how.window, dictionary)]
+    out = [_repeats(_packed(frames, _shared(keys), how, buckets, dictionary), how.window, dictionary)]
     if len(hot):
         out.append(_hot_repeats(docs, how, hot, bits, dictionary))
     return reduce(DataFrame.union, out)
@@ -401,6 +505,11 @@ def squeezed(rows: DataFrame) -> DataFrame:
     return map_batches(rows.select("doc_id", "twin", "text"), run, "doc_id long, twin long, frame binary")
 
 
+def texts_of(batch: pa.RecordBatch) -> pa.Array:
+    expand = zstd(b"")[1]
+    return pa.array([expand.decompress(x.as_buffer()).decode() for x in batch.column("frame")], pa.string())
+
+
 def by_text_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices whose frames hold little text, or one row each, however well it is compressed."""
     start = total = 0
@@ -426,20 +535,17 @@ def remove_repeats(docs: DataFrame, how: Windows = Windows()) -> DataFrame:
     """
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = plain.withColumn("twin", _twin(plain))
-    spans = repeats(rows, how).groupBy("doc_id", "twin").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
-    spans = stored(spans.select(F.col("doc_id").alias("id"), F.col("twin").alias("tw"), "spans"), "repeats")
-    joined = squeezed(rows).join(
-        spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("tw")), "left"
-    ).select("doc_id", "frame", "spans")
+    frames = squeezed(rows)
+    spans = repeats(rows, frames, how).groupBy("doc_id", "twin")
+    spans = spans.agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
+    joined = with_rows(frames, spans, "spans", "left")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in by_text_size(batch):
             yield cleaned(part)
 
     def cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
-        expand = zstd(b"")[1]
-        texts = [expand.decompress(x.as_buffer()).decode() for x in batch.column("frame")]
-        data, offsets = utf8(pa.array(texts, pa.string()))
+        data, offsets = utf8(texts_of(batch))
         starts, ends, first = token_spans(data, offsets)
         counts = np.diff(first)
         gone = np.zeros(len(starts) + 1, np.int64)

@@ -50,7 +50,7 @@ def corpus():
 
 @pytest.mark.parametrize(
     "how",
-    [Windows(), Windows(crowd=0, times=0), Windows(crowd=12, times=0, bucket=10), Windows(part=1), Windows(part=20)],
+    [Windows(), Windows(crowd=0, times=0), Windows(crowd=12, times=0, bucket=10), Windows(part=1), Windows(part=2), Windows(part=20)],
 )
 def test_against_brute_force(spark, how):
     assert got(remove_repeats(table(spark, corpus()), how)) == brute(corpus())
