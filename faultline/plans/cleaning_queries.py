@@ -11,7 +11,7 @@ from faultline.functions.canon import (
     with_canonical_name,
     with_canonical_name_by_spelling,
 )
-from faultline.operators import quarantine, reliability
+from faultline.operators import names, quarantine, reliability
 from faultline.plans.inputs import NAMES, TYPES, pick, sql_values, table
 from faultline.plans.registry import query
 
@@ -215,3 +215,96 @@ def canon_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def canon_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.match_rate(canon_audit(spark, sf_dir))
+
+
+def _listed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of names, as many as there are parts: in the list's order, and bare."""
+    part = table(spark, sf_dir, "part")
+    name = F.concat_ws(" ", "p_name", "p_partkey")
+    return part.select(
+        F.col("p_partkey").alias("position"), name.alias("name"), F.translate(name, " ", "").alias("bare")
+    )
+
+
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with a key that holds a part's name, is held by one, or neither."""
+    line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "position")
+    k, n, bare = F.col("l_orderkey"), F.col("l_linenumber"), F.col("bare")
+    key = (
+        F.when(k % 4 == 0, F.concat(F.lit("LOT"), n, F.lit("/"), bare, F.lit("FDR")))
+        .when(k % 4 == 1, F.substring("bare", 4, 40))
+        .when(k % 4 == 2, F.concat(F.lit("x"), F.substring("bare", 3, 40), n))
+        .otherwise(F.when(k % 8 == 3, F.substring("bare", 1, 5)).otherwise(bare))
+    )
+    return line.join(_listed_parts(spark, sf_dir), "position").select(
+        "l_orderkey", "l_linenumber", key.alias("key")
+    )
+
+
+_LISTED_SQL = """
+listed AS (
+  SELECT p_partkey AS position, p_name || ' ' || p_partkey AS name,
+         replace(p_name, ' ', '') || p_partkey AS bare FROM part),
+lines AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_orderkey % 4 = 0 THEN 'LOT' || l_linenumber || '/' || bare || 'FDR'
+              WHEN l_orderkey % 4 = 1 THEN substr(bare, 4, 40)
+              WHEN l_orderkey % 4 = 2 THEN 'x' || substr(bare, 3, 40) || l_linenumber
+              WHEN l_orderkey % 8 = 3 THEN substr(bare, 1, 5) ELSE bare END AS key
+  FROM lineitem JOIN listed ON l_partkey = position)
+"""
+
+
+@query(
+    f"""WITH {_LISTED_SQL},
+    found AS (
+      SELECT key, min(position) AS position
+      FROM (SELECT DISTINCT key FROM lines) JOIN listed ON contains(key, bare) OR contains(bare, key)
+      GROUP BY key)
+    SELECT l_orderkey, l_linenumber, lines.key, listed.name AS canonical
+    FROM lines LEFT JOIN found USING (key) LEFT JOIN listed ON listed.position = found.position"""
+)
+def canon_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names out of a table instead of out of code: an index, not a chain of conditions."""
+    return names.with_listed_name(
+        _dirty_lines(spark, sf_dir), "key", _listed_parts(spark, sf_dir), "name", "bare", "position", "canonical"
+    )
+
+
+def _misspelt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per spelling of a part's name: a character lost, changed or added, or far off."""
+    k, n, name = F.col("l_orderkey"), F.col("l_linenumber"), F.col("p_name")
+    at = (k % F.length(name) + 1).cast("int")
+    before, behind = F.substr(name, F.lit(1), at - 1), F.substr(name, at + 1)
+    spelling = (
+        F.when(n == 1, F.concat(before, behind))
+        .when(n == 2, F.concat(before, F.lit("q"), behind))
+        .when(n == 3, F.concat(before, F.lit("zz"), F.substr(name, at)))
+        .when(n == 4, F.concat(F.lit("33KV "), name, k % 1000))
+        .otherwise(F.concat(before, k % 100, F.substr(name, at + 2)))
+    )
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    lines = table(spark, sf_dir, "lineitem").join(part, "l_partkey")
+    return lines.groupBy(spelling.alias("spelling")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    """WITH base AS (
+      SELECT l_linenumber AS n, l_orderkey AS k, p_name, l_orderkey % length(p_name) + 1 AS i
+      FROM lineitem JOIN part ON l_partkey = p_partkey),
+    spelled AS (
+      SELECT CASE n WHEN 1 THEN substr(p_name, 1, i - 1) || substr(p_name, i + 1)
+                    WHEN 2 THEN substr(p_name, 1, i - 1) || 'q' || substr(p_name, i + 1)
+                    WHEN 3 THEN substr(p_name, 1, i - 1) || 'zz' || substr(p_name, i)
+                    WHEN 4 THEN '33KV ' || p_name || (k % 1000)
+                    ELSE substr(p_name, 1, i - 1) || (k % 100) || substr(p_name, i + 2) END AS spelling
+      FROM base),
+    audit AS (SELECT spelling, count(*) AS n_rows FROM spelled GROUP BY spelling)
+    SELECT spelling, name, levenshtein(spelling, name) AS distance, n_rows
+    FROM audit, (SELECT DISTINCT p_name AS name FROM part) WHERE levenshtein(spelling, name) <= 2"""
+)
+def canon_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names within two edits of a spelling, with the rows that a rule would map."""
+    parts = table(spark, sf_dir, "part").select("p_name")
+    found = names.proposals(_misspelt(spark, sf_dir), "spelling", parts, "p_name")
+    return found.withColumn("distance", F.col("distance").cast("bigint"))

@@ -22,6 +22,8 @@ TABLES = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
     "c_mktsegment string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
