@@ -408,7 +408,8 @@ def with_rows(frames: DataFrame, some: DataFrame, column: str, kind: str) -> Dat
     """doc_id, twin, frame and a column of ``some`` (doc_id, twin, column). The frames are dealt out once, however often
     they are joined in a query: Spark sees that it is the same exchange."""
     named = some.select(F.col("doc_id").alias("id"), F.col("twin").alias("tw"), column)
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("tw"))
+    # null-safe twice: a plain condition would add a filter to an inner join, and the exchanges would differ
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("twin").eqNullSafe(F.col("tw"))
     return frames.join(named.hint("merge"), same, kind).select("doc_id", "twin", "frame", column)
 
 
