@@ -5,11 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
     IndexToString,
     OneHotEncoder,
@@ -17,10 +13,11 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.functions import rules
+from faultline.operators import boosting
 from faultline.operators.ranking import counted_before
 from faultline.session import stored
 from faultline.sources.tables import union_frames
@@ -40,7 +37,7 @@ HASH_PREFIX = 4
 
 @dataclass(frozen=True)
 class ClassifierConfig:
-    """`boosted` trains one boosted model per class; `forest` trains all classes at once."""
+    """`boosted`: softmax boosting of all classes at once; `forest`: a random forest."""
 
     kind: str = "boosted"
     numeric: tuple[str, ...] = NUMERIC_FEATURES
@@ -206,21 +203,7 @@ def label_encode(df: DataFrame, label: str, out: str) -> DataFrame:
     return df.join(numbers.select(label, out), label, "left").select(*df.columns, out)
 
 
-def _estimator(cfg: ClassifierConfig):
-    columns = {"featuresCol": "features", "labelCol": "label_index"}
-    if cfg.kind == "forest":
-        return RandomForestClassifier(
-            maxDepth=cfg.depth, numTrees=cfg.trees, seed=cfg.seed, **columns
-        )
-    if cfg.kind == "boosted":
-        one_class = GBTClassifier(
-            maxDepth=cfg.depth, maxIter=cfg.trees, stepSize=cfg.learning_rate, seed=cfg.seed
-        )
-        return OneVsRest(classifier=one_class, **columns)
-    raise ValueError(f"unknown classifier {cfg.kind!r}")
-
-
-def train(training: DataFrame, cfg: ClassifierConfig = ClassifierConfig()) -> PipelineModel:
+def _train_forest(training: DataFrame, cfg: ClassifierConfig) -> PipelineModel:
     """Encode, assemble and fit; the model turns raw feature rows into named predictions."""
     labels = _indexer(training, cfg.label, "label_index")
     encoded = [f"{c}_onehot" for c in cfg.categorical]
@@ -231,7 +214,13 @@ def train(training: DataFrame, cfg: ClassifierConfig = ClassifierConfig()) -> Pi
     stages += [
         VectorAssembler(inputCols=[*cfg.numeric, *encoded], outputCol="features"),
         labels,
-        _estimator(cfg),
+        RandomForestClassifier(
+            maxDepth=cfg.depth,
+            numTrees=cfg.trees,
+            seed=cfg.seed,
+            featuresCol="features",
+            labelCol="label_index",
+        ),
         IndexToString(
             inputCol="prediction", outputCol="predicted_outage_type", labels=labels.labels
         ),
@@ -239,14 +228,43 @@ def train(training: DataFrame, cfg: ClassifierConfig = ClassifierConfig()) -> Pi
     return Pipeline(stages=stages).fit(training)
 
 
+def train(
+    training: DataFrame, cfg: ClassifierConfig = ClassifierConfig()
+) -> boosting.Model | PipelineModel:
+    if cfg.kind == "forest":
+        return _train_forest(training, cfg)
+    if cfg.kind != "boosted":
+        raise ValueError(f"unknown classifier {cfg.kind!r}")
+    how = boosting.Boosting(rounds=cfg.trees, depth=cfg.depth, rate=cfg.learning_rate)
+    return boosting.fit(training, cfg.numeric, cfg.categorical, cfg.label, how)
+
+
+def save_model(spark: SparkSession, model: boosting.Model | PipelineModel, path: str) -> None:
+    if isinstance(model, boosting.Model):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(
+    spark: SparkSession, path: str, cfg: ClassifierConfig = ClassifierConfig()
+) -> boosting.Model | PipelineModel:
+    """The stored model; `cfg.kind` says which one it is."""
+    return PipelineModel.load(path) if cfg.kind == "forest" else boosting.Model.load(spark, path)
+
+
 def predict(
-    model: PipelineModel, rows: DataFrame, cfg: ClassifierConfig = ClassifierConfig()
+    model: boosting.Model | PipelineModel,
+    rows: DataFrame,
+    cfg: ClassifierConfig = ClassifierConfig(),
 ) -> DataFrame:
     """Predicted class and whether it is right, with the columns that identify the row."""
-    scored = model.transform(rows).withColumn(
-        "correct", F.col(cfg.label) == F.col("predicted_outage_type")
-    )
-    return scored.select(*cfg.pass_through, "predicted_outage_type", "correct")
+    if isinstance(model, boosting.Model):
+        scored = model.predict(rows, [*cfg.pass_through, cfg.label], "predicted_outage_type")
+    else:
+        scored = model.transform(rows)
+    correct = F.col(cfg.label) == F.col("predicted_outage_type")
+    return scored.select(*cfg.pass_through, "predicted_outage_type", correct.alias("correct"))
 
 
 def overall_accuracy(predictions: DataFrame, correct: str = "correct") -> DataFrame:
@@ -319,9 +337,70 @@ def stored_split(labeled: DataFrame, key: str, cfg: ClassifierConfig) -> DataFra
     return stored(split.hint("rebalance"), "split")
 
 
+def leak_probe(
+    labeled: DataFrame,
+    label: str,
+    numeric: tuple[str, ...] = (),
+    categorical: tuple[str, ...] = (),
+    bins: int = 16,
+) -> DataFrame:
+    """What each feature alone tells about the label, before anything is trained.
+
+    One row per feature: its distinct values, the entropy of the label, what is left of it
+    once the feature is known (both in bits), and the share that the feature explains. A share
+    near 1 is the mark of a column that was filled in when the label was. Numbers are counted
+    in `bins` of equal width, nulls as a value of their own; rows without a label are left out.
+
+    The rows are read once after the ranges of the numbers are known, and shrink to one row
+    per feature, value and class before they are shuffled.
+    """
+    rows = labeled.filter(F.col(label).isNotNull())
+    ends = {c: F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")) for c in numeric}
+    if numeric:
+        rows = rows.withColumn("__ends", rows.agg(F.struct(*[e.alias(c) for c, e in ends.items()])).scalar())
+
+    def binned(c: str) -> Column:
+        low, high = F.col(f"__ends.`{c}`.low"), F.col(f"__ends.`{c}`.high")
+        at = F.try_divide((F.col(c).cast("double") - low) * bins, high - low)
+        return F.when(F.col(c).isNotNull(), F.least(F.coalesce(F.floor(at), F.lit(0)), F.lit(bins - 1)))
+
+    values = {**{c: binned(c) for c in numeric}, **{c: F.col(c) for c in categorical}}
+    each = F.array(
+        *[F.struct(F.lit(c).alias("feature"), v.cast("string").alias("value")) for c, v in values.items()]
+    )
+    cells = (
+        rows.select(F.col(label).alias("__label"), F.inline(each))
+        .groupBy("feature", "value", "__label")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    cells = stored(cells, "leak-cells")
+    known = cells.groupBy("feature", "value").agg(F.sum("n").alias("of_value"))
+    same = (F.col("feature") == F.col("f")) & F.col("value").eqNullSafe(F.col("v"))
+    known = known.select(F.col("feature").alias("f"), F.col("value").alias("v"), "of_value")
+    left = cells.join(known, same).groupBy("feature").agg(
+        F.sum(-F.col("n") * F.log2(F.col("n") / F.col("of_value"))).alias("bits"),
+        F.sum("n").alias("rows"),
+        F.count_distinct(F.coalesce(F.concat(F.lit("="), "value"), F.lit(""))).alias("n_values"),
+    )
+    classes = cells.groupBy("feature", "__label").agg(F.sum("n").alias("n"))
+    totals = classes.groupBy("feature").agg(F.sum("n").alias("rows"))
+    whole = classes.join(totals, "feature").groupBy("feature").agg(
+        F.sum(-F.col("n") * F.log2(F.col("n") / F.col("rows")) / F.col("rows")).alias("label_bits")
+    )
+    rest = F.col("bits") / F.col("rows")
+    told = F.coalesce(1 - F.try_divide(rest, F.col("label_bits")), F.lit(0.0))
+    return left.join(whole, "feature").select(
+        "feature",
+        "n_values",
+        F.round("label_bits", 9).alias("label_bits"),
+        F.round(rest, 9).alias("bits_left"),
+        F.round(told, 9).alias("explained"),
+    )
+
+
 def train_and_predict(
     labeled: DataFrame, key: str, cfg: ClassifierConfig = ClassifierConfig()
-) -> tuple[PipelineModel, DataFrame, DataFrame]:
+) -> tuple[boosting.Model | PipelineModel, DataFrame, DataFrame]:
     """(model, predictions on the held-out rows, the split table)."""
     split = stored_split(labeled, key, cfg)
     model = train(split.filter(~F.col("is_test")), cfg)

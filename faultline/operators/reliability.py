@@ -49,21 +49,14 @@ def reliability(
     return timed.groupBy(entity).agg(*_metrics(mean_gap, duration, burden))
 
 
-def _first_events(timed: DataFrame, entity: str, ts: str, event_id: str) -> DataFrame:
-    """One row per active second of an entity: the part that holds its first event, and the
-    hours from the entity's previous active second.
+def _with_previous(seconds: DataFrame, entity: str) -> DataFrame:
+    """One row per active second of an entity (`__s`), with the one before it as `__previous`.
 
     The lag runs within one entity and day, which is at most 86,400 rows however many events
     the entity has. Only the first second of a day looks further back, to the last second of
     the entity's previous active day, and that second lag sees one row per day.
     """
-    day = F.floor(F.col("__s") / DAY_SECONDS).alias("__day")
-    # Microsecond, id and part as one number: a number's minimum is taken by hash aggregation.
-    micros = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1_000_000)).cast("decimal(6,0)")
-    known = F.coalesce(F.col(event_id), F.lit(NULL_ID)).cast("decimal(20,0)")
-    order = (micros * F.lit(ID_RANGE) + known) * F.lit(Decimal(PARTS)) + F.col("__part")
-    first = F.min(order.cast("decimal(34,0)")).alias("__first")
-    seconds = timed.groupBy(entity, "__s").agg(first).select("*", day)
+    seconds = seconds.withColumn("__day", F.floor(F.col("__s") / DAY_SECONDS))
     last = seconds.groupBy(entity, "__day").agg(F.max("__s").alias("__last"))
     earlier = last.select(
         entity,
@@ -71,17 +64,53 @@ def _first_events(timed: DataFrame, entity: str, ts: str, event_id: str) -> Data
         F.lag("__last").over(Window.partitionBy(entity).orderBy("__day")).alias("__before"),
     )
     in_day = F.lag("__s").over(Window.partitionBy(entity, "__day").orderBy("__s"))
-    previous = F.coalesce(F.col("__in_day"), F.col("__before"))
     return (
         seconds.withColumn("__in_day", in_day)
-        .join(earlier, [entity, "__day"])
-        .select(
-            entity,
-            "__s",
-            F.pmod(F.col("__first"), F.lit(Decimal(PARTS))).cast("int").alias("__part"),
-            ((F.col("__s") - previous) / 3600.0).alias("__gap"),
-            F.lit(True).alias("__has_first"),
-        )
+        .join(earlier, [entity, "__day"], "left")
+        .withColumn("__previous", F.coalesce(F.col("__in_day"), F.col("__before")))
+    )
+
+
+def _first_events(timed: DataFrame, entity: str, ts: str, event_id: str) -> DataFrame:
+    """One row per active second of an entity: the part that holds its first event, and the
+    hours from the entity's previous active second."""
+    # Microsecond, id and part as one number: a number's minimum is taken by hash aggregation.
+    micros = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1_000_000)).cast("decimal(6,0)")
+    known = F.coalesce(F.col(event_id), F.lit(NULL_ID)).cast("decimal(20,0)")
+    order = (micros * F.lit(ID_RANGE) + known) * F.lit(Decimal(PARTS)) + F.col("__part")
+    first = F.min(order.cast("decimal(34,0)")).alias("__first")
+    return _with_previous(timed.groupBy(entity, "__s").agg(first), entity).select(
+        entity,
+        "__s",
+        F.pmod(F.col("__first"), F.lit(Decimal(PARTS))).cast("int").alias("__part"),
+        ((F.col("__s") - F.col("__previous")) / 3600.0).alias("__gap"),
+        F.lit(True).alias("__has_first"),
+    )
+
+
+def reliability_by_seconds(
+    events: DataFrame, entity: str, ts: str, duration: str, burden: str
+) -> DataFrame:
+    """The metrics of `reliability`, with every gap between consecutive events looked at.
+
+    Events within a second have gap 0 between them, so a row per active second carries all
+    there is to add up: the events are read once, and their rows never travel.
+    """
+    timed = events.filter(F.col(ts).isNotNull()).withColumn("__s", epoch_seconds(ts))
+    seconds = timed.groupBy(entity, "__s").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.sum(duration).alias("__hours"),
+        F.count(duration).alias("__timed"),
+        F.sum(burden).alias("__burden"),
+    )
+    n, gaps = F.sum("__n"), F.coalesce(F.sum(F.col("__s") - F.col("__previous")), F.lit(0))
+    # events of no entity follow no other
+    between = F.when(F.col(entity).isNotNull(), (n - 1) * 3600)
+    return _with_previous(seconds, entity).groupBy(entity).agg(
+        n.alias("total_outages"),
+        F.round(F.try_divide(F.sum("__hours"), F.sum("__timed")), 2).alias("mttr_hours"),
+        F.round(F.try_divide(gaps, between), 2).alias("mtbf_hours"),
+        F.round(F.sum("__burden"), 1).alias("total_customer_hours_interruption"),
     )
 
 

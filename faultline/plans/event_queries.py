@@ -26,8 +26,7 @@ def prior_event_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {GAPS_SQL} SELECT * FROM metrics")
 def reliability_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gaps = prior_event_gap(spark, sf_dir)
-    return reliability.reliability_from_gaps(gaps, "entity", "duration_hours", "customer_hours")
+    return reliability.reliability_by_seconds(outages(spark, sf_dir), *METRICS)
 
 
 @query(f"WITH {GAPS_SQL} SELECT * FROM metrics")

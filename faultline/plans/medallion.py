@@ -97,7 +97,7 @@ def classify_outages(spark: SparkSession, lake: str, cfg: PipelineConfig) -> Dat
     labeled = classify.with_row_ids(classify.labeled_rows(features, cfg.classifier))
     model, predictions, split = classify.train_and_predict(labeled, "row_id", cfg.classifier)
     models = f"{lake}/models/outage_classifier"
-    model.write().overwrite().save(f"{models}/model")
+    classify.save_model(spark, model, f"{models}/model")
     path = f"{lake}/gold/classifier_predictions"
     write_table(predictions, path)
     stored = read_table(spark, path, schemas.PREDICTIONS)

@@ -143,8 +143,8 @@ def test_train_and_predict(spark, kind, tmp_path):
     ]
     assert predictions.count() == 80
     assert classify.overall_accuracy(predictions).first().accuracy > 0.9
-    model.write().overwrite().save(str(tmp_path / "model"))
-    again = type(model).load(str(tmp_path / "model"))
+    classify.save_model(spark, model, str(tmp_path / "model"))
+    again = classify.load_model(spark, str(tmp_path / "model"), cfg)
     assert classify.predict(again, split.filter("is_test"), cfg).exceptAll(predictions).isEmpty()
 
 
@@ -184,3 +184,23 @@ def test_ablation_shows_the_leak(spark):
     variants = {"without": CFG, "with": replace(CFG, categorical=(*CFG.categorical, "cause"))}
     accuracy = {r.features: r.accuracy for r in classify.ablation(df, "id", variants).collect()}
     assert accuracy["with"] > accuracy["without"] + 0.3
+
+
+def test_leak_probe_ranks_the_cause_first(spark):
+    i = F.col("id")
+    df = features(spark).withColumns(
+        {
+            "cause": F.when(i % 40 != 0, F.concat(F.lit("by "), "outage_type_canonical")),
+            "nothing": F.lit(None).cast("string"),
+            "constant": F.lit(7.0),
+        }
+    )
+    found = classify.leak_probe(
+        df, "outage_type_canonical", ("duration_hours_num", "constant"), ("feeder_canonical", "cause", "nothing")
+    )
+    rows = {r.feature: r for r in found.collect()}
+    assert max(rows, key=lambda f: rows[f].explained) == "duration_hours_num"  # fixes the type here
+    assert rows["cause"].explained > 0.9 > 0.01 > rows["feeder_canonical"].explained
+    assert rows["constant"].explained == rows["nothing"].explained == 0 and rows["nothing"].n_values == 1
+    assert rows["cause"].label_bits == pytest.approx(math.log2(3), abs=1e-3) and rows["cause"].n_values == 4
+    assert classify.leak_probe(df.limit(0), "outage_type_canonical", (), ("cause",)).isEmpty()

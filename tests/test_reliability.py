@@ -54,12 +54,13 @@ def both(spark, rows):
     spans = reliability.reliability(df, "entity", "ts", "hours", "burden")
     gaps = reliability.prior_event_gap(df, "entity", "ts", "id")
     from_gaps = reliability.reliability_from_gaps(gaps, "entity", "hours", "burden")
-    return [sorted(map(tuple, x.collect())) for x in (spans, from_gaps)]
+    by_seconds = reliability.reliability_by_seconds(df, "entity", "ts", "hours", "burden")
+    return [sorted(map(tuple, x.collect()), key=repr) for x in (spans, from_gaps, by_seconds)]
 
 
 def test_metrics(spark):
-    spans, from_gaps = both(spark, FIXTURE)
-    assert spans == from_gaps
+    spans, from_gaps, by_seconds = both(spark, FIXTURE)
+    assert spans == from_gaps == by_seconds
     assert [(r[0], r[1], r[3], r[4]) for r in spans] == [("a", 4, 1.0, 8.0), ("b", 1, None, 2.0)]
 
 
@@ -81,7 +82,8 @@ def test_one_heavy_entity_with_one_heavy_second(spark):
 )
 def test_both_forms_agree(spark, rows):
     assert got_gaps(spark, rows) == expected_gaps(rows)
-    spans, from_gaps = both(spark, rows)
+    spans, from_gaps, by_seconds = both(spark, rows)
+    assert from_gaps == by_seconds
     assert spans == from_gaps
 
 
@@ -119,6 +121,13 @@ def test_a_third_of_all_rows_in_one_entity(spark):
     assert got_gaps(spark, rows) == expected_gaps(rows)
 
 
+def test_events_of_nobody_have_no_gaps(spark):
+    rows = [(None, 0), (None, 3600), ("a", 10), ("a", 86_400 * 5), ("a", 86_400 * 5 + 0.5), ("b", None)]
+    spans, from_gaps, by_seconds = both(spark, rows)
+    assert from_gaps == by_seconds
+    assert [r[:2] + r[3:4] for r in by_seconds] == [("a", 3, 60.0), (None, 2, None)]
+
+
 METRICS = (
     "feeder_canonical string, total_outages long, mttr_hours double, mtbf_hours double, "
     "total_customer_hours_interruption double"
