@@ -11,9 +11,10 @@ from faultline.functions.canon import (
     with_canonical_name,
     with_canonical_name_by_spelling,
 )
-from faultline.operators import names, quarantine, reliability
+from faultline.operators import names, quality, quarantine, reliability
 from faultline.plans.inputs import NAMES, TYPES, pick, sql_values, table
 from faultline.plans.registry import query
+from faultline.sources.tables import union_frames
 
 YEAR = 1997
 
@@ -105,6 +106,45 @@ def quarantine_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.split_quarantine(_dated_orders(spark, sf_dir))[1]
 
 
+@query(
+    f"""WITH {_DATED_SQL},
+    parts AS (SELECT {_DATED_COLUMNS} FROM dated WHERE ok
+              UNION ALL SELECT {_DATED_COLUMNS} FROM dated WHERE NOT ok),
+    swapped AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 0 THEN date_raw ELSE o_orderpriority END
+               AS o_orderpriority,
+             CASE WHEN o_orderkey % 1000 = 0 THEN o_orderpriority ELSE date_raw END AS date_raw, event_date
+      FROM parts),
+    lost AS (SELECT * FROM parts WHERE o_orderkey % 1000 <> 0)
+    {" UNION ALL ".join(
+        f"SELECT '{case}' AS case_name, (SELECT count(*) FROM dated) AS n_whole,"
+        f" (SELECT count(*) FROM {case}) AS n_parts,"
+        f" (SELECT count(*) FROM (SELECT {_DATED_COLUMNS} FROM dated EXCEPT ALL"
+        f" SELECT {_DATED_COLUMNS} FROM {case})) = 0 AS covered"
+        for case in ("parts", "swapped", "lost"))}"""
+)
+def quarantine_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean and rejected rows are the input, row by row; a swap of two cells is noticed."""
+    whole = _dated_orders(spark, sf_dir)
+    parts = list(quarantine.split_quarantine(whole))
+    columns = parts[0].columns
+    odd, first, second = F.col("o_orderkey") % 1000 == 0, F.col("o_orderpriority"), F.col("date_raw")
+    swaps = {
+        "o_orderpriority": F.when(odd, second).otherwise(first),
+        "date_raw": F.when(odd, first).otherwise(second),
+    }
+    cases = {
+        "parts": parts,
+        "swapped": [p.withColumns(swaps) for p in parts],
+        "lost": [p.filter(~odd) for p in parts],
+    }
+    found = [
+        quality.cover(whole.select(*columns), case).select(F.lit(name).alias("case_name"), "*")
+        for name, case in cases.items()
+    ]
+    return union_frames(found)
+
+
 @query(
     f"""WITH {_DATED_SQL}
     SELECT count(*) FILTER (ok) AS clean_rows, count(*) FILTER (NOT ok) AS quarantined_rows,

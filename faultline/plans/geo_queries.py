@@ -276,3 +276,28 @@ def dq_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dq_not_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.blank_violations(_faulty(spark, sf_dir)).select("feeder_canonical", "anchor")
+
+
+_SUITE = {
+    "radius": ("service_radius_km > 0", "warn"),
+    "confidence": ("confidence IN ('high', 'medium', 'low', 'unlocated')", "fail"),
+    "anchor": ("trim(anchor) <> ''", "warn"),
+    "box": (
+        "confidence = 'unlocated' OR (latitude > 7.1 AND latitude < 7.6 AND longitude > -150 AND longitude < -140)",
+        "fail",
+    ),
+    "key": ("place_id IS NOT NULL", "fail"),
+}
+
+
+@query(
+    f"""WITH {_FAULTY_SQL}
+    {" UNION ALL ".join(
+        f"SELECT '{name}' AS name, '{severity}' AS severity,"
+        f" count(*) FILTER (NOT coalesce({holds}, false)) AS violations, count(*) AS rows FROM faulty"
+        for name, (holds, severity) in _SUITE.items())}"""
+)
+def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared constraints, all counted in one pass."""
+    rules = [quality.Constraint(name, holds, severity == "fail") for name, (holds, severity) in _SUITE.items()]
+    return quality.constraint_report(_faulty(spark, sf_dir), rules)

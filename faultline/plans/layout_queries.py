@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from faultline import schemas
 from faultline.functions.sql import register_sql_functions
 from faultline.functions.text import month_from_name, null_tokens
-from faultline.operators import quarantine, rawlayout, reliability, summaries
+from faultline.operators import quality, quarantine, rawlayout, reliability, summaries
 from faultline.plans import medallion
 from faultline.plans.inputs import (
     FILE_NAMES,
@@ -29,7 +29,7 @@ from faultline.plans.inputs import (
 from faultline.plans.registry import query
 from faultline.session import shared_dir, stored
 from faultline.sources import catalog
-from faultline.sources.tables import gathered, read_locations, write_table
+from faultline.sources.tables import gathered, read_locations, union_frames, write_table
 from faultline.streaming.ingest import ingest_parquet
 
 _IS_HEADER = "assistant"
@@ -272,6 +272,46 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(totals, "one-partition")
 
 
+@query(
+    """SELECT reading, count(*) AS n_rows, round(sum(l_quantity), 2) AS sum_qty
+    FROM lineitem,
+      (SELECT unnest(['1 first', '2 after a refused one', '3 corrected']) AS reading)
+    WHERE l_returnflag = 'R' AND (reading[1] <> '3' OR l_quantity > 10)
+    GROUP BY reading"""
+)
+def atomic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition is published, kept when its successor does not hold, and replaced as a whole."""
+    flag, path = "l_returnflag", shared_dir(spark, "published")
+    items = table(spark, sf_dir, "lineitem")
+    returned = items.filter(F.col(flag) == "R")
+    rules = [
+        quality.Constraint("positive", "l_quantity > 0"),
+        quality.Constraint("cheap", "l_extendedprice < 1000", fails=False),
+    ]
+    versions = [
+        ("1 first", returned),
+        ("2 after a refused one", returned.withColumn("l_quantity", -F.col("l_quantity"))),
+        ("3 corrected", returned.filter("l_quantity > 10")),
+    ]
+    order = [c for c in items.columns if c != flag] + [flag]
+    write_table(items.limit(0), f"{path}/table", flag)
+    readings = []
+    with _scratch_database(spark) as database:
+        catalog.create_parquet_table(
+            spark, database, "lineitem", items.select(*order).schema, f"{path}/table", flag
+        )
+        for reading, rows in versions:
+            try:
+                catalog.publish_partition(spark, rows, database, "lineitem", (flag, "R"), path, rules)
+            except quality.ViolatedError:
+                pass  # the second one
+            totals = spark.table(f"{database}.lineitem").filter(F.col(flag) == "R").agg(
+                F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("sum_qty")
+            )
+            readings.append(stored(totals.select(F.lit(reading).alias("reading"), "*"), "reading"))
+    return union_frames(readings)
+
+
 def _lake(spark: SparkSession, sf_dir: str) -> str:
     """A lake with the gold metrics of the events, and the other tables empty but there."""
     lake = shared_dir(spark, "lake")
@@ -282,9 +322,29 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
         "feeder_canonical",
         F.concat(F.lit("Supplier#"), F.lpad(F.col("feeder_canonical").cast("string"), 9, "0")),
     )
+    i = F.col("event_id")
+    events = table(spark, sf_dir, "events").select(
+        F.lit("x").alias("feeder_canonical"),
+        F.col("event_type").alias("outage_type_canonical"),
+        F.when(i % 50 != 3, F.sqrt("value")).alias("duration_hours_num"),
+        (F.sqrt("value") * (i % 100)).alias("customer_hours_interruption_num"),
+        (i % 19 == 2).alias("is_transformer_event"),
+        F.date_format("ts", "yyyy-MM").alias("source_month"),
+        F.col("event_type").alias("predicted_outage_type"),
+        (i % 3 != 0).alias("correct"),
+    )
+    filled = {
+        "mttr_mtbf_by_feeder": named,
+        "classifier_features": events,
+        "classifier_predictions": events.filter(i % 5 == 0),
+    }
     for name, (schema, folder, partition_by) in catalog.LAKE_TABLES.items():
-        rows = named if name == "mttr_mtbf_by_feeder" else spark.createDataFrame([], schema)
-        write_table(rows.select(*schema.names), f"{lake}/{folder}", partition_by)
+        rows = filled.get(name, spark.createDataFrame([], schema))
+        columns = [
+            F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+        write_table(rows.select(*columns), f"{lake}/{folder}", partition_by)
     return lake
 
 
@@ -334,6 +394,39 @@ def view_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+def _view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    lake, csv = _lake(spark, sf_dir), _locations_csv(spark, sf_dir)
+    with _scratch_database(spark) as database:
+        catalog.register_lake(spark, database, lake, csv)
+        catalog.create_views(spark, database)
+        spark.sql("USE IDENTIFIER(:name)", args={"name": database})
+        try:
+            return stored(spark.sql(text), "view-rows")
+        finally:
+            spark.sql("USE default")
+
+
+@query(
+    """SELECT event_type AS outage_type_canonical, count(*) AS total_events,
+           round(CAST(100 AS DOUBLE) * count(*) / sum(count(*)) OVER (), 1) AS pct_of_all_events,
+           round(avg(CASE WHEN event_id % 50 <> 3 THEN sqrt(value) END), 2) AS avg_duration_hours,
+           round(sum(sqrt(value) * (event_id % 100)), 1) AS total_customer_hours_interruption
+    FROM events WHERE event_id % 19 <> 2 GROUP BY event_type"""
+)
+def view_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, "SELECT * FROM outage_type_summary")
+
+
+@query(
+    """SELECT event_type AS actual_outage_type, count(*) AS test_set_events,
+           count(*) FILTER (event_id % 3 <> 0) AS correct_predictions,
+           round(CAST(100 AS DOUBLE) * count(*) FILTER (event_id % 3 <> 0) / count(*), 1) AS accuracy_pct
+    FROM events WHERE event_id % 5 = 0 GROUP BY event_type"""
+)
+def view_accuracy_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, "SELECT * FROM classifier_accuracy_by_type")
+
+
 @query(
     f"""SELECT event_id, raw_name, feeder_canonical, outage_type_canonical
     FROM (SELECT event_id, n.raw_name || ' ' || event_id || 'KV' AS raw_name, feeder_canonical,

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from faultline import schemas
+from faultline.operators.quality import Constraint, judged, observed
+from faultline.sources.tables import write_checked
 
 # Table name -> schema, folder below the lake, partition column.
 LAKE_TABLES: dict[str, tuple[T.StructType, str, str | None]] = {
@@ -24,6 +29,10 @@ def _quoted(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
 
@@ -58,6 +67,44 @@ def refresh_partitions(spark: SparkSession, database: str, name: str) -> None:
     spark.catalog.recoverPartitions(_quoted(database, name))
 
 
+def publish_partition(
+    spark: SparkSession,
+    df: DataFrame,
+    database: str,
+    name: str,
+    partition: tuple[str, str],
+    folder: str,
+    constraints: Sequence[Constraint] = (),
+) -> dict[str, int]:
+    """Replace one partition of an external table in a single step of the catalog.
+
+    The rows are written to a new folder, counted against the constraints while they are, and
+    read back; only then does the partition point there. A reader sees the old rows or the new
+    ones, never a mixture, and a table that does not hold changes nothing. Returns the
+    violations that only warn. The folder that was in use stays for readers that have begun;
+    :func:`partition_folder` tells what it was.
+    """
+    column, value = partition
+    staged = f"{folder}/{uuid.uuid4().hex}"
+    counted, seen = observed(df.drop(column), list(constraints))
+    write_checked(spark, counted, staged)
+    warnings = judged(seen, list(constraints))
+    table, spec = _quoted(database, name), f"PARTITION ({_quoted(column)} = {_text(value)})"
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {_text(staged)}")
+    else:
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_text(staged)}")
+    spark.catalog.refreshTable(table)
+    return warnings
+
+
+def partition_folder(spark: SparkSession, database: str, name: str, partition: tuple[str, str]) -> str:
+    """Where the rows of a partition are now."""
+    spec = f"PARTITION ({_quoted(partition[0])} = {_text(partition[1])})"
+    rows = spark.sql(f"DESCRIBE EXTENDED {_quoted(database, name)} {spec}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
 def create_locations_table(spark: SparkSession, database: str, location: str) -> None:
     """External CSV table, replaced if there is one; every column stays text and is cast by
     the queries."""

@@ -67,7 +67,8 @@ def gathered(df: DataFrame, *columns: str) -> DataFrame:
 def write_checked(
     spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None
 ) -> int:
-    """Write, then open the result again: an unreadable or short table fails here.
+    """Write, then open the result again: an unreadable or short table fails here. Returns the
+    number of rows.
 
     The rows are counted while they are written, so the input runs once.
     """
