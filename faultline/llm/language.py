@@ -321,7 +321,14 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
 
 
 def keep_known(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows that are not rejected, with all their columns."""
+    """The rows that are not rejected, with all their columns.
+
+    Without a model nothing was learned, so nothing can be rejected, and all rows stay. With one, a null text and one
+    without a letter go: no language accepts them. Null and repeated ids, repeated rows and further columns stay as
+    they are; rows are judged one by one, and ties between languages do not matter.
+    """
+    if model is None:
+        return docs
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = judge(model, batch.column(text).to_pylist())

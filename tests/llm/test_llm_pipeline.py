@@ -6,7 +6,7 @@ from pathlib import Path
 import corpus_pipeline
 import duckdb
 import pytest
-from llm_cases import prose, table
+from llm_cases import odd_texts, prose, table
 from oracle import compare, duck
 
 from faultline.llm.common import documents, stored
@@ -52,6 +52,31 @@ def test_empty_documents_pass_all_stages(spark):
         assert docs.count() == 0
 
 
+def test_odd_rows_pass_all_stages(spark):
+    """Null, empty, blank, letterless, very long and repeated texts, null and repeated ids, clashing columns."""
+    texts = [prose(500 + i, 60) for i in range(30)]
+    odd = [(i, t, "xx", "host") for i, t in odd_texts()] + [(50, "123 456", None, None), (51, texts[0], None, "")]
+    docs = table(spark, odd + [(100 + i, t, "xx", f"s{i % 3}") for i, t in enumerate(texts)])
+    columns, left = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), f"odd-{name}")
+        assert docs.columns == columns
+        left.append({r.doc_id for r in docs.select("doc_id").collect()})
+    assert not left[0] & {1, 2, 3, 50}  # no letter
+    assert left[0] >= {8, 9, 51, *range(100, 130)} and left[0] == left[1]
+    assert {8, 9} & left[2] == {8} and {51, 100} & left[2] == {51} and left[2] == left[3]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left[3]
+
+
+def test_without_labels_or_benchmark_nothing_is_lost(spark, tmp_path):
+    docs = table(spark, [(i, prose(i, 50)) for i in range(6)])
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)), f"plain-{name}")
+        assert docs.count() == 6, name
+
+
 def test_the_rest_works_without_the_subpackage(tmp_path):
     top = Path(__file__).parents[2]
     shutil.copytree(top / "faultline", tmp_path / "faultline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
