@@ -326,12 +326,13 @@ def rest_pairs(rows: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     others = near.filter("label != main").select("key", *[F.col(c).alias(f"o_{c}") for c in own])
     # each pair speaks once: in the table of its first two common small hashes, and in one order
     earlier = [f"IF({k} < j AND {k} != i AND small[{k}] = o_small[{k}], 1, 0)" for k in range(how.small)]
-    once = f"{' + '.join(earlier)} = 0 AND (label = main OR cls < o_cls) AND {_in_common(how)}"
+    once = f"{_in_common(how)} AND (label = main OR cls < o_cls) AND {' + '.join(earlier)} = 0"
     return _pairs(near, others, how, once)
 
 
 def _pairs(rows: DataFrame, others: DataFrame, how: Near, once: str = "true") -> DataFrame:
-    meet = f"label != o_label AND {once} AND {_possible(how, '', 'o_')}"
+    # the cheap conditions first: most pairs go no further
+    meet = f"label != o_label AND {_possible(how, '', 'o_')} AND {once}"
     pairs = rows.join(others.hint("merge"), "key").filter(meet)
     return pairs.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
 
