@@ -35,7 +35,7 @@ SLICE = 5 << 20
 @dataclass(frozen=True)
 class Windows:
     """``bucket``: stretches per bucket, about. ``crowd``: a minimiser counts as hot with more stretches than this, and
-    than ``times`` the mean of the counters. ``bits``: the counters are at most 2 ** bits, however large the input.
+    than ``times`` the mean of the counters. ``bits``: there are 2 ** bits counters, however large the input.
     ``samples``: texts, each of 4,000 characters at most, that the compression dictionary is made from; it changes how
     small the packed rows are, and no result."""
 
@@ -473,7 +473,7 @@ def _hot_repeats(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, dict
 def repeats(docs: DataFrame, frames: DataFrame, how: Windows = Windows()) -> DataFrame:
     """doc_id, twin, first, stop: the words of ``docs`` (doc_id, twin, text) that repeat an earlier window. ``frames``
     holds the same texts compressed."""
-    bits = min(how.bits, max(12, docs.count().bit_length()))
+    bits = how.bits
     slots = stored(_counted(docs, how, bits), "stretch-counts")
     total = slots.agg(F.sum("n")).first()[0] or 0
     crowded = max(how.crowd, how.times * total >> bits)
