@@ -9,66 +9,67 @@ from faultline.session import stored
 
 # Spellings that one variant may bring to a join task; more frequent variants are split.
 VARIANT_ROWS = 2_000
+# Most characters of a text by which its places in other texts are found.
+START_LENGTH = 8
 
 
-def _grams(text: str, length: Column) -> Column:
-    """All distinct parts of this length; the whole text if it is shorter."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - length + 1, F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(F.col(text), i, length)))
+def _start(text: str) -> Column:
+    """The first characters of a text: a power of two of them, START_LENGTH at most."""
+    widths = [1 << i for i in range(1, START_LENGTH.bit_length())]
+    width = F.lit(1)
+    for w in widths:
+        width = F.when(F.length(text) >= w, w).otherwise(width)
+    return F.substring(F.col(text), F.lit(1), width)
 
 
-def _rarest(grams: DataFrame, counts: DataFrame, of: list[str]) -> DataFrame:
-    """The gram of each text that the fewest texts on the other side have; texts with a gram
-    that no other has are left out, since nothing can hold them."""
-    counted = grams.join(counts, "gram", "left").groupBy(*of).agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("gram"))).alias("least")
-    )
-    return counted.filter("least.n > 0").select(*of, F.col("least.gram").alias("gram"))
-
+def _pieces(texts: DataFrame, text: str, sought: DataFrame, what: str) -> DataFrame:
+    """`texts` with each `piece` of `text` that may be one of the `sought`: where a sought text's start stands, the
+    pieces as long as the texts with that start.
 
-def _counts(grams: DataFrame) -> DataFrame:
-    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    A text brings one row per place and width of starts, and a piece per length; how many others hold the same part of
+    it does not matter.
+    """
+    starts = sought.select(_start(what).alias("start"), F.length(what).alias("size")).distinct()
+    starts = stored(starts, "starts")
+    widths = starts.agg(F.collect_set(F.length("start"))).scalar()
+    places = texts.withColumn("width", F.explode(widths)).filter(F.length(text) >= F.col("width"))
+    places = places.withColumn("at", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("width") + 1)))
+    places = places.withColumn("start", F.substring(F.col(text), F.col("at"), F.col("width")))
+    found = places.join(starts, "start").filter(F.col("at") + F.col("size") - 1 <= F.length(text))
+    return found.withColumn("piece", F.substring(F.col(text), F.col("at"), F.col("size"))).select(*texts.columns, "piece")
 
 
 def first_containing(
-    keys: DataFrame, key: str, names: DataFrame, bare: str, position: str, min_reverse_len: int = 0, q: int = 3
+    keys: DataFrame, key: str, names: DataFrame, bare: str, position: str, min_reverse_len: int = 0
 ) -> DataFrame:
     """key, position: the first name in the list that a key contains, or that contains the key.
 
     `keys` has distinct keys, `names` one row per name; null keys and names match nothing, and
-    keys that match nothing are left out. No key meets all names. A name is looked for under
-    the one of its q-grams that the fewest keys have, and a key, to be held by a name, under
-    the one of its own that the fewest names have; what is found there is compared in full.
+    keys that match nothing are left out. No key meets all names, nor all that share a part with
+    it: the pieces of a key that are as long as names with the same start are joined with the
+    names as whole texts, and the pieces of names with the keys.
     Keys shorter than `min_reverse_len` are not looked for in names.
     """
     keys = stored(keys.select(F.col(key).alias("key")).filter("key IS NOT NULL"), "keys")
-    names = stored(
-        names.select(F.col(bare).alias("bare"), F.col(position).alias("position")).filter("bare IS NOT NULL"), "names"
-    )
-    lengths = F.array(*[F.lit(i) for i in range(1, q + 1)])
-    size = F.lit(q)
-    # a gram as long as the text it stands for, if that is shorter than q
-    short = names.agg(F.collect_set(F.least(F.length("bare"), size)).alias("lengths")).scalar()
-    held = keys.filter("key != ''").withColumn("length", F.explode(short)).filter("length > 0")
-    held = held.select("key", F.explode(_grams("key", F.col("length"))).alias("gram")).distinct()
-    named = names.filter("bare != ''").select("bare", "position", F.explode(_grams("bare", size)).alias("gram"))
-    counts = _counts(held.join(named.select("gram").distinct(), "gram", "left_semi"))
-    under = _rarest(named, counts, ["bare", "position"])
-    forward = held.join(under, "gram").filter(F.contains("key", "bare"))
-
-    parts = names.filter("bare != ''").withColumn("length", F.explode(lengths))
-    parts = parts.select("bare", "position", F.explode(_grams("bare", F.col("length"))).alias("gram")).distinct()
-    sought = keys.filter((F.length("key") >= max(1, min_reverse_len)))
-    sought = sought.select("key", F.explode(_grams("key", size)).alias("gram"))
-    reverse = parts.join(_rarest(sought, _counts(parts), ["key"]), "gram").filter(F.contains("bare", "key"))
+    first = names.select(F.col(bare).alias("bare"), F.col(position).alias("position")).filter("bare IS NOT NULL")
+    names = stored(first.groupBy("bare").agg(F.min("position").alias("position")), "names")
+    named = names.filter("bare != ''")
+    pieces = _pieces(keys.filter("key != ''"), "key", named, "bare")
+    forward = pieces.join(named, F.col("piece") == F.col("bare"))
+
+    longest = named.agg(F.max(F.length("bare"))).scalar()
+    sought = keys.filter((F.length("key") >= max(1, min_reverse_len)) & (F.length("key") <= longest))
+    # one row per piece before the keys are met: a piece that most names have costs no more than another
+    pieces = _pieces(named, "bare", sought, "key").groupBy("piece").agg(F.min("position").alias("position"))
+    reverse = pieces.join(sought, F.col("piece") == F.col("key"))
 
     # an empty name is in every key, an empty key in every name
     empty_name = names.filter("bare = ''").agg(F.min("position").alias("position"))
-    always = keys.select("key", F.lit(None).cast("string").alias("bare"), empty_name.scalar().alias("position"))
+    always = keys.select("key", empty_name.scalar().alias("position"))
     found = [forward, reverse, always.filter("position IS NOT NULL")]
     if min_reverse_len == 0:
         first = names.agg(F.min("position").alias("position")).scalar()
-        found.append(keys.filter("key = ''").select("key", F.lit(None).cast("string").alias("bare"), first.alias("position")))
+        found.append(keys.filter("key = ''").select("key", first.alias("position")))
     each = [f.select("key", "position") for f in found]
     every = each[0]
     for more in each[1:]:

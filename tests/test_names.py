@@ -38,6 +38,33 @@ def test_first_containing(spark, min_reverse_len, empty_name):
     assert got == brute(keys, listed, min_reverse_len)
 
 
+def test_what_meets_grows_with_the_rows(spark):
+    """Every part of three characters is shared by a tenth of the names and more, and still no key meets them."""
+
+    def met(n):
+        listed = [f"aaaa{i:05d}aaaa" for i in range(10_000, 10_000 + n)]
+        keys = [f"x{name}y" for name in listed] + [name[2:] for name in listed]
+        keys = spark.createDataFrame([(k,) for k in keys], "raw string")
+        table = spark.createDataFrame(list(enumerate(listed)), "place long, bare string")
+        found = names.first_containing(keys, "raw", table, "bare", "place")
+        assert found.count() == 2 * n
+        found.collect()
+        nodes, most = [found._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().startswith("AdaptiveSparkPlan"):
+                nodes.append(node.executedPlan())
+            elif node.nodeName().endswith("QueryStage"):
+                nodes.append(node.plan())
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+            if "Join" in node.nodeName():
+                most = max(most, node.metrics().apply("numOutputRows").value())
+        return most
+
+    assert met(1000) <= 4 * 1000
+
+
 def test_empty_tables(spark):
     assert lookup(spark, ["a"], []) == {} and lookup(spark, [], ["a"]) == {}
     assert lookup(spark, [None], [None]) == {}
