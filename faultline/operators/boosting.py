@@ -10,6 +10,8 @@ level; what the round then splits otherwise takes further passes, a level each.
 
 Gradients are rounded to multiples of 2^-24 before they are added up. The sums are then whole numbers that do not depend
 on the order of rows, blocks and tasks: the same rows give the same model, on any cluster and after any lost executor.
+Values of leaves are multiples of 2^-40, so that margins are exact too: trees with the same splits are walked once, for
+the sum of their values. A row is counted in its last node only; what a node holds is the sum of what lies below it.
 """
 
 from __future__ import annotations
@@ -21,14 +23,14 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import RDD
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from faultline.session import stored
 
 UNIT = float(1 << 24)
+VALUE_UNIT = float(1 << 40)
 FEW_TASKS = 16
 STATE = "bins binary, labels binary, margins binary"
 
@@ -84,27 +86,78 @@ class Trees:
         shape = (classes, (2 << depth) - 1)
         return cls(np.full(shape, -1), np.zeros(shape, np.int64), np.zeros(shape))
 
-    def levels(
-        self, k: int, bins: np.ndarray, categorical: np.ndarray
-    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Level by level, the rows (columns of ``bins``) that get there, and the node each is in."""
-        feature, cut = self.feature[k], self.cut[k]
-        rows = np.arange(bins.shape[1])
-        at = np.zeros(len(rows), np.int64)
-        while len(rows):
-            yield rows, at
-            inner = feature[at] >= 0
-            rows, at = rows[inner], at[inner]
-            f = feature[at]
-            x = bins[f, rows]
-            at = 2 * at + 1 + np.where(categorical[f], x == cut[at], x > cut[at])
-
-    def add_to(self, margins: np.ndarray, bins: np.ndarray, categorical: np.ndarray) -> None:
-        for k in range(len(self.feature)):
-            last = np.zeros(bins.shape[1], np.int64)
-            for rows, node in self.levels(k, bins, categorical):
-                last[rows] = node
-            margins[:, k] += self.value[k][last]
+    def splits(self, k: int) -> bytes:
+        """Equal for trees with the same splits."""
+        return self.feature[k].tobytes() + self.cut[k].tobytes()
+
+
+@dataclass
+class Walk:
+    """The splits of one tree, laid out for a walk of all rows at once: a leaf is its own child. A row goes right above
+    ``low`` and, at a category, not above ``high``."""
+
+    feature: np.ndarray
+    child: np.ndarray
+    low: np.ndarray
+    high: np.ndarray | None
+    depth: int
+
+    @classmethod
+    def of(cls, feature: np.ndarray, cut: np.ndarray, categorical: np.ndarray) -> Walk:
+        node, inner = np.arange(len(feature)), feature >= 0
+        by_value = inner & categorical[feature]
+        most = np.iinfo(np.int64).max
+        low = np.where(inner, cut - by_value, most)
+        high = np.where(by_value, cut, most) if by_value.any() else None
+        depth = int(node[inner].max() + 1).bit_length() if inner.any() else 0
+        return cls(np.where(inner, feature, 0), np.where(inner, 2 * node + 1, node), low, high, depth)
+
+    def last(self, bins: np.ndarray) -> np.ndarray:
+        """The last node of every row (columns of ``bins``)."""
+        rows = bins.shape[1]
+        at = np.zeros(rows, np.int64)
+        for level in range(self.depth):
+            if level == 0:
+                x, low = bins[self.feature[0]], self.low[0]
+                high = None if self.high is None else self.high[0]
+                at += self.child[0]
+            else:
+                place = self.feature.take(at)
+                place *= rows
+                place += np.arange(rows)
+                x, low = bins.reshape(-1).take(place), self.low.take(at)
+                high = None if self.high is None else self.high.take(at)
+                at = self.child.take(at)
+            right = x > low
+            if high is not None:
+                right &= x <= high
+            at += right
+        return at
+
+
+def merged(rounds: list[Trees], categorical: np.ndarray, classes: int) -> list[dict[bytes, tuple[Walk, np.ndarray]]]:
+    """For each class, by their splits, the different trees of these rounds with the sum of their values."""
+    out: list[dict[bytes, tuple[Walk, np.ndarray]]] = [{} for _ in range(classes)]
+    for trees in rounds:
+        for k, own in enumerate(out):
+            splits = trees.splits(k)
+            if splits in own:
+                own[splits] = (own[splits][0], own[splits][1] + trees.value[k])
+            else:
+                own[splits] = (Walk.of(trees.feature[k], trees.cut[k], categorical), trees.value[k])
+    return out
+
+
+def add_to(
+    margins: np.ndarray, bins: np.ndarray, trees: list[dict[bytes, tuple[Walk, np.ndarray]]]
+) -> list[dict[bytes, np.ndarray]]:
+    """Adds to the margins (classes, rows). Returns the last nodes of the rows, by class and splits."""
+    walked: list[dict[bytes, np.ndarray]] = [{} for _ in trees]
+    for k, own in enumerate(trees):
+        for splits, (walk, value) in own.items():
+            at = walked[k][splits] = walk.last(bins)
+            margins[k] += value.take(at)
+    return walked
 
 
 # ---- blocks
@@ -117,41 +170,65 @@ def encoded(features: list[Feature], batch: pa.RecordBatch) -> np.ndarray:
     return np.stack([f.encode(batch.column(f.name)) for f in features])
 
 
-def _open(row: Row, features: int, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    labels = np.frombuffer(row["labels"], np.int32)
-    bins = np.frombuffer(row["bins"], np.int32).reshape(features, len(labels))
-    return bins, labels, np.frombuffer(row["margins"], np.float64).reshape(len(labels), classes).copy()
+def _opened(
+    batch: pa.RecordBatch, features: int, classes: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each block: bins (features, rows), labels, and margins (classes, rows)."""
+    for row in zip(*(batch.column(c) for c in ("bins", "labels", "margins"))):
+        bins, labels, margins = (x.as_buffer() for x in row)
+        labels = np.frombuffer(labels, np.int32)
+        narrow = f"u{bins.size // max(features * len(labels), 1)}"
+        margins = np.frombuffer(margins, np.float64).reshape(classes, len(labels)).copy()
+        yield np.frombuffer(bins, narrow).reshape(features, len(labels)), labels, margins
+
+
+def _narrow(features: list[Feature]) -> np.dtype:
+    """The least type that holds every bin."""
+    return np.min_scalar_type(max(f.bins() for f in features) - 1)
+
+
+def _filled(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of this many; only the last may have fewer."""
+    held, n = [], 0
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            held.append(batch.slice(at, rows - n))
+            at, n = at + held[-1].num_rows, n + held[-1].num_rows
+            if n == rows:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def first_state(rows: DataFrame, features: list[Feature], label: str, labels: list[str], how: Boosting) -> DataFrame:
+    narrow = _narrow(features)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, how.block_rows):
-                part = batch.slice(at, how.block_rows)
-                bins = encoded(features, part).astype(np.int32)
-                of = np.asarray(pc.index_in(part.column(label), pa.array(labels, pa.string()))).astype(np.int32)
-                each = (bins.tobytes(), of.tobytes(), np.zeros((len(of), len(labels))).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], pa.binary()) for x in each], ["bins", "labels", "margins"]
-                )
+        for part in _filled(batches, how.block_rows):
+            bins = encoded(features, part).astype(narrow)
+            of = np.asarray(pc.index_in(part.column(label), pa.array(labels, pa.string()))).astype(np.int32)
+            each = (bins.tobytes(), of.tobytes(), np.zeros((len(labels), len(of))).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in each], ["bins", "labels", "margins"])
 
     names = list(dict.fromkeys([*(f.name for f in features), label]))
-    # dealt out evenly, once: every later pass has as many tasks as there are cores at least
+    # dealt out evenly, once: every later pass keeps all cores busy to its end
     rows = rows.select(*names)
-    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = -(-max(rows.rdd.getNumPartitions(), 1) // cores) * cores
     return stored(rows.repartition(tasks).mapInArrow(run, STATE), "boosting-state")
 
 
 def renewed(state: DataFrame, rounds: list[Trees], categorical: np.ndarray, classes: int) -> DataFrame:
     """The blocks with the margins after these rounds."""
+    trees = merged(rounds, categorical, classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margins = []
-            for row in batch.to_pylist():
-                bins, _, own = _open(row, len(categorical), classes)
-                for trees in rounds:
-                    trees.add_to(own, bins, categorical)
+            for bins, _, own in _opened(batch, len(categorical), classes):
+                add_to(own, bins, trees)
                 margins.append(own.tobytes())
             yield batch.set_column(2, "margins", pa.array(margins, pa.binary()))
 
@@ -163,45 +240,67 @@ def renewed(state: DataFrame, rounds: list[Trees], categorical: np.ndarray, clas
 
 @dataclass
 class Pass:
-    """What a pass needs to know: the rounds since the state was written, the trees that rows walk down, and for each
-    class the place of a node's histogram (-1 for a node that is not wanted)."""
+    """What a pass needs to know: the trees since the state was written, the trees that rows walk down with the splits
+    they are known by, and for each class the histogram that the rows in a last node belong to (-1: none)."""
 
-    rounds: list[Trees]
-    walked: Trees
+    since: list[dict[bytes, tuple[Walk, np.ndarray]]]
+    walked: list[tuple[bytes, Walk]]
     slots: np.ndarray
     sizes: list[int]
-    categorical: np.ndarray
 
-    def histograms(self, blocks: Iterable[Row]) -> np.ndarray:
-        """(wanted nodes of all classes, bins of all features, 2): sums of gradients and Hessians, in units."""
+    def shape(self) -> tuple[int, int, int]:
+        """Wanted nodes of all classes, bins of all features; gradients and Hessians."""
+        return int(self.slots.max()) + 1, sum(self.sizes), 2
+
+    def histograms(self, batches: Iterable[pa.RecordBatch]) -> np.ndarray:
+        """The sums of gradients and Hessians, in units."""
         classes = len(self.slots)
-        out = np.zeros((int(self.slots.max()) + 1, sum(self.sizes), 2), np.int64)
-        for row in blocks:
-            bins, labels, margins = _open(row, len(self.sizes), classes)
-            for trees in self.rounds:
-                trees.add_to(margins, bins, self.categorical)
-            p = np.exp(margins - margins.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            for k in range(classes):
-                g = np.rint((p[:, k] - (labels == k)) * UNIT)
-                h = np.rint(np.maximum(2 * p[:, k] * (1 - p[:, k]), 1 / UNIT) * UNIT)
-                for rows, node in self.walked.levels(k, bins, self.categorical):
-                    slot = self.slots[k][node]
-                    wanted = slot >= 0
-                    if wanted.any():
-                        self.add(out, slot[wanted], bins, rows[wanted], (g, h))
+        out = np.zeros(self.shape(), np.int64)
+        for bins, labels, margins in (x for b in batches for x in _opened(b, len(self.sizes), classes)):
+            known = add_to(margins, bins, self.since)
+            g, h = gradients(margins, labels)
+            for k, (splits, walk) in enumerate(self.walked):
+                own = self.slots[k]
+                if own.max() < 0:
+                    continue
+                at = known[k][splits] if splits in known[k] else walk.last(bins)
+                slot = own.take(at)
+                if slot.min() < 0:
+                    rows = np.nonzero(slot >= 0)[0]
+                    if len(rows):
+                        self.add(out, slot[rows], bins[:, rows], (g[k][rows], h[k][rows]))
+                else:
+                    self.add(out, slot, bins, (g[k], h[k]))
         return out
 
-    def add(self, out: np.ndarray, slot: np.ndarray, bins: np.ndarray, rows: np.ndarray, weights: tuple) -> None:
+    def add(self, out: np.ndarray, slot: np.ndarray, bins: np.ndarray, weights: tuple) -> None:
         low, n, begin = slot.min(), slot.max() - slot.min() + 1, 0
+        slot = slot - low
         for f, size in enumerate(self.sizes):
-            at = (slot - low) * size + bins[f, rows]
+            at = slot * size
+            at += bins[f]
             for i, own in enumerate(weights):
-                sums = np.bincount(at, own[rows], n * size).astype(np.int64).reshape(n, size)
+                sums = np.bincount(at, own, n * size).astype(np.int64).reshape(n, size)
                 out[low : low + n, begin : begin + size, i] += sums
             begin += size
 
 
+def gradients(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, rows): gradients and Hessians in whole units. The margins are used up."""
+    p = margins
+    p -= p.max(axis=0)
+    np.exp(p, out=p)
+    p /= p.sum(axis=0)
+    h = 1 - p
+    h *= p
+    h *= 2
+    np.maximum(h, 1 / UNIT, out=h)
+    h *= UNIT
+    p[labels, np.arange(len(labels))] -= 1
+    p *= UNIT
+    return np.rint(p, out=p), np.rint(h, out=h)
+
+
 def best_splits(
     sums: np.ndarray, sizes: list[int], categorical: np.ndarray, how: Boosting
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -237,14 +336,19 @@ def best_splits(
     return gain, feature, cut, sides
 
 
-def added_up(each: RDD) -> np.ndarray:
+def added_up(each: DataFrame, tasks: int, shape: tuple[int, ...]) -> np.ndarray:
     """The sum of all tasks' histograms: those of a few tasks as they come, else by a tree of tasks. What reaches the
     driver does not grow with the rows."""
-    return each.reduce(np.add) if each.getNumPartitions() <= FEW_TASKS else each.treeReduce(np.add)
+    if tasks <= FEW_TASKS:
+        sums = np.zeros(shape, np.int64)
+        for row in each.collect():
+            sums += np.frombuffer(row["sums"], np.int64).reshape(shape)
+        return sums
+    return each.rdd.map(lambda row: np.frombuffer(row["sums"], np.int64).reshape(shape)).treeReduce(np.add).copy()
 
 
 def grow(
-    blocks: RDD,
+    blocks: DataFrame,
     since: list[Trees],
     before: Trees | None,
     sizes: list[int],
@@ -263,10 +367,10 @@ def grow(
             known |= passed(blocks, since, guess if level == 0 else trees, open_, sizes, categorical)
         sums = np.stack([known[place] for place in open_])
         gain, feature, cut, sides = best_splits(sums, sizes, categorical, how)
-        values = -how.rate * sides[..., 0] / (sides[..., 1] + how.l2)
+        values = _value(sides[..., 0], sides[..., 1], how)
         if level == 0:
             total = sums[:, : sizes[0]].sum(axis=1) / UNIT
-            trees.value[:, 0] = -how.rate * total[:, 0] / (total[:, 1] + how.l2)
+            trees.value[:, 0] = _value(total[:, 0], total[:, 1], how)
         below = []
         for slot, (k, node) in enumerate(open_):
             split = gain[slot] > how.least_gain
@@ -287,6 +391,10 @@ def grow(
     return trees
 
 
+def _value(gradient: np.ndarray, hessian: np.ndarray, how: Boosting) -> np.ndarray:
+    return np.rint(-how.rate * gradient / (hessian + how.l2) * VALUE_UNIT) / VALUE_UNIT
+
+
 def _is_below(place: tuple[int, int], top: tuple[int, int]) -> bool:
     (k, node), (of, root) = place, top
     while k == of and node > root:
@@ -297,7 +405,7 @@ def _is_below(place: tuple[int, int], top: tuple[int, int]) -> bool:
 
 
 def passed(
-    blocks: RDD,
+    blocks: DataFrame,
     since: list[Trees],
     walked: Trees,
     open_: list[tuple[int, int]],
@@ -315,8 +423,23 @@ def passed(
     slots = np.full(walked.feature.shape, -1)
     for slot, (k, node) in enumerate(wanted):
         slots[k, node] = slot
-    own = Pass(since, walked, slots, sizes, categorical)
-    sums = added_up(blocks.mapPartitions(lambda rows: [own.histograms(rows)]))
+    above = slots.copy()
+    for node in range(1, last):
+        # rows are counted in the deepest node that is wanted
+        above[:, node] = np.where(slots[:, node] >= 0, slots[:, node], above[:, (node - 1) // 2])
+    walks = [
+        (walked.splits(k), Walk.of(walked.feature[k], walked.cut[k], categorical)) for k in range(len(slots))
+    ]
+    own = Pass(merged(since, categorical, len(slots)), walks, above, sizes)
+    shape = own.shape()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([own.histograms(batches).tobytes()], pa.binary())], ["sums"])
+
+    sums = added_up(blocks.mapInArrow(run, "sums binary"), blocks.rdd.getNumPartitions(), shape)
+    for slot, (k, node) in reversed(list(enumerate(wanted))):
+        if node and slots[k, (node - 1) // 2] >= 0:
+            sums[slots[k, (node - 1) // 2]] += sums[slot]
     return dict(zip(wanted, sums))
 
 
@@ -333,24 +456,23 @@ class Model:
         """The columns ``keep`` and the predicted label. A table of any size, nothing is shuffled."""
         keep = list(dict.fromkeys(keep))
         needed = list(dict.fromkeys([*keep, *(f.name for f in self.features)]))
-        model = self
+        model, trees = self, merged(self.rounds, _categorical(self.features), len(self.labels))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = pa.array(model.labels, pa.string())
             for batch in batches:
-                best = model.margins(batch).argmax(axis=1)
+                best = model.margins(batch, trees).argmax(axis=1)
                 yield pa.RecordBatch.from_arrays([*map(batch.column, keep), names.take(pa.array(best))], [*keep, out])
 
         fields = [rows.schema[c] for c in keep]
         return rows.select(*needed).mapInArrow(run, StructType([*fields, StructField(out, StringType())]))
 
-    def margins(self, batch: pa.RecordBatch) -> np.ndarray:
-        bins = encoded(self.features, batch)
-        categorical = _categorical(self.features)
-        out = np.zeros((batch.num_rows, len(self.labels)))
-        for trees in self.rounds:
-            trees.add_to(out, bins, categorical)
-        return out
+    def margins(self, batch: pa.RecordBatch, trees: list | None = None) -> np.ndarray:
+        """(rows, classes). `trees`: the merged rounds, for callers with many batches."""
+        out = np.zeros((len(self.labels), batch.num_rows))
+        trees = trees or merged(self.rounds, _categorical(self.features), len(self.labels))
+        add_to(out, encoded(self.features, batch), trees)
+        return out.T
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Two tables: one row for the shape, one row per node of all trees."""
@@ -414,15 +536,15 @@ def fit(
         features = [Feature(label, True, ())]  # a constant: one bin, which nothing splits
     categorical_ = _categorical(features)
     sizes = [f.bins() for f in features]
-    state = first_state(rows, features, label, labels, how)
-    blocks = state.rdd
+    state = first_state(rows, features, label, labels, how).persist()
     rounds: list[Trees] = []
     since: list[Trees] = []
     for _ in range(how.rounds):
-        trees = grow(blocks, since, rounds[-1] if rounds else None, sizes, categorical_, len(labels), how)
+        trees = grow(state, since, rounds[-1] if rounds else None, sizes, categorical_, len(labels), how)
         rounds.append(trees)
         since.append(trees)
         if len(since) == how.renew:
-            state, since = renewed(state, since, categorical_, len(labels)), []
-            blocks = state.rdd
+            old, state, since = state, renewed(state, since, categorical_, len(labels)).persist(), []
+            old.unpersist()
+    state.unpersist()
     return Model(features, labels, rounds)

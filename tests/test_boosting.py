@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from faultline.operators import boosting
@@ -147,3 +148,36 @@ def test_the_round_before_saves_passes_and_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(boosting, "grow", blind)
     assert same(boosting.fit(df, *names, how), model)
     assert saved < len(passes)
+
+
+def test_trees_with_the_same_splits_are_walked_once(spark, monkeypatch):
+    """A pass costs the same however many rounds came since the margins were written."""
+    trees = boosting.Trees.empty(2, 3)
+    trees.feature[:, :3], trees.cut[:, :3] = [[0, 1, -1]], [[4, 2, 0]]
+    trees.value[:] = np.arange(15) / 8
+    bins = np.array([[0, 4, 5, 9], [2, 3, 2, 7]], np.uint8)
+    categorical = np.array([False, True])
+    found = boosting.merged([trees] * 9, categorical, 2)
+    assert [len(own) for own in found] == [1, 1]
+    margins = np.zeros((2, 4))
+    last = boosting.add_to(margins, bins, found)
+    assert [at.tolist() for own in last for at in own.values()] == [[4, 3, 2, 2]] * 2
+    assert margins.tolist() == [[x * 9 / 8 for x in (4, 3, 2, 2)]] * 2
+
+    added = []
+    inner = boosting.Pass.add
+    monkeypatch.setattr(boosting.Pass, "add", lambda self, out, slot, *a: added.append(len(slot)) or inner(self, out, slot, *a))
+    labels = np.array([0, 1, 0, 1], np.int32)
+    columns = [[x.tobytes()] for x in (bins, labels, np.zeros((2, 4)))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["bins", "labels", "margins"])
+    walks = [(trees.splits(k), boosting.Walk.of(trees.feature[k], trees.cut[k], categorical)) for k in range(2)]
+    slots = np.array([[0, 1, 2] + [1] * 4 + [2] * 8, [3, 4, 5] + [4] * 4 + [5] * 8])
+    sums = boosting.Pass(found, walks, slots, [10, 8]).histograms([batch])
+    assert added == [4, 4]  # each row once per class, not once per level
+    assert sums.shape == (6, 18, 2) and not sums[0].any() and sums[1, :, 1].sum() > 0
+
+
+def test_blocks_are_full(spark):
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], ["x"]) for n in (3, 0, 10, 1)]
+    got = [b.column("x").to_pylist() for b in boosting._filled(batches, 4)]
+    assert [len(x) for x in got] == [4, 4, 4, 2] and sum(got, []) == [0, 1, 2, *range(10), 0]
