@@ -30,6 +30,8 @@ from faultline.llm.common import map_batches, map_in_arrow, mix, sliced, stored,
 
 _ODD = np.random.default_rng(4).integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SLICE = 5 << 20
+# Deals that documents' lists are gathered in, for each so many buckets of minimisers.
+DEALS, MANY_BUCKETS = 256, 4096
 
 
 @dataclass(frozen=True)
@@ -315,6 +317,7 @@ def _is_hot(own: Stretches, hot: np.ndarray, bits: int) -> np.ndarray:
 
 
 KEYS = "bucket long, documents long, n long, payload binary"
+DEALT = "deal long, documents long, n long, payload binary"
 SHARED = "doc_id long, twin long, minimisers array<long>"
 
 
@@ -332,28 +335,34 @@ def _keys(docs: DataFrame, how: Windows, hot: np.ndarray, bits: int, buckets: in
 
 
 def pack_keys(own: Stretches, ids: pa.Array, twins: pa.Array, how: Windows, buckets: int) -> pa.RecordBatch:
-    again, bucket = own.recurs(how), _bucket(own.minimiser, buckets)
-    order = np.lexsort((own.row, bucket))
-    row, bucket = own.row[order], bucket[order]
-    minimiser = own.minimiser[order].astype("<u8")
     known = np.asarray(pc.is_valid(ids)).astype(np.int64)
-    ids_, twins_ = (np.asarray(pc.fill_null(x, 0)) for x in (ids, twins))
+    named = (known, *(np.asarray(pc.fill_null(x, 0)) for x in (ids, twins)))
+    bucket = _bucket(own.minimiser, buckets)
+    return pack_lists("bucket", bucket, named, own.row, own.recurs(how).astype(np.int64), own.minimiser)
+
+
+def pack_lists(
+    group: str, groups: np.ndarray, named: tuple, row: np.ndarray, again: np.ndarray, minimiser: np.ndarray
+) -> pa.RecordBatch:
+    """One row per group: the minimisers, and the documents (known, id, twin) whose ``row`` they name."""
+    order = np.lexsort((row, groups))
+    row, groups, again, minimiser = row[order], groups[order], again[order], minimiser[order].astype("<u8")
     squeeze = zstd(b"")[0]
     rows: list[tuple[int, int, int, bytes]] = []
-    cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() if len(bucket) else []
-    for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+    cuts = np.flatnonzero(np.diff(groups, prepend=-1)).tolist() if len(groups) else []
+    for a, b in zip(cuts, [*cuts[1:], len(groups)]):
         docs, at = np.unique(row[a:b], return_inverse=True)
-        heads = (known[docs], ids_[docs], twins_[docs], at, again[order[a:b]].astype(np.int64))
+        heads = (*(x[docs] for x in named), at, again[a:b])
         payload = b"".join(map(narrow, heads)) + minimiser[a:b].tobytes()
-        rows.append((int(bucket[a]), len(docs), b - a, squeeze.compress(payload)))
+        rows.append((int(groups[a]), len(docs), b - a, squeeze.compress(payload)))
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
     columns = zip(*rows) if rows else ((), (), (), ())
-    names = ["bucket", "documents", "n", "payload"]
+    names = [group, "documents", "n", "payload"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def shared_in_bucket(documents: list[int], counts: list[int], payloads: list[bytes]) -> pa.Table:
-    """The documents' minimisers that occur at two places or more."""
+def unpack_lists(documents: list[int], counts: list[int], payloads: list[bytes]) -> list[np.ndarray]:
+    """known, id and twin of the documents; row, again and minimiser of the stretches."""
     expand = zstd(b"")[1]
     whole: list[list[np.ndarray]] = [[], [], [], [], [], []]
     base = 0
@@ -366,27 +375,47 @@ def shared_in_bucket(documents: list[int], counts: list[int], payloads: list[byt
         whole[3][-1] += base
         whole[5].append(np.frombuffer(data, "<i8", n, at))
         base += d
-    known, ids, twins, owner, again, minimiser = map(np.concatenate, whole)
+    return list(map(np.concatenate, whole))
+
+
+def shared_in_bucket(documents: list[int], counts: list[int], payloads: list[bytes], deals: int) -> pa.Table:
+    """The documents' minimisers that occur at two places or more, packed by deals of documents."""
+    known, ids, twins, row, again, minimiser = unpack_lists(documents, counts, payloads)
     _, of, times = np.unique(minimiser, return_inverse=True, return_counts=True)
     times = times + np.bincount(of, again).astype(np.int64)
     some = np.flatnonzero(times[of] > 1)
-    some = some[np.argsort(owner[some], kind="stable")]
-    docs, first = np.unique(owner[some], return_index=True)
+    deal = _bucket(_pair(ids.view(np.uint64), (twins + known).view(np.uint64)), deals)
+    row, minimiser = row[some], minimiser[some]
+    return pa.Table.from_batches(
+        [pack_lists("deal", deal[row], (known, ids, twins), row, np.zeros(len(row), np.int64), minimiser)]
+    )
+
+
+def lists_of_documents(documents: list[int], counts: list[int], payloads: list[bytes]) -> pa.Table:
+    """One row per document: its minimisers of all buckets."""
+    known, ids, twins, row, _, minimiser = unpack_lists(documents, counts, payloads)
+    docs, of = np.unique(np.stack([known, ids, twins]), axis=1, return_inverse=True)
+    row = of.reshape(-1)[row]
+    ends = np.cumsum(np.bincount(row, minlength=docs.shape[1]))
     lists = pa.ListArray.from_arrays(
-        pa.array(np.append(first, len(some)), pa.int32()), pa.array(minimiser[some], pa.int64())
+        pa.array(np.append(0, ends), pa.int32()), pa.array(minimiser[np.argsort(row, kind="stable")], pa.int64())
     )
-    named = pa.array(ids[docs], pa.int64(), mask=known[docs] == 0)
-    return pa.table({"doc_id": named, "twin": twins[docs], "minimisers": lists})
+    return pa.table({"doc_id": pa.array(docs[1], pa.int64(), mask=docs[0] == 0), "twin": docs[2], "minimisers": lists})
 
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """doc_id, twin, minimisers (arrays of arrays) of the documents that share any."""
+def _shared(keys: DataFrame, buckets: int) -> DataFrame:
+    """doc_id, twin, minimisers of the documents that share any. A bucket brings a row per deal of documents, not per
+    document, since with more buckets a document is in more of them."""
+    deals = DEALS * -(-buckets // MANY_BUCKETS)
+    columns = ("documents", "n", "payload")
 
-    def run(table: pa.Table) -> pa.Table:
-        return shared_in_bucket(*(table[c].to_pylist() for c in ("documents", "n", "payload")))
+    def in_bucket(table: pa.Table) -> pa.Table:
+        return shared_in_bucket(*(table[c].to_pylist() for c in columns), deals)
+
+    def in_deal(table: pa.Table) -> pa.Table:
+        return lists_of_documents(*(table[c].to_pylist() for c in columns))
 
-    each = keys.groupBy("bucket").applyInArrow(run, SHARED)
-    return each.groupBy("doc_id", "twin").agg(F.collect_list("minimisers").alias("minimisers"))
+    return keys.groupBy("bucket").applyInArrow(in_bucket, DEALT).groupBy("deal").applyInArrow(in_deal, SHARED)
 
 
 def _packed(frames: DataFrame, shared: DataFrame, how: Windows, buckets: int, dictionary: bytes) -> DataFrame:
@@ -396,7 +425,7 @@ def _packed(frames: DataFrame, shared: DataFrame, how: Windows, buckets: int, di
         for part in by_text_size(batch):
             own = stretches(texts_of(part), how)
             # the minimisers that one of these documents shares are shared wherever they occur
-            listed = part.column("minimisers").flatten().flatten()
+            listed = part.column("minimisers").flatten()
             own = own.take(np.flatnonzero(np.isin(own.minimiser.view(np.int64), np.asarray(listed))))
             bucket = _bucket(own.minimiser, buckets)
             yield pack(own, part.column("doc_id"), part.column("twin"), bucket, dictionary)
@@ -480,9 +509,10 @@ def repeats(docs: DataFrame, frames: DataFrame, how: Windows = Windows()) -> Dat
     # over ``times`` the mean: at most one counter in ``times`` is hot
     hot = np.array(sorted(r["slot"] for r in slots.filter(F.col("n") > crowded).select("slot").collect()), np.int64)
     dictionary = text_dictionary(docs, how)
-    keys = _keys(docs, how, hot, bits, max(1, -(-total // (8 * how.bucket))))
+    key_buckets = max(1, -(-total // (8 * how.bucket)))
+    shared = _shared(_keys(docs, how, hot, bits, key_buckets), key_buckets)
     buckets = max(1, -(-total // how.bucket))
-    out = [_repeats(_packed(frames, _shared(keys), how, buckets, dictionary), how.window, dictionary)]
+    out = [_repeats(_packed(frames, shared, how, buckets, dictionary), how.window, dictionary)]
     if len(hot):
         out.append(_hot_repeats(docs, how, hot, bits, dictionary))
     return reduce(DataFrame.union, out)

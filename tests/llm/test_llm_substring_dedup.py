@@ -3,10 +3,19 @@ import random
 import pytest
 from llm_cases import odd_texts, prose, table, words_of
 
-from faultline.llm.substring_dedup import Windows, remove_repeats, sliding, stretches
+from faultline.llm.substring_dedup import (
+    Windows,
+    lists_of_documents,
+    pack_lists,
+    remove_repeats,
+    shared_in_bucket,
+    sliding,
+    stretches,
+)
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WINDOW = 20
 
@@ -99,3 +108,27 @@ def test_texts_are_dealt_out_once(spark, plan_of):
     df = remove_repeats(table(spark, corpus()))
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+def test_rows_of_a_bucket_do_not_grow_with_its_documents():
+    """Documents that are in many buckets bring no row in each of them, and each one list in the end."""
+    n, buckets = 5000, 8
+    ids = pa.array([None, *range(1, n)], pa.int64())
+    twins = pa.array(np.arange(n) % 3)
+    packed = []
+    for b in range(buckets):
+        named = (np.asarray(ids.is_valid()).astype(np.int64), np.asarray(ids.fill_null(0)), np.asarray(twins))
+        row, minimiser = np.arange(n), (np.arange(n) // 2 + b * n).astype(np.uint64)
+        keys = pack_lists("bucket", np.zeros(n, np.int64), named, row, np.zeros(n, np.int64), minimiser)
+        columns = [keys.column(c).to_pylist() for c in ("documents", "n", "payload")]
+        packed.append(shared_in_bucket(*columns, 16))
+        assert packed[-1].num_rows == 16
+    together = pa.concat_tables(packed)
+    got = {}
+    for deal in range(16):
+        own = together.filter(pc.equal(together["deal"], deal))
+        for r in lists_of_documents(*(own[c].to_pylist() for c in ("documents", "n", "payload"))).to_pylist():
+            assert (r["doc_id"], r["twin"]) not in got
+            got[r["doc_id"], r["twin"]] = sorted(r["minimisers"])
+    want = {(i, t): [k // 2 + b * n for b in range(buckets)] for k, (i, t) in enumerate(zip(ids.to_pylist(), twins.to_pylist()))}
+    assert got == want
