@@ -9,7 +9,17 @@ from faultline.llm.common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, component (its smallest node) of every node in ``links`` (a, b), by alternating large and small stars.
+    """node, component (its smallest node) of every node in ``links`` (a, b)."""
+    edges = stars(links)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        edges.select("b", "b").distinct()
+    )
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """a, b: a node of ``links`` and the smallest of its component, without the smallest nodes themselves; stored.
+
+    By alternating large and small stars.
 
     Each step links every neighbour of a node to the smallest one: only minima per node are aggregated, and the number
     of steps grows with the logarithm of the longest path. Nothing is collected. Loops and repeated links do no harm.
@@ -18,9 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.filter("a != b").select(greater, smaller).distinct(), "links")
     while not _all_stars(edges):
         edges = stored(_small_star(_large_star(edges)), "links")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        edges.select("b", "b").distinct()
-    )
+    return edges
 
 
 def _all_stars(edges: DataFrame) -> bool:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import fresh, map_batches, mix, stored, token_hashes, token_spans, utf8
-from faultline.llm.graph import components
+from faultline.llm.graph import components, stars
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -140,6 +140,12 @@ def table_keys(classes: DataFrame) -> DataFrame:
     return keys.join(shared.hint("merge"), "key", "left_semi")
 
 
+def anew(per_key: DataFrame) -> DataFrame:
+    """The rows of an aggregate by key, dealt out anew by a join on key: Spark splits a frequent key only if both sides
+    are. Costs one exchange, where a stored table would cost a write and a scan more."""
+    return per_key.withColumn("key", F.expr("key ^ 0"))
+
+
 def _close(how: Near, a: str, b: str) -> str:
     """No sets of such different sizes can be similar enough."""
     return f"100 * least({a}, {b}) >= {how.percent} * greatest({a}, {b})"
@@ -148,23 +154,23 @@ def _close(how: Near, a: str, b: str) -> str:
 def first_pairs(keys: DataFrame, how: Near) -> DataFrame:
     """Each class with the smallest of its bucket, for every key."""
     lead = keys.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("lead"))
-    pairs = keys.join(stored(lead, "near-leads").hint("merge"), "key")
+    pairs = keys.join(anew(lead).hint("merge"), "key")
     pairs = pairs.filter("cls != lead.cls").filter(_close(how, "n", "lead.n"))
     return pairs.select(F.col("cls").alias("a"), F.col("lead.cls").alias("b")).distinct()
 
 
-def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def open_rows(rows: DataFrame, linked: DataFrame) -> DataFrame:
     """``rows`` (key, cls, more) of the buckets that hold several components, with the component of each as ``label``
-    and the bucket's most frequent one as ``main``."""
+    and the bucket's most frequent one as ``main``. ``linked``: the stars of the links found so far."""
+    labels = linked.select(F.col("a").alias("node"), F.col("b").alias("component"))
     labelled = rows.join(labels.hint("merge"), rows["cls"] == labels["node"], "left").select(
         *rows.columns, F.coalesce("component", "cls").alias("label")
     )
-    labelled = stored(labelled, "near-labelled")
     parts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
     mains = parts.groupBy("key").agg(
         F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("components")
     )
-    split = stored(mains.filter("components > 1").drop("components"), "near-split")
+    split = anew(mains.filter("components > 1").drop("components"))
     return stored(labelled.join(split.hint("merge"), "key"), "near-open")
 
 
@@ -261,8 +267,8 @@ def lead_pairs(rows: DataFrame, how: Near) -> DataFrame:
     What is like any member of the bucket is mostly like this one.
     """
     lead = rows.groupBy("key").agg(F.min(F.struct("lone", "cls", "n", "label", "small", *_LONGS)).alias("o"))
-    lead = stored(lead, "near-leads").select("key", *[F.col(f"o.{c}").alias(f"o_{c}") for c in _OWN])
-    return _pairs(rows, lead, how)
+    lead = lead.select("key", *[F.col(f"o.{c}").alias(f"o_{c}") for c in _OWN])
+    return _pairs(rows, anew(lead), how)
 
 
 def lacking(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -274,7 +280,7 @@ def lacking(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """
     leads = rows.groupBy("key").agg(F.min(F.struct("lone", "cls")).alias("o"))
     leads = leads.select("key", F.col("o.cls").alias("lead"))
-    led = stored(rows.join(stored(leads, "near-leads").hint("merge"), "key"), "near-led")
+    led = rows.join(anew(leads).hint("merge"), "key")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bits, sizes, beside = [], [], []
@@ -296,7 +302,7 @@ def lacking(rows: DataFrame, sets: DataFrame) -> DataFrame:
     longs = ", ".join(f"{c} long" for c in _LACKS)
     found = map_batches(with_sets(pairs, sets), run, f"of binary, by binary, n_lead long, beside long, {longs}")
     same = (F.col("cls") == F.col("of")) & (F.col("lead") == F.col("by"))
-    joined = led.join(stored(found, "near-lacks").hint("merge"), same).withColumn("beside", F.expr("beside - lone"))
+    joined = led.join(found.hint("merge"), same).withColumn("beside", F.expr("beside - lone"))
     return joined.drop("of", "by", "lead")
 
 
@@ -318,29 +324,32 @@ def rest_pairs(rows: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     least = rows.groupBy("key").agg(
         F.min("lone").alias("low"), F.min(F.when(outside, F.col("lone"))).alias("low_outside")
     )
-    near = rows.join(stored(least, "near-least").hint("merge"), "key")
+    near = rows.join(anew(least).hint("merge"), "key")
     low = F.when(outside, F.col("low")).otherwise(F.col("low_outside"))
     near = near.filter((100 - how.percent) * (F.col("n") - F.col("lone")) >= how.percent * (F.col("lone") + low))
     near = stored(lacking(stored(near, "near-possible"), sets), "near-lacking")
     own = (*_OWN, "beside", *_LACKS)
     others = near.filter("label != main").select("key", *[F.col(c).alias(f"o_{c}") for c in own])
     # each pair speaks once: in the table of its first two common small hashes, and in one order
-    earlier = [f"IF({k} < j AND {k} != i AND small[{k}] = o_small[{k}], 1, 0)" for k in range(how.small)]
-    once = f"{_in_common(how)} AND (label = main OR cls < o_cls) AND {' + '.join(earlier)} = 0"
+    # written out for each small hash, this made the join's condition so long that a pair took 5.7 us
+    earlier = "exists(sequence(0, j), k -> k < j AND k != i AND small[k] = o_small[k])"
+    once = f"{_in_common(how)} AND (label = main OR cls < o_cls) AND NOT {earlier}"
     return _pairs(near, others, how, once)
 
 
 def _pairs(rows: DataFrame, others: DataFrame, how: Near, once: str = "true") -> DataFrame:
-    # the cheap conditions first: most pairs go no further
-    meet = f"label != o_label AND {_possible(how, '', 'o_')} AND {once}"
+    # the bound by the leader before the sample bits: it lets far fewer pairs pass
+    meet = f"label != o_label AND {_close(how, 'n', 'o_n')} AND {once} AND {_possible(how, '', 'o_')}"
     pairs = rows.join(others.hint("merge"), "key").filter(meet)
     return pairs.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, set_a, set_b."""
-    one = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
-    return one.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")).hint("merge"), "b")
+    """a, b, set_a, set_b. Few b may have many a, as leaders do: they meet their sets first, and the pairs are dealt out
+    by a for what follows."""
+    one = pairs.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")).hint("merge"), "b")
+    two = one.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
+    return two.select("a", "b", "set_a", "set_b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
@@ -357,15 +366,6 @@ def verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     return map_batches(with_sets(pairs, sets), run, "a binary, b binary")
 
 
-def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The components after further links."""
-    links = stored(links, "near-links")
-    if links.isEmpty():
-        return labels
-    hung = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return stored(components(hung.union(links)), "near-labels")
-
-
 def candidate_sets(docs: DataFrame, keys: DataFrame, classes: DataFrame, how: Near) -> DataFrame:
     """cls, set (sorted hashes) of the classes that share a key, from the text of one document of each."""
 
@@ -400,21 +400,21 @@ def near_groups(docs: DataFrame, how: Near = Near()) -> DataFrame:
     )
     keys = stored(table_keys(classes.select("cls", "n", "small")), "near-keys")
     sets = stored(candidate_sets(docs, keys, classes, how), "near-sets")
-    labels = stored(components(stored(verified(first_pairs(keys, how), sets, how), "near-links")), "near-labels")
-    rows = open_rows(keys, labels)
+    linked = stars(verified(first_pairs(keys, how), sets, how))
+    rows = open_rows(keys, linked)
     facts = lone_shingles(rows, sets).join(bit_samples(rows, sets), "cls").join(classes.select("cls", "small"), "cls")
-    rows = stored(rows.join(stored(facts, "near-facts").hint("merge"), "cls"), "near-rows")
-    labels = merged(labels, verified(lead_pairs(rows, how), sets, how))
-    rows = open_rows(rows.drop("label", "main"), labels)
-    labels = merged(labels, verified(rest_pairs(rows, sets, how), sets, how))
-    of_class = classes.select("cls", "rep").join(
-        labels.hint("merge"), F.col("cls") == F.col("node"), "left"
-    ).select("cls", "rep", "component")
-    grouped = stored(of_class.filter("component IS NOT NULL"), "near-grouped")
-    lowest = stored(grouped.groupBy("component").agg(F.min("rep").alias("low")), "near-lowest")
-    linked = grouped.join(lowest.hint("merge"), "component").select("cls", "low")
+    rows = stored(rows.join(facts.hint("merge"), "cls"), "near-rows")
+    linked = stars(linked.union(verified(lead_pairs(rows, how), sets, how)))
+    rows = open_rows(rows.drop("label", "main"), linked)
+    labels = components(linked.union(verified(rest_pairs(rows, sets, how), sets, how)))
+    of_class = classes.select("cls", "rep").join(labels.hint("merge"), F.col("cls") == F.col("node"), "left")
+    of_class = stored(of_class.select("cls", "rep", "component"), "near-components")
+    grouped = of_class.filter("component IS NOT NULL")
+    lowest = grouped.groupBy(F.col("component").alias("of")).agg(F.min("rep").alias("low"))
+    lowest = stored(lowest, "near-lowest")
+    many = grouped.join(lowest.hint("merge"), F.col("component") == F.col("of")).select("cls", "low")
     single = of_class.filter("component IS NULL").select("cls", F.col("rep").alias("low"))
-    lows = stored(linked.union(single), "near-lows")
+    lows = many.union(single)
     low = F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id"))
     return (
         sketch.join(lows.hint("merge"), "cls", "left")

@@ -187,3 +187,39 @@ def test_lone_shingles(spark):
     assert {bytes(r["cls"]): r["lone"] for r in found if r["lone"]} == {
         c: n for c, s in sets.items() if (n := sum(times[x] == 1 for x in s))
     }
+
+
+def test_few_tables_are_stored(spark, monkeypatch):
+    names, inner = [], near_dedup.stored
+
+    def counting(df, purpose):
+        names.append(purpose)
+        return inner(df, purpose)
+
+    monkeypatch.setattr(near_dedup, "stored", counting)
+    base = prose(1, 30, 5000)
+    near_dedup.near_groups(table(spark, [(i, edited(base, 1, i)) for i in range(100)]))
+    # each costs a write, a scan and their tasks on every partition; there were 29
+    assert len(names) <= 11
+
+
+def test_pairs_of_a_bucket_are_judged_by_a_condition_that_is_compiled(spark):
+    """Longer methods than 8,000 bytes of code are interpreted by the JVM."""
+    longs = ", ".join(f"{c} long" for c in [*near_dedup._LONGS, *near_dedup._LACKS])
+    kinds = f"key long, cls binary, n long, i int, j int, lone long, label binary, main binary, small array<long>, {longs}"
+    zero = [0] * (len(near_dedup._LONGS) + len(near_dedup._LACKS))
+    small = list(range(near_dedup.Near().small))
+    rows = [(1, bytes([k]), 20, 0, 1, 0, bytes([k]), b"x", small, *zero) for k in range(3)]
+    led = spark.createDataFrame([(*r, 20, 0) for r in rows], f"{kinds}, n_lead long, beside long")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    inner = near_dedup.lacking
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    near_dedup.lacking = lambda some, sets: led
+    try:
+        pairs = near_dedup.rest_pairs(led, led, near_dedup.Near())
+        parts = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(pairs._jdf.queryExecution().debug().codegenToSeq())
+        assert max(p._3().maxMethodCodeSize() for p in parts) < 8000
+        assert pairs.count() == 3
+    finally:
+        near_dedup.lacking = inner
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
