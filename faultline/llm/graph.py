@@ -44,10 +44,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = near.groupBy("a").agg(F.min("b").alias("least"))
     least = least.select("a", F.least("a", "least").alias("least"))
     joined = near.join(least.hint("merge"), "a").filter("b > a")
-    return joined.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return joined.select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
+    # dealt out once, for the minima and for the join with them
+    edges = edges.repartition("a")
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
     joined = edges.join(least.hint("merge"), "a")
     hung = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a != b")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import fresh, map_batches, mix, stored, token_hashes, token_spans, utf8
-from faultline.llm.graph import components, stars
+from faultline.llm.graph import stars
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -406,15 +406,13 @@ def near_groups(docs: DataFrame, how: Near = Near()) -> DataFrame:
     rows = stored(rows.join(facts.hint("merge"), "cls"), "near-rows")
     linked = stars(linked.union(verified(lead_pairs(rows, how), sets, how)))
     rows = open_rows(rows.drop("label", "main"), linked)
-    labels = components(linked.union(verified(rest_pairs(rows, sets, how), sets, how)))
-    of_class = classes.select("cls", "rep").join(labels.hint("merge"), F.col("cls") == F.col("node"), "left")
-    of_class = stored(of_class.select("cls", "rep", "component"), "near-components")
-    grouped = of_class.filter("component IS NOT NULL")
-    lowest = grouped.groupBy(F.col("component").alias("of")).agg(F.min("rep").alias("low"))
-    lowest = stored(lowest, "near-lowest")
-    many = grouped.join(lowest.hint("merge"), F.col("component") == F.col("of")).select("cls", "low")
-    single = of_class.filter("component IS NULL").select("cls", F.col("rep").alias("low"))
-    lows = many.union(single)
+    linked = stars(linked.union(verified(rest_pairs(rows, sets, how), sets, how)))
+    of_class = classes.select("cls", "rep").join(linked.hint("merge"), F.col("cls") == F.col("a"), "left")
+    of_class = of_class.select("cls", "rep", F.coalesce("b", "cls").alias("component"))
+    lowest = of_class.groupBy("component").agg(F.min("rep").alias("low"))
+    # under a name of its own, dealt out anew like the keys of :func:`anew`
+    lowest = lowest.select(F.expr("substring(component, 1)").alias("of"), "low")
+    lows = of_class.join(lowest.hint("merge"), F.col("component") == F.col("of")).select("cls", "low")
     low = F.when(F.col("n_shingles") > 0, F.col("low")).otherwise(F.col("doc_id"))
     return (
         sketch.join(lows.hint("merge"), "cls", "left")
